@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import exact_dedup, ngram_join, token_counts
+from . import exact_dedup, mixing, ngram_join, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,13 +21,17 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.token_counts(docs, token_counts.tokenizer_path(), token_counts.fresh_cache(spark))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_ngram_join, op4_exact_dedup, op10_token_counts)}
+    return {f.__name__: f for f in (op1_ngram_join, op4_exact_dedup, op9_mixing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
