@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import exact_dedup, mixing, ngram_join, token_counts
+from . import exact_dedup, mixing, ngram_join, quality_rules, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -31,8 +35,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_ngram_join, op4_exact_dedup, op9_mixing, op10_token_counts)}
+    return {f.__name__: f for f in (op1_ngram_join, op3_quality_rules, op4_exact_dedup, op9_mixing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.ORACLE}
+    return {"op3_quality_rules": quality_rules.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE}
