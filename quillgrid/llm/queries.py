@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ship
-from . import exact_dedup, mixing, ngram_join, quality_rules, token_counts
+from . import exact_dedup, line_dedup, mixing, ngram_join, quality_rules, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,11 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -35,8 +41,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_ngram_join, op3_quality_rules, op4_exact_dedup, op9_mixing, op10_token_counts)}
+    return {f.__name__: f for f in (op1_ngram_join, op2_line_dedup, op3_quality_rules, op4_exact_dedup, op9_mixing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality_rules.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE}
+    return {"op2_line_dedup": line_dedup.ORACLE, "op3_quality_rules": quality_rules.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE}
