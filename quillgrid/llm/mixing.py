@@ -71,7 +71,7 @@ def _plan(strata: DataFrame, seed: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 9, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per input row: id, size, source_size, target, taken, copies.
+    """One row per input row: id, _source, size, source_size, target, taken, copies.
 
     size: words of the text (null: 0); target: the words its source is to give (see targets). With r = target /
     source_size, each text gets floor(r) certain whole copies. The rest is a fixed-size sample of unequal
@@ -116,6 +116,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     out = out.join(goal.withColumnRenamed("_src", "_s5"), F.col("_src").eqNullSafe(F.col("_s5")))
     return out.select(
         F.col("_id").alias(id_col),
+        F.col("_src").alias("_source"),
         F.col("_n").alias("size"),
         F.col("_s").alias("source_size"),
         F.col("_target").alias("target"),
@@ -124,8 +125,19 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     )
 
 
-def take_mix(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as its copies say. Ids are to be unique and not null."""
-    taken = mix(docs, id_col=id_col, **kw).filter("copies > 0").select(F.col(id_col).alias("_taken"), F.col("copies").alias("_copies"))
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.join(taken, F.col(id_col) == F.col("_taken")).select(*cols, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select(*cols)
+def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
+    """``docs`` as the mix takes them, with all their columns: each row as often as its copies say.
+
+    Rows find their copies by (id, source, size). Where several rows agree in these, mix() says how many copies each
+    of them gets but not which is which, and they take them in turn; null ids are matched, too.
+    """
+
+    def key(i, s, n):
+        return F.concat_ws("\x01", i.isNull().cast("string"), i.cast("string"), s.isNull().cast("string"), s, n.cast("string"))
+
+    taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **kw)
+    lists = taken.groupBy(key(F.col(id_col), F.col("_source"), F.col("size")).alias("_key")).agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("_row"), key(F.col(id_col), F.col(source_col), n_words(text_col)).alias("_key"))
+    turn = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    rows = rows.join(lists, "_key").select("_row", F.element_at("_copies", turn).alias("_c")).filter("_c > 0")
+    return rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_c")))).select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(docs.columns)])

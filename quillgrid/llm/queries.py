@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import exact_dedup, language_model, line_dedup, mixing, ngram_join, pieces, quality_rules, token_counts, toxicity
+from . import exact_dedup, language_model, line_dedup, mixing, ngram_join, pieces, quality_classifier, quality_rules, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,12 +40,16 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", F.xxhash64("ids").alias("ids_hash"), "lossless")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.lm_score(table(spark, sf_dir, "documents"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("copies", "_source")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +58,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_ngram_join, op2_line_dedup, op3_quality_rules, op4_exact_dedup, op5_toxicity, op6_sentencepiece, op8_lm_score, op9_mixing, op10_token_counts)}
+    return {f.__name__: f for f in (op1_ngram_join, op2_line_dedup, op3_quality_rules, op4_exact_dedup, op5_toxicity, op6_sentencepiece, op7_quality_classifier, op8_lm_score, op9_mixing, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
