@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import queries_text  # noqa: F401
+from . import queries_records, queries_text  # noqa: F401
 from .registry import QUERIES, SQL
 
 

@@ -182,7 +182,7 @@ _FORMULA = "concat('C', p_size, 'H', p_size * 2, CASE WHEN p_partkey % 3 = 0 THE
     f"""WITH f AS (SELECT p_partkey, {_FORMULA} AS x FROM part), m AS (SELECT p_partkey, unnest(regexp_extract_all(x, '([A-Z][a-z]?)([0-9]*)', 1)) AS e, unnest(regexp_extract_all(x, '([A-Z][a-z]?)([0-9]*)', 2)) AS n FROM f),
 c AS (SELECT p_partkey, e, CASE WHEN n = '' THEN 1 ELSE CAST(n AS INT) END AS n FROM m)
 SELECT p_partkey, CAST(sum(n) FILTER (e = 'C') AS INT) AS carbon, CAST(sum(n) AS INT) AS atoms, CAST(count(DISTINCT e) AS INT) AS elements,
- round(sum(n * CASE e WHEN 'C' THEN 12.0 WHEN 'H' THEN 1.0078250319 WHEN 'N' THEN 14.0030740048 WHEN 'O' THEN 15.9949146196 WHEN 'Cl' THEN 34.96885271 END), 4) AS mass FROM c GROUP BY 1"""
+ round(sum(n * CASE e WHEN 'C' THEN 12.0::DOUBLE WHEN 'H' THEN 1.0078250319 WHEN 'N' THEN 14.0030740048 WHEN 'O' THEN 15.9949146196 WHEN 'Cl' THEN 34.96885271 END), 4) AS mass FROM c GROUP BY 1"""
 )
 def formula_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions import mass as M
