@@ -69,3 +69,71 @@ def fill_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Non-blank values of each column, one row for each column."""
     g = df.agg(*[F.count_if(~T.blank(F.col(c).cast("string"))).alias(c) for c in columns])
     return g.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("filled")) for c in columns])).alias("_r")).select("_r.*")
+
+
+def scorecard(df: DataFrame, keys: list[str], text: Column, rows: Column, expected: Column) -> DataFrame:
+    """One row for each arm: n, balanced, rows recovered, strict (both), median length (floor of the mean of the middle two)."""
+    ok, got = T.balanced(text), rows == expected
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("balanced"), F.count_if(got).alias("rows_recovered"), F.count_if(ok & got).alias("strict"), F.percentile(F.length(text), F.lit(0.5)).alias("_m"))
+    return g.select(*keys, "n", "balanced", "rows_recovered", "strict", F.floor("_m").alias("median_len"))
+
+
+def agreement_breakdown(df: DataFrame, agree: Column, confidence: Column, threshold: float = 0.5) -> DataFrame:
+    """total, agree, phantom (disagree and unsure), real_error (disagree and sure), median confidence (0 if there is none)."""
+    sure = confidence >= threshold
+    return df.filter(confidence.isNotNull()).agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(agree).alias("agree"), F.count_if(~agree & ~sure).alias("phantom"), F.count_if(~agree & sure).alias("real_error"),
+        F.coalesce(F.median(confidence), F.lit(0.0)).alias("median_conf"),
+    )
+
+
+def recovery_summary(df: DataFrame, tier: Column, method: Column) -> DataFrame:
+    """For each method: repairs, those in the two best tiers, and both as a share of all rows, rounded to 4."""
+    good = tier.isin("high", "medium")
+    g = df.groupBy(method.alias("method")).agg(F.count(F.lit(1)).alias("n"), F.count_if(good).alias("validated"), F.count_if(tier != "rejected").alias("apparent"))
+    return g.select("*", F.round(F.col("apparent") / F.col("n"), 4).alias("apparent_share"), F.round(F.col("validated") / F.col("n"), 4).alias("strict_share"))
+
+
+def exclusive_quartiles(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Quartiles at (n + 1) * p with linear interpolation between neighbours, and the population's spread. Needs two values or more."""
+    from pyspark.sql import Window
+
+    c = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*keys)
+    c = c.select("*", F.sum("_c").over(w.orderBy(value)).alias("_upto"), F.sum("_c").over(w).alias("_n"))
+    aggs = []
+    for i in (1, 2, 3):
+        at = F.floor((F.col("_n") + 1) * i / 4)
+        lo = F.least(F.greatest(at, F.lit(1)), F.col("_n") - 1)
+        for name, k in (("a", lo), ("b", lo + 1)):
+            aggs.append(F.max(F.when((F.col("_upto") >= k) & (F.col("_upto") - F.col("_c") < k), F.col(value))).alias(f"_{i}{name}"))
+    sd = F.sqrt(F.greatest(F.sum(F.col(value) * F.col(value) * F.col("_c")) / F.sum("_c") - F.pow(F.sum(F.col(value) * F.col("_c")) / F.sum("_c"), F.lit(2)), F.lit(0.0)))
+    g = c.groupBy(*keys).agg(F.max("_n").alias("n"), sd.alias("sd"), *aggs).filter("n > 1")
+
+    def q(i: int) -> Column:
+        pos = (F.col("n") + 1) * i
+        at = F.least(F.greatest(F.floor(pos / 4), F.lit(1)), F.col("n") - 1)
+        part = pos / 4 - at
+        return F.col(f"_{i}a") + (F.col(f"_{i}b") - F.col(f"_{i}a")) * part
+
+    return g.select(*keys, "n", "sd", *[q(i).alias(f"q{i}") for i in (1, 2, 3)])
+
+
+def least_squares(df: DataFrame, xs: list[str], y: str) -> DataFrame:
+    """Coefficients of y on xs with an intercept. The normal equations' sums are one distributed aggregation; only they are solved, in one small row."""
+    names = ["_one", *xs]
+    d = df.select(F.lit(1.0).alias("_one"), *[F.col(c).cast("double") for c in (*xs, y)]).dropna()
+    sums = [F.sum(F.col(a) * F.col(b)).alias(f"s{i}_{j}") for i, a in enumerate(names) for j, b in enumerate([*names, y])]
+    k = len(names)
+
+    def solve(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for r in b.to_pylist():
+                m = np.array([[r[f"s{i}_{j}"] or 0.0 for j in range(k + 1)] for i in range(k)])
+                beta = np.linalg.lstsq(m[:, :k], m[:, k], rcond=None)[0]
+                yield pa.RecordBatch.from_arrays([pa.array(["intercept", *xs]), pa.array(beta)], names=["term", "coefficient"])
+
+    return d.agg(*sums).mapInArrow(solve, "term string, coefficient double")

@@ -221,7 +221,7 @@ def boundary_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.boundary_groups(x, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "q"], "b", 12, 2)
 
 
-_DEPTH = f"substr({BRACKETED}, 2 + CAST(page_id % 40 AS INT), 150)"
+_DEPTH = f"replace({BRACKETED}, CASE WHEN page_id % 3 = 0 THEN '(p' ELSE '(/p' END, 'p')"
 
 
 @query(f"""WITH s AS (SELECT page_id, {_DEPTH} AS x FROM pages), c AS (SELECT page_id, unnest(string_split(x, '')) AS ch, generate_subscripts(string_split(x, ''), 1) AS i FROM s),
