@@ -9,7 +9,8 @@ from .registry import QUERIES, SQL
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["bracket_deficit"](spark, sf_dir)
+    """The delivered table: records deduplicated, joined in full, best value chosen, checked and qualified."""
+    return QUERIES["promotion_policy"](spark, sf_dir)
 
 
 def queries() -> dict:
