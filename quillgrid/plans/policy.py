@@ -16,7 +16,7 @@ from ..functions import text as T
 from ..operators.records import final_precedence
 
 FINGERPRINT = "struct<formula:string,heavy_atoms:int,exact_mass:double,rings:int,largest_ring:int,amides:int,stereo_centres:int,charge:int,fragments:int,mol_weight:double,canonical:string>"
-AUDIT = "struct<repaired:string,method:string,tier:string,note:string,atoms_invented:int,atoms_deleted:int,validated:boolean>"
+AUDIT = "struct<ring:int,repaired:string,repaired_mass:double,method:string,tier:string,note:string,atoms_invented:int,atoms_deleted:int,validated:boolean>"
 SEARCHED = "struct<smiles:string,mass:double,formula:string,largest_ring:int,inserts:int,subs:int,dels:int,states:int,trace:string>"
 
 
@@ -52,16 +52,17 @@ def with_fingerprint(df: DataFrame, column: str, out: str) -> DataFrame:
     return _each_text(df, column, out, FINGERPRINT, M.fingerprint)
 
 
-def _repair(text: str) -> dict | None:
-    if M.intact(text):
-        return None
+def _repair(text: str) -> dict:
+    ring = M.largest_ring(text)
+    if ring >= M.LEAST_MACROCYCLE:
+        return {"ring": ring}
     got, method = R.repair_macrocycle(text)
-    a = R.audit(text, got, method or "")
-    return {"repaired": got, "method": method, **{k: a[k] for k in ("tier", "note", "atoms_invented", "atoms_deleted", "validated")}}
+    a, mol = R.audit(text, got, method or ""), M.read(got or "")
+    return {"ring": ring, "repaired": got, "repaired_mass": mol and round(M.exact_mass(mol), 4), "method": method, **{k: a[k] for k in ("tier", "note", "atoms_invented", "atoms_deleted", "validated")}}
 
 
 def with_repair(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Repair of a broken macrocycle and its audit; null where the string is intact or empty. Only broken strings do the work."""
+    """Largest ring of a structure string and, where its macrocycle is broken, the repair with its audit; null for an empty string."""
     return _each_text(df, column, out, AUDIT, _repair)
 
 
@@ -86,13 +87,12 @@ def promote(rows: DataFrame, require_mass_gate: bool = True) -> DataFrame:
     """
     x = rows.drop("smiles_best", "smiles_best_source", "molecular_weight", "heavy_atom_count")
     model = T.strip(F.coalesce(F.col("smiles_decimer"), F.lit("")))
-    x = with_repair(with_fingerprint(x.withColumn("_m", model), "_m", "_mfp"), "_m", "_a")
-    x = with_fingerprint(x.withColumn("_rep", F.col("_a.repaired")), "_rep", "_rfp")
+    x = with_repair(x.withColumn("_m", model), "_m", "_a").withColumn("_rep", F.col("_a.repaired"))
     mz, ion = T.parse_number(F.col("ms_mz").cast("string")), X.polarity(F.coalesce(F.col("ms_polarity"), F.lit("")))
-    intact = F.coalesce(F.col("_mfp.largest_ring") >= M.LEAST_MACROCYCLE, F.lit(False))
+    intact = F.coalesce(F.col("_a.ring") >= M.LEAST_MACROCYCLE, F.lit(False))
     found = F.col("_rep").isNotNull()
     validated = F.coalesce(F.col("_a.validated"), F.lit(False))
-    mass_ok = (X.verdict(F.col("_rfp.exact_mass"), mz, ion)["verdict"] == "match") | F.lit(not require_mass_gate)
+    mass_ok = (X.verdict(F.col("_a.repaired_mass"), mz, ion)["verdict"] == "match") | F.lit(not require_mass_gate)
     empty = F.col("_m") == ""
     status = (
         F.when(empty, "not_attempted").when(intact, "not_repaired").when(~found, "rejected")
@@ -121,7 +121,7 @@ def promote(rows: DataFrame, require_mass_gate: bool = True) -> DataFrame:
             "molecular_weight": F.col("_bfp.mol_weight"), "heavy_atom_count": F.col("_bfp.heavy_atoms"),
         }
     )
-    return x.drop("_m", "_mfp", "_a", "_rep", "_rfp", "_b", "_bfp", "_v")
+    return x.drop("_m", "_a", "_rep", "_b", "_bfp", "_v")
 
 
 def structure_layer(rows: DataFrame) -> DataFrame:

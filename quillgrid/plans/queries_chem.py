@@ -51,7 +51,7 @@ def parse_chem(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repairs of damaged strings and their tiers."""
-    return policy.with_repair(structures(spark, sf_dir), "damaged", "a").filter("a IS NOT NULL").select("p_partkey", "a.*")
+    return policy.with_repair(structures(spark, sf_dir), "damaged", "a").filter("a.tier IS NOT NULL").select("p_partkey", "a.*")
 
 
 @query()

@@ -41,10 +41,10 @@ def first_page_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.accumulate_pages(recs(spark, sf_dir)).select("key", "page", "pos")
 
 
-@query("SELECT l_orderkey, l_linenumber, max_by(l_extendedprice, l_partkey * 1000000 + l_suppkey) AS price FROM lineitem GROUP BY 1, 2")
+@query("SELECT l_orderkey, l_linenumber, max_by(l_extendedprice, (l_partkey, l_suppkey, l_extendedprice)) AS price FROM lineitem GROUP BY 1, 2")
 def last_write_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A later write of a key replaces an earlier one."""
-    x = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"), F.expr("l_partkey * 1000000 + l_suppkey").alias("pos"))
+    x = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"), F.struct("l_partkey", "l_suppkey", "l_extendedprice").alias("pos"))
     return records.last_of_each(x, ["l_orderkey", "l_linenumber"], "pos").select("l_orderkey", "l_linenumber", "price")
 
 
@@ -78,10 +78,10 @@ def final_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select(F.col("o_orderkey").alias("k"), b.alias("b")).select("k", "b.best", "b.source")
 
 
-@query("WITH l AS (SELECT l_orderkey, arg_min(l_shipdate, (l_linenumber, l_partkey, l_suppkey)) AS ship FROM lineitem GROUP BY 1) SELECT coalesce(o_orderkey, l_orderkey) AS k, o_totalprice, ship FROM orders FULL JOIN l ON o_orderkey = l_orderkey")
+@query("WITH l AS (SELECT l_orderkey, arg_min(l_shipdate, (l_linenumber, l_partkey, l_suppkey, l_shipdate)) AS ship FROM lineitem GROUP BY 1) SELECT coalesce(o_orderkey, l_orderkey) AS k, o_totalprice, ship FROM orders FULL JOIN l ON o_orderkey = l_orderkey")
 def orders_assay_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first line of each order, joined in full."""
-    first = t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min_by("l_shipdate", F.struct("l_linenumber", "l_partkey", "l_suppkey")).alias("ship"))
+    first = t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min_by("l_shipdate", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")).alias("ship"))
     return t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").join(first, F.col("o_orderkey") == F.col("l_orderkey"), "full_outer").select(F.coalesce("o_orderkey", "l_orderkey").alias("k"), "o_totalprice", "ship")
 
 
