@@ -16,10 +16,11 @@ from ..functions.mass import ISOTOPES
 # Standard atomic weights.
 WEIGHTS = {"H": 1.008, "C": 12.011, "N": 14.007, "O": 15.999, "F": 18.998, "P": 30.974, "S": 32.06, "Cl": 35.45, "Br": 79.904, "I": 126.904, "Si": 28.086, "Se": 78.971, "B": 10.81, "Na": 22.990, "K": 39.098, "Li": 6.94, "Ca": 40.078, "Mg": 24.305, "Zn": 65.38, "Fe": 55.845, "As": 74.922}
 EXACT = ISOTOPES | {"Na": 22.98976928, "K": 38.96370649, "Li": 7.0160034, "Ca": 39.9625909, "Mg": 23.9850417, "Zn": 63.9291420, "Fe": 55.9349363, "As": 74.9215946}
+HEAVIER = {("H", 2): 2.0141017778, ("C", 13): 13.0033548378, ("N", 15): 15.0001088982, ("O", 18): 17.999161}
 VALENCES = {"B": (3,), "C": (4,), "N": (3, 5), "O": (2,), "P": (3, 5, 7), "S": (2, 4, 6), "F": (1,), "Cl": (1,), "Br": (1,), "I": (1, 5)}
 AROMATIC = {"b", "c", "n", "o", "p", "s", "se", "as"}
 ORDERS = {"-": 1, "=": 2, "#": 3, "$": 4, ":": 1.5, "/": 1, "\\": 1, "~": 1}
-BRACKET = re.compile(r"^(\d*)(se|as|[A-Z][a-z]?|[bcnops])(@{0,2})(?:H(\d*))?(\+{1,4}|-{1,4}|[+-]\d+)?(?::\d+)?$")
+BRACKET = re.compile(r"^(\d*)(se|as|[A-Z][a-z]?|[bcnops]|\*)(@{0,2})(?:(?:TH|AL|SP|TB|OH)\d{1,2})?(?:H(\d*))?(\+{1,4}|-{1,4}|[+-]\d+)?(?::\d+)?$")
 LEAST_MACROCYCLE = 12
 
 
@@ -86,9 +87,9 @@ def parse(text: str) -> Mol:
             iso, sym, chi, h, q = m.groups()
             charge = 0 if not q else (len(q) if q[-1] == "+" else -len(q)) if not q[1:].isdigit() else int(q)
             name = sym.capitalize()
-            if name not in WEIGHTS and name not in EXACT:
+            if name != "*" and name not in WEIGHTS and name not in EXACT:
                 raise Bad(f"element {name}")
-            hs = 0 if "H" not in text[i + 1 : j][len(iso) + len(sym) :] else int(h) if h else 1
+            hs = 0 if h is None else int(h) if h else 1
             attach(Atom(name, sym[0].islower(), charge, int(iso or 0), hs, len(chi)))
             i = j + 1
         elif text[i : i + 2] in ("Cl", "Br"):
@@ -97,6 +98,9 @@ def parse(text: str) -> Mol:
         elif ch in "BCNOPSFI":
             attach(Atom(ch))
             i += 1
+        elif ch == "*":
+            attach(Atom("*"))
+            i += 1
         elif ch in "bcnops":
             attach(Atom(ch.upper(), True))
             i += 1
@@ -206,6 +210,8 @@ def _sanitise(mol: Mol) -> None:
             if at.symbol == "O" and used + at.h > 2 + max(at.charge, 0):
                 raise Bad("valence")
             continue
+        if at.symbol == "*":
+            continue
         fit = [v for v in VALENCES[at.symbol] if v >= used]
         if not fit:
             raise Bad("valence")
@@ -461,6 +467,8 @@ def _write(mol: Mol, root: int, rank: list[int], same: list[int], arom: set[int]
             written = [x for x in at.around]
             if sorted(written) == sorted(order):
                 mark = "@" if (at.chiral == 1) != _parity(written, order) else "@@"
+        if at.symbol == "*" and not at.charge and not at.isotope and not at.hydrogens:
+            return "*"
         plain = at.symbol in VALENCES and not at.charge and not at.isotope and not mark
         if plain and (a not in arom or at.symbol in ("C", "O", "S") or at.hydrogens == 0):
             used = sum(mol.order(a, b) for b in mol.near[a])
@@ -535,7 +543,7 @@ def elements(mol: Mol) -> Counter:
 
 def exact_mass(mol: Mol) -> float:
     electron = 0.00054857990946
-    base = sum(float(a.isotope) if a.isotope else EXACT.get(a.symbol, 0.0) for a in mol.atoms)
+    base = sum(HEAVIER.get((a.symbol, a.isotope), float(a.isotope)) if a.isotope else EXACT.get(a.symbol, 0.0) for a in mol.atoms)
     return base + EXACT["H"] * sum(a.hydrogens for a in mol.atoms) - electron * sum(a.charge for a in mol.atoms)
 
 
@@ -586,6 +594,7 @@ def largest_fragment(text: str) -> str | None:
     return canonical(mol, max(parts, key=len)) if len(parts) > 1 else canonical(mol)
 
 
+@lru_cache(maxsize=20_000)
 def fingerprint(text: str) -> dict | None:
     """Invariants by which two strings are compared."""
     mol = read(text)

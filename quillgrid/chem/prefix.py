@@ -10,9 +10,10 @@ import re
 from typing import NamedTuple
 
 BONDS = set("-=#$:/\\~")
-ORGANIC1 = set("BCNOPSFIbcnops")
-_INSIDE = re.compile(r"^\d*(?:$|(?:[A-Z][a-z]?|[bcnops]|se|as)(?:@{0,2})(?:H\d*)?(?:\+{1,4}|-{1,4}|[+-]\d*)?(?::\d*)?$|[A-Z]$|[as]$)")
-_WHOLE = re.compile(r"^\d*(?:[A-Z][a-z]?|[bcnops]|se|as)@{0,2}(?:H\d*)?(?:\+{1,4}|-{1,4}|[+-]\d+)?(?::\d+)?$")
+ORGANIC1 = set("BCNOPSFIbcnops*")
+_SYMBOL = r"(?:[A-Z][a-z]?|[bcnops]|se|as|\*)"
+_INSIDE = re.compile(rf"^\d*(?:$|[as]$|{_SYMBOL}@{{0,2}}(?:$|(?:TH?|AL?|SP?|TB?|OH?)\d{{0,2}}$|(?:(?:TH|AL|SP|TB|OH)\d{{1,2}})?(?:H\d*)?(?:\+{{1,4}}|-{{1,4}}|[+-]\d*)?(?::\d*)?$))")
+_WHOLE = re.compile(rf"^\d*{_SYMBOL}@{{0,2}}(?:(?:TH|AL|SP|TB|OH)\d{{1,2}})?(?:H\d*)?(?:\+{{1,4}}|-{{1,4}}|[+-]\d+)?(?::\d+)?$")
 
 
 class State(NamedTuple):

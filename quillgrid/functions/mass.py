@@ -29,7 +29,8 @@ def polarity(label: Column) -> Column:
     delta = F.when(body.isin("M", ""), PROTON)
     for key in sorted(ADDUCTS, key=len, reverse=True):
         delta = delta.when(body.contains(key), ADDUCTS[key])
-    return F.when((s != "") & delta.isNotNull(), F.struct(delta.alias("delta"), charge.alias("charge")))
+    known = body.rlike("|".join(["^M?$", *[k.replace("+", r"\+") for k in ADDUCTS]]))
+    return F.when((s != "") & known, F.struct(delta.alias("delta"), charge.alias("charge")))
 
 
 def neutral_mass(mz: Column, ion: Column) -> Column:
@@ -43,7 +44,8 @@ def ppm(expected: Column, observed: Column) -> Column:
 
 def _decimals(value: Column) -> Column:
     """Decimals of a double as it prints, without trailing zeros."""
-    return F.length(F.regexp_extract(F.format_string("%.10f", value), r"\.(\d*?)0*$", 1))
+    plain = F.abs(value).between(1e-3, 9_999_999.0)  # others print with an exponent
+    return F.length(F.regexp_extract(F.when(plain, value.cast("string")).otherwise(F.format_string("%.10f", value)), r"\.(\d*?)0*$", 1))
 
 
 def printing_tolerance_ppm(mz: Column) -> Column:
@@ -59,7 +61,7 @@ def mass_window(mz: Column, ion: Column) -> Column:
 
 
 def verdict(mass: Column, mz: Column, ion: Column, tolerance: Column | None = None) -> Column:
-    """struct(verdict, error_ppm, expected): positive ppm if the printed mass is the heavier one."""
+    """struct(verdict, error_ppm, expected); give mz and ion as columns of their own, not as expressions. Positive ppm if the printed mass is the heavier one."""
     expected = F.when(mz != 0, neutral_mass(mz, ion))
     err = ppm(mass, expected)
     tol = printing_tolerance_ppm(mz) if tolerance is None else tolerance

@@ -27,17 +27,19 @@ def tier_rank(tier: Column) -> Column:
 
 
 def _each_text(df: DataFrame, column: str, out: str, kind: str, work) -> DataFrame:
-    """Adds a column computed from a text column by plain Python, once for each distinct text; null and empty give null."""
-    base = df.withColumn("_w", F.when(F.coalesce(F.col(column), F.lit("")) != "", F.col(column)))
-    texts = base.filter("_w IS NOT NULL").select(F.col("_w").alias("_t")).distinct()
+    """Adds a column computed from a text column by plain Python; null and empty give null.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = [work(x) for x in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, _arrow(kind))], names=["_t", "_v"])
+    An Arrow function of that one column: rows stay where they are, other columns don't leave the JVM, and a text that
+    a batch holds several times is worked on once.
+    """
+    arrow = _arrow(kind)
+
+    @F.arrow_udf(kind)
+    def run(col: pa.Array) -> pa.Array:
+        d = col.dictionary_encode()
+        return pa.array([work(x) if x else None for x in d.dictionary.to_pylist()], arrow).take(d.indices)
 
-    done = texts.mapInArrow(run, f"_t string, _v {kind}")
-    return base.join(done, F.col("_w") == F.col("_t"), "left").drop("_w", "_t").withColumnRenamed("_v", out)
+    return df.withColumn(out, run(F.col(column)))
 
 
 def _arrow(kind: str) -> pa.DataType:
@@ -88,21 +90,25 @@ def promote(rows: DataFrame, require_mass_gate: bool = True) -> DataFrame:
     x = rows.drop("smiles_best", "smiles_best_source", "molecular_weight", "heavy_atom_count")
     model = T.strip(F.coalesce(F.col("smiles_decimer"), F.lit("")))
     x = with_repair(x.withColumn("_m", model), "_m", "_a").withColumn("_rep", F.col("_a.repaired"))
-    mz, ion = T.parse_number(F.col("ms_mz").cast("string")), X.polarity(F.coalesce(F.col("ms_polarity"), F.lit("")))
+    x = x.withColumns({"_mz": T.parse_number(F.col("ms_mz").cast("string")), "_ion": X.polarity(F.coalesce(F.col("ms_polarity"), F.lit("")))})
+    mz, ion = F.col("_mz"), F.col("_ion")
     intact = F.coalesce(F.col("_a.ring") >= M.LEAST_MACROCYCLE, F.lit(False))
     found = F.col("_rep").isNotNull()
     validated = F.coalesce(F.col("_a.validated"), F.lit(False))
-    mass_ok = (X.verdict(F.col("_a.repaired_mass"), mz, ion)["verdict"] == "match") | F.lit(not require_mass_gate)
+    x = x.withColumn("_rv", X.verdict(F.col("_a.repaired_mass"), mz, ion))
+    mass_ok = (F.col("_rv.verdict") == "match") | F.lit(not require_mass_gate)
     empty = F.col("_m") == ""
     status = (
         F.when(empty, "not_attempted").when(intact, "not_repaired").when(~found, "rejected")
         .when(validated & mass_ok, "validated").when(validated, "experimental").when(F.col("_a.tier") == "rejected", "rejected").otherwise("experimental")
     )
+    x = x.withColumn("repair_review_status", status)
+    status = F.col("repair_review_status")
     method = F.when(empty, "no_decimer_output").when(intact, "").when(~found, "no_repair_found").otherwise(F.coalesce("_a.method", F.lit("")))
     attempted = ~empty & ~intact & found
     x = x.withColumns(
         {
-            "repair_review_status": status, "repair_method": method, "repair_confidence": F.when(attempted, F.col("_a.tier")).otherwise("none"),
+            "repair_method": method, "repair_confidence": F.when(attempted, F.col("_a.tier")).otherwise("none"),
             "repaired_smiles": F.when(attempted, F.col("_rep")), "is_repaired": attempted, "repair_atoms_invented": F.when(attempted, F.col("_a.atoms_invented")),
             "repair_atoms_deleted": F.when(attempted, F.col("_a.atoms_deleted")), "smiles_candidate_repair": F.when(attempted & (status != "validated"), F.col("_rep")),
         }
@@ -121,7 +127,7 @@ def promote(rows: DataFrame, require_mass_gate: bool = True) -> DataFrame:
             "molecular_weight": F.col("_bfp.mol_weight"), "heavy_atom_count": F.col("_bfp.heavy_atoms"),
         }
     )
-    return x.drop("_m", "_a", "_rep", "_b", "_bfp", "_v")
+    return x.drop("_m", "_a", "_rep", "_b", "_bfp", "_v", "_mz", "_ion", "_rv")
 
 
 def structure_layer(rows: DataFrame) -> DataFrame:
