@@ -12,6 +12,8 @@ PROTON = 1.007276466
 ADDUCTS = {"H": 1.007276466, "Na": 22.98976928, "K": 38.9637069, "NH4": 18.033823, "CH3OH+H": 32.026215 + 1.007276466, "HCOO": -44.998201, "FA-H": -44.998201}
 # Masses of the commonest isotopes.
 ISOTOPES = {"H": 1.0078250319, "C": 12.0, "N": 14.0030740048, "O": 15.9949146196, "F": 18.99840316273, "P": 30.97376151, "S": 31.9720711744, "Cl": 34.96885271, "Br": 78.9183376, "I": 126.904473, "Si": 27.9769265325, "Se": 79.9165218, "B": 11.0093054}
+# Standard atomic weights of the same elements.
+AVERAGE = {"H": 1.008, "C": 12.011, "N": 14.007, "O": 15.999, "F": 18.998, "P": 30.974, "S": 32.06, "Cl": 35.45, "Br": 79.904, "I": 126.904, "Si": 28.086, "Se": 78.971, "B": 10.81}
 H_PER_C, H_TOLERANCE, LEAST_SLACK = (0.5, 3.0), 0.25, 0.06
 
 
@@ -161,4 +163,23 @@ def trusted(entropy: Column, low_count: Column, most_entropy: float = 0.5, most_
     return (entropy.isNull() | (entropy <= most_entropy)) & (low_count.isNull() | (low_count <= most_low))
 
 
+def masses(counts: Column, ion: Column) -> Column:
+    """struct(mono, rounded, average) of an ion's m/z from element counts with hydrogens, by three tables of masses."""
+    tables = {"mono": ISOTOPES, "rounded": {e: round(m, 1) for e, m in ISOTOPES.items()}, "average": AVERAGE}
+    z = F.abs(ion["charge"])
+
+    def mz(weights: dict) -> Column:
+        w = table(weights)
+        m = F.aggregate(F.map_entries(counts), F.lit(0.0), lambda s, e: s + F.coalesce(F.try_element_at(w, e["key"]), F.lit(0.0)) * e["value"])
+        return (m + ion["charge"] * ion["delta"]) / z
+
+    return F.struct(*[mz(w).alias(n) for n, w in tables.items()])
+
+
+def composition_class(counts: Column, target: Column, slack: Column) -> Column:
+    """Four classes of a composition: unknown, heavy, fits (hydrogens near a whole number), off."""
+    v = gate(counts, target, slack)
+    return F.when(v.isin("needs_ca_fix", "unknown_elements"), "unknown").when(v == "too_heavy", "heavy").when(v == "on_integer_h", "fits").otherwise("off")
+
+
 __all__ = [n for n in dir() if not n.startswith("_") and n not in ("Column", "F", "annotations", "count")]

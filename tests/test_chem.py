@@ -133,3 +133,9 @@ def test_ctc():
 
 def test_neighbours():
     assert set(R.single_edits("ab", "x")) == {"xab", "xb", "b", "axb", "ax", "a", "abx"}
+
+
+def test_alignments():
+    assert R.partners("CC(=O)N", "CC=ON") == {0: "C", 1: "C", 3: "=", 4: "O", 6: "N"}
+    assert R.tile("CC(=O)N", ["CC=", "ON"]) == ["CC(=", "O)N"]
+    assert R.flips("C]C@@H](C)C(=O)NC") == ([1, 6], [1]) and R.flips("CC") == ([], [])

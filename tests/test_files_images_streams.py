@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillgrid.operators import imaging as I
-from quillgrid.plans import schema
+from quillgrid.plans import extract, schema
+from quillgrid.plans.profiles import profile
 from quillgrid.sources import files
 from quillgrid.streaming import pending
 
@@ -127,3 +128,28 @@ def test_streams(spark, tmp_path):
         w.processAllAvailable()
         w.stop()
     assert spark.read.parquet(cache).count() == 5
+
+
+def test_extraction(spark, tmp_path):
+    """Two pages of a ruled table with three columns; a recorded reader stands in for a model."""
+    for name in ("p1.png", "p2.png"):
+        (tmp_path / name).write_bytes(I.encode_png(page()))
+    (tmp_path / "p3.png").write_bytes(b"broken")
+    images = files.images(spark, str(tmp_path), ("*.png",))
+    found = extract.cells(images, run=300, line=300)
+    assert found.filter("error IS NOT NULL").count() == 1 and found.filter("png IS NOT NULL").count() == 18
+    texts = {("p1", 0): ("No.", "S", ""), ("p1", 1): ("7", "CC", ""), ("p1", 2): ("8", "CO", ""), ("p2", 0): ("No.", "S", ""), ("p2", 1): (" ", "N", ""), ("p2", 2): ("9", "CCl", "")}
+    readings = found.filter("png IS NOT NULL").select("path", "table", "row", "column", "n_columns")
+    rows = [(r.path, r.table, r.row, r.column, r.n_columns, s, i, texts[r.path[-6:-4], r.row][r.column], 1, None) for r in readings.collect() for i, s in enumerate(("line", "ch"))]
+    comp, assay = extract.records(spark.createDataFrame(rows, extract.READING), profile("WO2022251372"))
+    assert {(r.cmpd_id, r.smiles) for r in comp.collect()} == {("7", "CC"), ("8", "CON"), ("9", "CCl")}
+    assert assay.count() == 0
+    read = extract.read(found, lambda: lambda g: [("line", str(g.shape[0] > 0), 1)])
+    assert {r.text for r in read.collect()} == {"True"}
+
+
+def test_model_stage(spark):
+    work = spark.createDataFrame([("1",), ("2",)], "k string")
+    cache = spark.createDataFrame([("1", "old"), ("9", "x")], "k string, v string")
+    both, new = extract.run_model(work, "k", cache, lambda df: df.withColumn("v", F.lit("new")))
+    assert {tuple(r) for r in both.collect()} == {("1", "old"), ("2", "new")} and new.count() == 1
