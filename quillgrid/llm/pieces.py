@@ -22,7 +22,7 @@ U64 = np.uint64
 #: Chance that a candidate merge is skipped; groups of texts that segment a word differently.
 DROPOUT, VARIANTS, SEED = 0.1, 16, 6
 #: Units of more characters are segmented with a heap; texts are worked through in slices of about so many bytes.
-LONG, SLICE_BYTES, SLICE_ROWS = 48, 1 << 23, 4096
+LONG, SLICE_BYTES, SLICE_ROWS = 48, 1 << 21, 4096
 SPACE, NONE = 0x2581, np.int64(1) << 40
 
 
