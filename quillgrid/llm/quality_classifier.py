@@ -100,7 +100,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-3
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
     w = np.zeros(x.shape[1])
     weight = weight / max(weight.sum(), 1e-9)
-    reg = np.full(x.shape[1], l2)
+    reg = np.full(x.shape[1], l2 + 1 / max(len(x), 1))
     reg[-1] = 1e-9
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
