@@ -245,13 +245,13 @@ def train(docs: DataFrame, text_col: str = "text", shards: int | None = None) ->
         some = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(count[some])], names=["k", "c"])
 
-    seen = texts.mapInArrow(histogram, "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).toPandas()  # HEAVY rows at most
+    seen = texts.mapInArrow(K.releasing(histogram), "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).toPandas()  # HEAVY rows at most
     heavy = np.zeros(HEAVY, bool)
     heavy[seen["k"].to_numpy(np.int64)[seen["c"].to_numpy(np.int64) > SHARE * seen["c"].sum()]] = True
-    pairs = texts.mapInArrow(_count_pairs(heavy, shards), "shard int, blob binary").repartition(shards, "shard").sortWithinPartitions("shard")
-    merged = written(pairs.mapInArrow(_merge_pairs(folder, words), "shard int, blob binary, n1 long, n2 long, n3 long, n4 long"), "merged")
+    pairs = texts.mapInArrow(K.releasing(_count_pairs(heavy, shards)), "shard int, blob binary").repartition(shards, "shard").sortWithinPartitions("shard")
+    merged = written(pairs.mapInArrow(K.releasing(_merge_pairs(folder, words)), "shard int, blob binary, n1 long, n2 long, n3 long, n4 long"), "merged")
     by_word = merged.select("shard", "blob").repartition(words, "shard").sortWithinPartitions("shard")
-    stats = by_word.mapInArrow(_merge_words(folder), "v long, n long, types long, n1 long, n2 long, n3 long, n4 long").agg(*[F.sum(c).alias(c) for c in ("v", "n", "types", "n1", "n2", "n3", "n4")]).first().asDict()
+    stats = by_word.mapInArrow(K.releasing(_merge_words(folder)), "v long, n long, types long, n1 long, n2 long, n3 long, n4 long").agg(*[F.sum(c).alias(c) for c in ("v", "n", "types", "n1", "n2", "n3", "n4")]).first().asDict()
     high = merged.agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in (1, 2, 3, 4)]).first().asDict()
     whole = {k: int(v or 0) for k, v in stats.items()}
     return {
@@ -361,5 +361,5 @@ def lm_score(docs: DataFrame, parts: int = 7, rest: int = 2, id_col: str = "doc_
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("_id"), flag.alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
-    out = rows.mapInArrow(run, f"_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = rows.mapInArrow(K.releasing(run), f"_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("_id", id_col).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

@@ -177,7 +177,7 @@ def ngram_join(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col:
     copies 1. Repeated rows are copies of each other. Other columns are ignored. No rows in, no rows out.
     """
     base = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
-    sig = written(base.mapInArrow(_signatures(k), "_id long, node long, bands array<long>"), "signatures")
+    sig = written(base.mapInArrow(K.releasing(_signatures(k)), "_id long, node long, bands array<long>"), "signatures")
     good = sig.filter("node IS NOT NULL AND _id IS NOT NULL")
     nodes = written(good.groupBy("node").agg(F.min("_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "nodes")
     keyed = nodes.select("node", F.posexplode("bands").alias("band", "h")).select("node", F.xxhash64("band", "h").alias("h"))
@@ -196,7 +196,7 @@ def ngram_join(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col:
         "comp", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "nb", "node", "blk", "copies", "_t"
     )
     groups = dealt.repartition("comp", "lo", "hi").sortWithinPartitions("comp", "lo", "hi")
-    found = written(groups.mapInArrow(_verify(k, num, den), "node long, root long, n long, w long"), "verified")
+    found = written(groups.mapInArrow(K.releasing(_verify(k, num, den)), "node long, root long, n long, w long"), "verified")
     links = found.groupBy("node").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).filter("n > 0")
     final = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     rep = nodes.select(F.col("node"), "rep", "copies")

@@ -23,6 +23,8 @@ U64 = np.uint64
 DROPOUT, VARIANTS, SEED = 0.1, 16, 6
 #: Units of more characters are segmented with a heap; texts are worked through in slices of about so many bytes.
 LONG, SLICE_BYTES, SLICE_ROWS = 48, 1 << 21, 4096
+#: Cells of a matrix of units x characters.
+CELLS = 1 << 17
 SPACE, NONE = 0x2581, np.int64(1) << 40
 
 
@@ -253,8 +255,9 @@ def encode_slice(p: Pieces, b: np.ndarray, o: np.ndarray, key: np.ndarray, dropo
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for lo, hi in ((1, 4), (5, 6), (7, 8), (9, 11), (12, 15), (16, 23), (24, LONG)):
         rows_all = np.flatnonzero((size >= lo) & (size <= hi))
-        for cut in range(0, len(rows_all), 16384):
-            rows = rows_all[cut : cut + 16384]
+        step = CELLS // hi
+        for cut in range(0, len(rows_all), step):
+            rows = rows_all[cut : cut + step]
             w = np.arange(hi)
             inside = w < size[rows][:, None]
             m = np.where(inside, flat[np.minimum(at[rows][:, None] + w, len(flat) - 1)], -9)
@@ -347,7 +350,7 @@ def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEE
 
     group = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(variants)).cast("long")
     rows = docs.select(F.col(id_col).alias("_id"), group.alias("_g"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
-    out = rows.mapInArrow(run, f"_id {kind}, ids array<int>, n_tokens long, n_bytes long, lossless boolean")
+    out = rows.mapInArrow(K.releasing(run), f"_id {kind}, ids array<int>, n_tokens long, n_bytes long, lossless boolean")
     return out.withColumnRenamed("_id", id_col)
 
 
@@ -366,4 +369,4 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
                 data = raw.tobytes()
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([data[o[i] : o[i + 1]].decode(errors="replace") for i in range(len(lists))])], names=["_id", "text"])
 
-    return encoded.select(F.col(id_col).alias("_id"), F.col(ids_col).alias("_ids")).mapInArrow(run, f"_id {kind}, text string").withColumnRenamed("_id", id_col)
+    return encoded.select(F.col(id_col).alias("_id"), F.col(ids_col).alias("_ids")).mapInArrow(K.releasing(run), f"_id {kind}, text string").withColumnRenamed("_id", id_col)

@@ -206,7 +206,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
         got = got[np.random.Generator(np.random.PCG64(7)).permutation(len(got))]
         yield pa.RecordBatch.from_arrays([pa.array([pack(fit(tuple(v[got] for v in x), t[got], tuple(v[t < 0] for v in x)))], pa.binary())], names=["model"])
 
-    model = bytes(sample.mapInArrow(measure, "y int, a binary, p binary").repartition(1).mapInArrow(train, "model binary").first()[0])
+    model = bytes(sample.mapInArrow(K.releasing(measure), "y int, a binary, p binary").repartition(1).mapInArrow(K.releasing(train), "model binary").first()[0])
     kind = docs.schema[id_col].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,5 +217,5 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
                 s = predict(m, views(part.select([1, 2, 3])))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(4), *(pa.array(x) for x in s)], names=["_id", "held_out", "score", "score_text", "score_page"])
 
-    out = base.select("*", held_out("_id").alias("held_out")).mapInArrow(score, f"_id {kind}, held_out boolean, score double, score_text double, score_page double")
+    out = base.select("*", held_out("_id").alias("held_out")).mapInArrow(K.releasing(score), f"_id {kind}, held_out boolean, score double, score_text double, score_page double")
     return out.withColumnRenamed("_id", id_col).withColumn("kept", F.col("score") >= threshold)

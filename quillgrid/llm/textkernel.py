@@ -9,7 +9,8 @@ temporary memory does not depend on the length of a text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -157,5 +158,24 @@ def shingles(h: np.ndarray, n: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.n
     return mix(out), count
 
 
-def table_rows(col: pa.Array | None, n: int, kind: pa.DataType) -> pa.Array:
-    return pa.nulls(n, kind) if col is None else col
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on for later stages, and would hold their peak."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def releasing(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` for mapInArrow, with memory given back at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for out in work(batches):
+                yield out
+                del out
+        finally:
+            release()
+
+    return run

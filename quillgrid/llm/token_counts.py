@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import shared
+from . import shared, textkernel
 
 CACHE = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("tokenizer", T.StringType()), T.StructField("n_tokens", T.LongType())])
 #: Texts go to the tokenizer in groups of about so many characters, so memory does not depend on the batch.
@@ -83,7 +83,7 @@ def token_counts(docs: DataFrame, path: str, cache_path: str, limit: int = 512,
             n = count_tokens(b.column(1).to_pylist(), path)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())], names=["digest", "tokenizer", "n_tokens"])
 
-    misses.select("digest", "_t").mapInArrow(encode, CACHE).write.mode("append").parquet(cache_path)
+    misses.select("digest", "_t").mapInArrow(textkernel.releasing(encode), CACHE).write.mode("append").parquet(cache_path)
     counts = _cached(spark, cache_path).filter(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     rows = docs.select(F.col(id_col).alias("_id"), digest.alias("digest"), F.octet_length(text).cast("long").alias("n_bytes"))
     return rows.join(counts, "digest").select(F.col("_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -135,7 +135,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     y = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("_k")).agg(F.max(label_col).cast("int").alias("_y"))
     some = y.orderBy(F.xxhash64(F.lit(5), "_k"), "_k").limit(max_rows)  # max_rows x 12 bytes at most are broadcast
     texts = docs.join(F.broadcast(some), F.col(id_col) == F.col("_k")).select("_y", F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
-    found = texts.mapInArrow(_examples, "y int, x binary").repartition(1)
+    found = texts.mapInArrow(K.releasing(_examples), "y int, x binary").repartition(1)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ys, xs = [], []
@@ -145,7 +145,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         order = sorted(range(len(ys)), key=lambda i: (ys[i], xs[i].tobytes()))[: 2 * max_rows]  # the same order, however rows arrive
         yield pa.RecordBatch.from_arrays([pa.array([pack(fit([xs[i] for i in order], np.array([ys[i] for i in order], np.float64)))], pa.binary())], names=["model"])
 
-    return bytes(found.mapInArrow(train, "model binary").first()[0])
+    return bytes(found.mapInArrow(K.releasing(train), "model binary").first()[0])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS) -> DataFrame:
@@ -167,7 +167,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col:
 
     rows = docs.select(F.col(id_col).alias("_id"), held_out(id_col).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
     kind = docs.schema[id_col].dataType.simpleString()
-    out = rows.mapInArrow(score, f"_id {kind}, held_out boolean, score double")
+    out = rows.mapInArrow(K.releasing(score), f"_id {kind}, held_out boolean, score double")
     return out.select(F.col("_id").alias(id_col), "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -181,4 +181,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_co
         for b in batches:
             yield b.filter(pa.array(predict(m, b.column(at)) < threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(K.releasing(keep), docs.schema)
