@@ -137,3 +137,23 @@ def least_squares(df: DataFrame, xs: list[str], y: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(["intercept", *xs]), pa.array(beta)], names=["term", "coefficient"])
 
     return d.agg(*sums).mapInArrow(solve, "term string, coefficient double")
+
+
+def interpolated_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[str, float]) -> DataFrame:
+    """Exact quantiles of each group, linear between the values at both sides of (n - 1) * q, with least, greatest and mean.
+
+    As in nearest_rank, values are counted before they are ranked, so what is ordered is a group's distinct values.
+    """
+    from pyspark.sql import Window
+
+    c = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*keys)
+    c = c.select("*", F.sum("_c").over(w.orderBy(value)).alias("_upto"), F.sum("_c").over(w).alias("_n"))
+    aggs = [F.max("_n").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"), (F.sum(F.col(value) * F.col("_c")) / F.sum("_c")).alias("mean")]
+    for name, q in qs.items():
+        low = F.floor((F.col("_n") - 1) * F.lit(q))
+        for side, at in (("a", low), ("b", F.least(low + 1, F.col("_n") - 1))):
+            aggs.append(F.max(F.when((F.col("_upto") > at) & (F.col("_upto") - F.col("_c") <= at), F.col(value))).alias(f"_{name}_{side}"))
+    g = c.groupBy(*keys).agg(*aggs)
+    part = {name: (F.col("n") - 1) * F.lit(q) - F.floor((F.col("n") - 1) * F.lit(q)) for name, q in qs.items()}
+    return g.select(*keys, "n", "lo", "hi", "mean", *[(F.col(f"_{k}_a") + (F.col(f"_{k}_b") - F.col(f"_{k}_a")) * part[k]).alias(k) for k in qs])

@@ -57,9 +57,9 @@ def nearest_rank_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.25), 4) AS q25, round(quantile_cont(l_extendedprice, 0.5), 4) AS q50, round(quantile_cont(l_extendedprice, 0.95), 4) AS q95, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, round(avg(l_extendedprice), 4) AS mean FROM lineitem GROUP BY 1")
 def interpolated_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact quantiles; percentile() keeps a count for each distinct value of a group."""
-    g = t(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.percentile("l_extendedprice", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.95))).alias("q"), F.min("l_extendedprice").alias("lo"), F.max("l_extendedprice").alias("hi"), F.round(F.avg("l_extendedprice"), 4).alias("mean"))
-    return g.select("l_returnflag", *[F.round(F.col("q")[i], 4).alias(n) for i, n in enumerate(("q25", "q50", "q95"))], "lo", "hi", "mean")
+    """A11."""
+    x = analytics.interpolated_quantiles(t(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice", {"q25": 0.25, "q50": 0.5, "q95": 0.95})
+    return x.select("l_returnflag", "lo", "hi", *[F.round(c, 4).alias(c) for c in ("mean", "q25", "q50", "q95")])
 
 
 @query("SELECT l_returnflag, x.tol AS tolerance, count(*) AS n, count(*) FILTER (abs(l_discount - 0.05) <= x.tol) AS hits FROM lineitem, (VALUES (0.005::DOUBLE), (0.015), (0.025), (0.045)) x(tol) GROUP BY 1, 2")
