@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import written
@@ -18,6 +18,11 @@ def n_words(text_col: str = "text"):
     return F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
 
 
+def draw(key: Column, hexes: int) -> Column:
+    """A number between 0 and 1 that depends on a text alone: the first hex digits of its md5."""
+    return (F.conv(F.substring(F.md5(F.encode(key, "utf-8")), 1, hexes), 16, 10).cast("double") + 0.5) / float(16**hexes)
+
+
 def targets(sources: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
     """``sources``: _src, _s (words). Adds _target.
 
@@ -60,7 +65,7 @@ def _plan(strata: DataFrame, seed: int) -> DataFrame:
     def step(acc, m):
         want = acc["carry"] + (F.col("_r") - whole) * m["w"]
         mean = m["q"] / m["w"]  # mean size of a text drawn with odds in proportion to size
-        u = (F.pmod(F.xxhash64(F.lit(seed), F.col("_src"), m["k"]), F.lit(1 << 30)) + 0.5) / float(1 << 30)
+        u = draw(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("_src"), F.lit("-")), m["k"].cast("string")), 8)
         take = F.greatest(F.lit(0).cast("long"), F.least(m["n"], F.floor(want / mean + u)))
         left = want - F.when(take == m["n"], m["w"].cast("double")).otherwise(take * mean)
         return F.struct(left.alias("carry"), F.concat(acc["out"], F.array(F.struct(m["k"].alias("k"), take.alias("take")))).alias("out"))
@@ -87,7 +92,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     sized = written(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_src"), n_words(text_col).alias("_n")), "sizes")
     sums = sized.groupBy("_src").agg(F.sum("_n").alias("_s"))
     goal = written(targets(sums, weights, share, most), "targets")
-    k = F.when(F.col("_n") > 0, F.floor(F.log2("_n") * STEPS)).cast("int")
+    k = F.when(F.col("_n") > 0, F.floor(F.log2("_n") * STEPS + 1e-9)).cast("int")
     rows = sized.select("*", k.alias("_k"))
     strata = rows.filter("_n > 0").groupBy("_src", "_k").agg(F.count(F.lit(1)).alias("_c"), F.sum("_n").alias("_w"), F.sum(F.col("_n") * F.col("_n")).alias("_q"))
     strata = strata.join(goal.select(F.col("_src").alias("_s2"), (F.col("_target") / F.col("_s")).alias("_r")), F.col("_src").eqNullSafe(F.col("_s2")))
@@ -95,7 +100,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     plan = _plan(strata, seed)
     plan = written(strata.select(F.col("_src").alias("_s3"), F.col("_k").alias("_k3"), F.col("_n").alias("_c"), "_w").join(plan, F.col("_s3").eqNullSafe(F.col("_src")) & (F.col("_k3") == F.col("_k"))).select("_s3", "_k3", "_c", "_w", "_whole", "_take"), "plan")
     on = F.col("_src").eqNullSafe(F.col("_s3")) & (F.col("_k") == F.col("_k3"))
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "_id", "_n", "_src"), 11).cast("double") + 0.5) / float(1 << 53)
+    u = draw(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("_id").cast("string"), F.lit("-")), F.col("_n").cast("string"), F.coalesce(F.col("_src"), F.lit("-"))), 13)
     p = F.least(F.col("_take") * F.col("_n") / F.col("_w"), F.lit(1 - 1e-9))
     mid = F.least(F.col("_take") / F.col("_c"), F.lit(1 - 1e-9))
     ranked = rows.join(plan, on, "left").select("_id", "_src", "_n", "_k", "_whole", "_take", "_c", u.alias("_u"), p.alias("_p"), (mid / (1 - mid)).alias("_o"))

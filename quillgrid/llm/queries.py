@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import exact_dedup, language_model, line_dedup, mixing, ngram_join, pieces, quality_classifier, quality_rules, token_counts, toxicity
+from . import exact_dedup, language_model, line_dedup, mixing, ngram_join, oracles, pieces, quality_classifier, quality_rules, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +45,8 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_model.lm_score(table(spark, sf_dir, "documents"))
+    out = language_model.lm_score(table(spark, sf_dir, "documents")).drop("perplexity")
+    return out.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,4 +63,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.ORACLE, "op3_quality_rules": quality_rules.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE}
+    return {"op1_ngram_join": oracles.NGRAM_JOIN, "op8_lm_score": oracles.LM_SCORE, "op9_mixing": oracles.MIXING, "op2_line_dedup": line_dedup.ORACLE, "op3_quality_rules": quality_rules.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE}

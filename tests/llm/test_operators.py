@@ -375,12 +375,13 @@ def test_pareto_ranks(spark):
     rows = [(i, " ".join(["w"] * (10 + i % 3)), "a" if i % 5 else "b") for i in range(400)]
     out = {x.doc_id: x for x in mixing.mix(frame(spark, rows)).collect()}
     n = {i: len(t.split()) for i, t, _ in rows}
-    u = {r.doc_id: ((r.h >> 11) & ((1 << 53) - 1)) for r in frame(spark, rows).select("doc_id", F.xxhash64(F.lit(9), "doc_id", F.regexp_count("text", F.lit(mixing.WORD)).cast("long"), "source").alias("h")).collect()}
+    src_of = {i: s for i, _, s in rows}
+    u = {i: int(hashlib.md5(f"9|{i}|{n[i]}|{src_of[i]}".encode()).hexdigest()[:13], 16) for i in n}
     for s in ("a", "b"):
         classes = defaultdict(list)
         for i, _, src in rows:
             if src == s:
-                classes[math.floor(math.log2(n[i]) * mixing.STEPS)].append(i)
+                classes[math.floor(math.log2(n[i]) * mixing.STEPS + 1e-9)].append(i)
         for members in classes.values():
             low = min(out[i].copies for i in members)
             extra = [i for i in members if out[i].copies > low]
@@ -389,7 +390,7 @@ def test_pareto_ranks(spark):
             words, k = sum(n[i] for i in members), len(extra)
 
             def rank(i):
-                p, x = min(k * n[i] / words, 1 - 1e-9), (u[i] + 0.5) / 2**53
+                p, x = min(k * n[i] / words, 1 - 1e-9), (u[i] + 0.5) / 16**13
                 return x / (1 - x) * (1 - p) / p
 
             assert sorted(extra) == sorted(sorted(members, key=rank)[:k])
