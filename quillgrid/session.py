@@ -24,9 +24,16 @@ def session(master: str = "local[*]", name: str = "quillgrid", **conf: str) -> S
     return b.getOrCreate()
 
 
+#: Rows of texts are long, so fewer go to a Python worker at once than Spark's default of 10,000.
+ARROW_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000")
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once for each Spark context."""
+    """Send this package to the Python workers, once for each Spark context; make Arrow batches smaller unless they are set."""
     sc = spark.sparkContext
+    key, default, ours = ARROW_ROWS
+    if spark.conf.get(key) == default:
+        spark.conf.set(key, ours)
     if getattr(sc, "_quillgrid_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
