@@ -243,3 +243,21 @@ def tier_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     x = t(spark, sf_dir, "orders").select(F.expr("element_at(array('high', 'medium', 'low', 'experimental', 'rejected', 'other'), cast(1 + o_orderkey % 6 as int))").alias("tier"))
     return x.groupBy("tier").agg(F.count(F.lit(1)).alias("n")).select("tier", tier_rank(F.col("tier")).alias("rank"), "n")
+
+
+@query("""SELECT p_type, count(*) AS n, count(*) FILTER (top = string_split(p_name, '')) AS top1_equal, count(*) FILTER (array_to_string(top, '') = p_name) AS text_equal, count(*) FILTER (len(top) = length(p_name)) AS length_equal
+FROM (SELECT p_type, p_name, CASE WHEN p_partkey % 5 = 0 THEN list_concat(['x'], string_split(p_name, '')[2:]) WHEN p_partkey % 7 = 0 THEN string_split(p_name, '')[2:] ELSE string_split(p_name, '') END AS top FROM part) GROUP BY 1""")
+def row_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a lattice's best characters and the emitted text must have in common."""
+    x = t(spark, sf_dir, "part").select("p_type", "p_name", "p_partkey", F.filter(F.split("p_name", ""), lambda c: c != "").alias("ch"))
+    rest = F.slice("ch", 2, F.greatest(F.size("ch"), F.lit(1)))
+    x = x.withColumn("top", F.when(F.col("p_partkey") % 5 == 0, F.concat(F.array(F.lit("x")), rest)).when(F.col("p_partkey") % 7 == 0, rest).otherwise(F.col("ch")))
+    return x.groupBy("p_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("top") == F.col("ch")).alias("top1_equal"), F.count_if(F.array_join("top", "") == F.col("p_name")).alias("text_equal"), F.count_if(F.size("top") == F.length("p_name")).alias("length_equal"))
+
+
+@query("SELECT p_partkey, CASE WHEN n > 0 THEN 'unknown' WHEN p_size * 12.0 > p_retailprice / 10 THEN 'heavy' ELSE 'other' END AS class FROM (SELECT *, CASE WHEN p_partkey % 6 = 0 THEN 1 ELSE 0 END AS n FROM part)")
+def composition_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of compositions; an unknown element outweighs all."""
+    x = t(spark, sf_dir, "part").select("p_partkey", (F.col("p_retailprice") / 10).alias("target"), F.when(F.col("p_partkey") % 6 == 0, F.create_map(F.lit("Xx"), F.lit(1), F.lit("C"), F.col("p_size"))).otherwise(F.create_map(F.lit("C"), F.col("p_size"))).alias("m"))
+    c = M.composition_class(F.col("m"), F.col("target"), F.lit(0.06))
+    return x.select("p_partkey", F.when(c.isin("fits", "off"), "other").otherwise(c).alias("class"))
