@@ -119,14 +119,13 @@ def _verify(k: int, num: int, den: int):
     names = ["node", "root", "n", "w"]
 
     def check(rows: list[tuple]) -> pa.RecordBatch:
-        key, nb = rows[0][0], rows[0][1]
+        nb = rows[0][1]
         sets = [s for _, _, _, _, _, s in rows]
         seen, own = set(), []
         for i, r in enumerate(rows):  # a row whose text is not its node's, or is there twice, adds nothing
             if r[2] not in seen and len(sets[i]) and set_digest(sets[i]) == r[2]:
                 seen.add(r[2])
                 own.append(i)
-        del key
         nodes = np.array([rows[i][2] for i in own], np.int64)
         if len(own) < 2:
             n = w = np.zeros(len(own), np.int64)
