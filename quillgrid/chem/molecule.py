@@ -430,13 +430,11 @@ def _write(mol: Mol, root: int, rank: list[int], same: list[int], arom: set[int]
     closures: dict[int, list[int]] = {}
     children: dict[int, list[int]] = {}
     seen: set[int] = set()
-    stack: list[tuple[int, int]] = [(root, -1)]
     parent = {root: -1}
     on: list[int] = []
     state = {root: iter(sorted(mol.near[root], key=lambda b: rank[b]))}
     seen.add(root)
     on.append(root)
-    del stack
     while on:
         a = on[-1]
         for b in state[a]:
