@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillgrid.llm import exact_dedup, mixing, ngram_join, pieces, toxicity
-from quillgrid.llm.shared import written
+from quillgrid.llm.shared import spread, written
 from quillgrid.session import ship
 
 
@@ -50,7 +50,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:

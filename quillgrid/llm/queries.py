@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from . import exact_dedup, language_model, line_dedup, mixing, ngram_join, oracles, pieces, quality_classifier, quality_rules, token_counts, toxicity
+from .shared import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,8 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For operators whose work on each text is heavy."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+    return ngram_join.ngram_join(documents(spark, sf_dir))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +30,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,20 +38,20 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pieces.encode(table(spark, sf_dir, "documents"), pieces.piece_path())
+    out = pieces.encode(documents(spark, sf_dir), pieces.piece_path())
     return out.select("doc_id", "n_bytes", "n_tokens", F.xxhash64("ids").alias("ids_hash"), "lossless")
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_classifier.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_classifier.quality_classifier(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = language_model.lm_score(table(spark, sf_dir, "documents")).drop("perplexity")
+    out = language_model.lm_score(documents(spark, sf_dir)).drop("perplexity")
     return out.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
 
 

@@ -28,6 +28,12 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A table just read, dealt out to all cores if its files make fewer partitions than there are cores. Large tables stay as they are."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def _local(uri: str) -> str | None:
     if uri.startswith("file:"):
         return "/" + uri[5:].lstrip("/")
