@@ -17,7 +17,7 @@ from ..operators import ctc
 from . import policy, schema
 from .registry import query, t
 
-#: A cyclic peptide of 6 to 8 residues, its side chains by key; every third one is damaged in one of six ways.
+#: A peptide macrocycle of 6 to 8 residues, its side chains by key; every third one is damaged in one of six ways.
 _RES = ["N[C@@H](C)C(=O)", "N[C@@H](CC(C)C)C(=O)", "N(C)[C@@H](Cc2ccccc2)C(=O)", "N2CCC[C@H]2C(=O)", "NCC(=O)"]
 
 
