@@ -50,7 +50,7 @@ def mass_search(text: str, lo: float, hi: float, states: int = STATES, substitut
     Best first: a state is (text so far, automaton, place, edits); each step emits the next character or one of its
     misreadings, leaves it out, or puts a lost bracket or bond in. The estimate adds the openers that closers ahead
     still need. Only texts that can still become valid are kept. The budget is a number of states, so results do
-    not depend on the machine; the open list is cut to four times that from its expensive end.
+    not depend on the machine; the open list keeps as many of its cheapest states as the budget can still reach.
     """
     out = {"smiles": None, "mass": None, "formula": None, "largest_ring": 0, "inserts": 0, "subs": 0, "dels": 0, "states": 0, "trace": ""}
     if not text:
@@ -90,8 +90,10 @@ def mass_search(text: str, lo: float, hi: float, states: int = STATES, substitut
             total = cost + c
             rest = 0.02 * max(0, ahead[i + move] - nxt.depth)
             heapq.heappush(frontier, (total + rest, int(round(total * 1e9)), next(tie), done + w, nxt, i + move, ins + a, subs + b, dels + d))
-        if len(frontier) > 8 * states:
-            frontier = heapq.nsmallest(4 * states, frontier)
+        left = states - seen
+        if len(frontier) > 1.25 * left + 1000:  # what lies behind is never popped
+            frontier.sort()
+            del frontier[left + 1 :]
     return out | {"states": seen, "trace": "no_mass_matching_candidate"}
 
 

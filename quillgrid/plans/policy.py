@@ -171,7 +171,8 @@ def search_layer(rows: DataFrame, states: int = S.STATES) -> DataFrame:
             got = [S.mass_search(S.lexical(t), lo, hi, states) for t, lo, hi in zip(*(c.to_pylist() for c in b.columns), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, _arrow(SEARCHED))], names=["_ws", "_lo", "_hi", "_r"])
 
-    done = work.repartition("_ws").mapInArrow(run, f"_ws string, _lo double, _hi double, _r {SEARCHED}")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a set number: searches are long, their rows small, so they must not be put together
+    done = work.repartition(n, "_ws", "_lo").mapInArrow(run, f"_ws string, _lo double, _hi double, _r {SEARCHED}")
     x = x.join(done, (F.col("_s") == F.col("_ws")) & (F.col("_win.low") == F.col("_lo")) & (F.col("_win.high") == F.col("_hi")) & F.col("_gate").isNull(), "left")
     hit = F.col("_r.smiles").isNotNull()
     trace = F.coalesce(F.col("_gate"), F.when(hit, F.format_string("ok states=%d in=%d subs=%d dels=%d", "_r.states", "_r.inserts", "_r.subs", "_r.dels")).otherwise(F.coalesce(F.col("_r.trace"), F.lit("no_answer"))))

@@ -82,7 +82,7 @@ def combined(spark: SparkSession, sf_dir: str, search: bool = False) -> DataFram
         F.round(F.col("fp.exact_mass") + 1.007276466 + F.when(F.col("p_partkey") % 5 == 0, 1.0).otherwise(0.0), 1).alias("ms_mz"), F.lit("[M+H]+").alias("ms_polarity"),
     )
     rows = policy.derived_layers(policy.promote(assemble(comp, assay, "cmpd_id", model)))
-    return policy.search_layer(rows, 2000) if search else rows
+    return policy.search_layer(rows) if search else rows
 
 
 @query()
@@ -93,11 +93,11 @@ def promotion_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def mass_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V7 to V9 on all readings, with a budget of states."""
+    """V7 to V9 on all readings, with the operator's own budget of states."""
     from ..functions import mass as X
 
     s = policy.with_fingerprint(structures(spark, sf_dir), "whole", "fp").select("p_partkey", F.col("damaged").alias("smiles"), F.round(F.col("fp.exact_mass") + X.PROTON, 1).alias("ms_mz"), F.when(F.col("p_partkey") % 10 != 0, "[M+H]+").alias("ms_polarity"))
-    return policy.search_layer(s, 500).select("p_partkey", "smiles_ocr_repaired", "ocr_repair_trace", "ocr_repair_formula", "ocr_repair_largest_ring")
+    return policy.search_layer(s).select("p_partkey", "smiles_ocr_repaired", "ocr_repair_trace", "ocr_repair_formula", "ocr_repair_largest_ring")
 
 
 def _per_row(df: DataFrame, out: str, work) -> DataFrame:

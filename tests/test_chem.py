@@ -139,3 +139,15 @@ def test_alignments():
     assert R.partners("CC(=O)N", "CC=ON") == {0: "C", 1: "C", 3: "=", 4: "O", 6: "N"}
     assert R.tile("CC(=O)N", ["CC=", "ON"]) == ["CC(=", "O)N"]
     assert R.flips("C]C@@H](C)C(=O)NC") == ([1, 6], [1]) and R.flips("CC") == ([], [])
+
+
+def test_search_query_has_the_operators_budget(spark, monkeypatch):
+    """A lost bracket at the end, which takes more than 500 states."""
+    from quillgrid.plans import queries_chem
+
+    side = ["N[C@@H](C)C(=O)", "N[C@@H](CC(C)C)C(=O)", "N(C)[C@@H](Cc2ccccc2)C(=O)", "N2CCC[C@H]2C(=O)", "NCC(=O)"]
+    p, size = 3, 29
+    whole = "C1C(=O)" + "".join(side[(p * 7 + i * i * 3 + size) % 5] for i in range(1, 7 + p % 3)) + "N1"
+    monkeypatch.setattr(queries_chem, "structures", lambda spark, sf_dir: spark.createDataFrame([(p, whole, whole.removesuffix(")N1") + "N1")], "p_partkey long, whole string, damaged string").repartition(1))
+    r = queries_chem.mass_search(spark, "").first()
+    assert r.ocr_repair_trace.startswith("ok") and M.fingerprint(r.smiles_ocr_repaired)["formula"] == M.fingerprint(whole)["formula"] == r.ocr_repair_formula
