@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,19 +10,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as K
+from .shared import written
 from .toxicity import held_out, pack, unpack
 
 U64 = np.uint64
-#: Labelled rows and rows without a label that are collected for fitting, at most; rounds; pseudo-labels of each class a view gives in a round.
-MAX_LABELLED, MAX_OTHER, ROUNDS, GIVEN = 10_000, 10_000, 4, 200
-#: A pseudo-label must be this sure; a share of labelled rows is kept for calibration.
-SURE, CALIBRATE = 0.95, 0.25
+#: Labelled rows that are collected for fitting, at most; rounds.
+MAX_LABELLED, ROUNDS = 10_000, 4
+#: A pseudo-label must be this sure and weighs so much; a share of labelled rows is kept for calibration.
+SURE, PSEUDO, CALIBRATE = 0.95, 0.5, 0.25
 _UPPER, _DIGIT, _SYMBOL, _PUNCT = (np.zeros(256, bool) for _ in range(4))
 _UPPER[65:91] = True
 _DIGIT[48:58] = True
 _SYMBOL[[ord(c) for c in "#*$%&|<>=~^_{}[]\\@"]] = True
 _PUNCT[[ord(c) for c in ".,!?;:'\"()-"]] = True
 HASHED = 64
+#: Numbers of the text view.
+TEXT_SIZE = 11 + HASHED
 
 
 def _share(flag: np.ndarray, o: np.ndarray) -> np.ndarray:
@@ -117,9 +119,38 @@ def _raw(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.clip(x @ w[:-1] + w[-1], -30, 30)
 
 
-def fit(xs: tuple[np.ndarray, np.ndarray], y: np.ndarray, other: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS, given: int = GIVEN) -> dict[str, np.ndarray]:
-    """Labelled rows xs, y in order; ``other``: rows without a label. Each round each view is fitted on labels and on what the
-    other view has labelled, and hands over the rows without a label of which it is surest, up to ``given`` of each class."""
+def _given(xs: tuple[np.ndarray, np.ndarray], past: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """What each view has been given by the other over the rounds whose models are ``past``: 1, 0, or -1 for nothing. The first label stays."""
+    pseudo = [np.full(len(xs[0]), -1.0), np.full(len(xs[0]), -1.0)]
+    for models in past:
+        for i in (0, 1):
+            p = 1 / (1 + np.exp(-_raw(xs[i], models[i])))
+            free = pseudo[1 - i] < 0
+            pseudo[1 - i][free & (p >= SURE)] = 1.0
+            pseudo[1 - i][free & (1 - p >= SURE)] = 0.0
+    return pseudo
+
+
+def _sums(x: np.ndarray, y: np.ndarray, weight: float, w: np.ndarray) -> np.ndarray:
+    """Gradient, Hessian, weight and number of rows for a Newton step at w, one after the other: they add up over parts of the rows."""
+    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    hess = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x
+    return np.concatenate([x.T @ (weight * (p - y)), hess.ravel(), [weight * len(x), len(x)]])
+
+
+def _step(sums: np.ndarray, w: np.ndarray, l2: float = 1e-3) -> np.ndarray:
+    k = len(w)
+    weight, n = max(sums[-2], 1e-9), sums[-1]
+    reg = np.full(k, l2 + 1 / max(n, 1))
+    reg[-1] = 1e-9
+    step = np.linalg.solve(sums[k : k + k * k].reshape(k, k) / weight + np.diag(reg), sums[:k] / weight + reg * w)
+    return step / max(1.0, np.abs(step).max() / 5)
+
+
+def fit(xs: tuple[np.ndarray, np.ndarray], y: np.ndarray, others: Callable[[dict], list[np.ndarray]], rounds: int = ROUNDS, steps: int = 25) -> dict[str, np.ndarray]:
+    """Labelled rows xs, y in order. Each round each view is fitted on labels and on what the other view has labelled, and hands over
+    every row without a label of which it is sure. ``others`` gives the sums of _sums over those rows, for both views."""
     n = len(y)
     if not n or y.min() == y.max():
         p = (y.sum() + 0.5) / (n + 1)
@@ -130,24 +161,18 @@ def fit(xs: tuple[np.ndarray, np.ndarray], y: np.ndarray, other: tuple[np.ndarra
     mean = [x.mean(0) for x in xs]
     sd = [np.maximum(x.std(0), 1e-3) for x in xs]
     xs = tuple((x - m) / s for x, m, s in zip(xs, mean, sd, strict=True))
-    other = tuple((x - m) / s for x, m, s in zip(other, mean, sd, strict=True))
-    m = len(other[0])
-    pseudo = [np.full(m, -1.0), np.full(m, -1.0)]  # what each view has been given by the other
-    models: list[np.ndarray] = []
-    for r in range(rounds + 1):
-        models = []
-        for i in (0, 1):
-            own = pseudo[i] >= 0
-            x = np.concatenate([xs[i][~calib], other[i][own]])
-            t = np.concatenate([y[~calib], pseudo[i][own]])
-            models.append(_logistic(x, t, np.concatenate([np.ones((~calib).sum()), np.full(own.sum(), 0.5)])))
-        if r == rounds:
-            break
-        for i in (0, 1):
-            p = 1 / (1 + np.exp(-_raw(other[i], models[i])))
-            for cls, sure in ((1.0, p), (0.0, 1 - p)):
-                free = np.flatnonzero((pseudo[1 - i] < 0) & (sure >= SURE))
-                pseudo[1 - i][free[np.argsort(-sure[free], kind="stable")[:given]]] = cls
+    # Sums of parts differ in the last bits with the parts' order; rounded weights do not.
+    models = [np.round(_logistic(x[~calib], y[~calib], np.ones((~calib).sum())), 6) for x in xs]
+    past: list[list[np.ndarray]] = []
+    for _ in range(rounds):
+        past.append(models)
+        for _ in range(steps):
+            own = others({"mean": mean, "sd": sd, "past": past, "at": models})
+            moves = [_step(_sums(xs[i][~calib], y[~calib], 1.0, models[i]) + own[i], models[i]) for i in (0, 1)]
+            models = [w - d for w, d in zip(models, moves, strict=True)]
+            if max(np.abs(d).max() for d in moves) < 1e-6:
+                break
+        models = [np.round(w, 6) for w in models]
     ref = calib if calib.any() else np.ones(n, bool)
     z = np.stack([_raw(xs[i][ref], models[i]) for i in (0, 1)], axis=1)
     platt = [_logistic(z[:, i : i + 1], y[ref], np.ones(ref.sum()), 1e-2) for i in (0, 1)]
@@ -165,49 +190,60 @@ def predict(m: dict[str, np.ndarray], xs: tuple[np.ndarray, np.ndarray]) -> tupl
     return sig(_raw(cal, m["mix"])), sig(cal[:, 0]), sig(cal[:, 1])
 
 
-def _npy(x: np.ndarray) -> bytes:
-    buf = io.BytesIO()
-    np.save(buf, x.astype(np.float32))
-    return buf.getvalue()
+def _floats(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Both views of a column of measured rows."""
+    x = np.frombuffer(b"".join(col.to_pylist()), np.float32).reshape(len(col), -1).astype(np.float64)
+    return x[:, :TEXT_SIZE], x[:, TEXT_SIZE:]
 
 
-def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", max_labelled: int = MAX_LABELLED, max_other: int = MAX_OTHER, threshold: float = 0.5) -> DataFrame:
+def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", max_labelled: int = MAX_LABELLED, threshold: float = 0.5) -> DataFrame:
     """One row per input row: id, held_out, score (1: good), score_text, score_page, kept. Reads columns text, lang and source.
 
     Two logistic models see different columns of a row, the text's words and the page's metadata, and hand each other
     confident pseudo-labels; both are calibrated on labelled rows that neither was fitted on, and a third small model joins them.
-    They are fitted on at most ``max_labelled`` labelled rows and ``max_other`` others (those of least keyed hash); rows with
+    They are fitted on the rows of at most ``max_labelled`` labelled ids (those of least keyed hash) and on all rows without a label:
+    these are measured once, and each Newton step adds up their gradients and Hessians where they lie. Rows with
     crc32(id) modulo 4 equal 2 teach no label. All rows are scored. Null text is empty, null lang and source are values of
     their own, several labels of an id: the largest. Without labels of both kinds all rows score the prior. Repeated rows
     score alike. Other columns are ignored. No rows in, no rows out.
     """
     base = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_t"), F.col("lang").cast("string").alias("_lang"), F.col("source").cast("string").alias("_src"))
     y = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_k")).agg(F.max(label_col).cast("int").alias("_y"))
-    order = F.xxhash64(F.lit(7), "_k")
-    some = y.filter(~held_out("_k")).orderBy(order, "_k").limit(max_labelled)
-    rest = base.filter("_id IS NOT NULL").select(F.col("_id").alias("_k"), F.lit(-1).alias("_y")).join(y.select("_k"), "_k", "left_anti").distinct().orderBy(order, "_k").limit(max_other)
-    picked = F.broadcast(some.unionByName(rest))  # (max_labelled + max_other) x 12 bytes at most
-    sample = base.join(picked, F.col("_id") == F.col("_k")).select("_t", "_lang", "_src", "_y")
+    kind = docs.schema[id_col].dataType.simpleString()
+    some = y.filter(~held_out("_k")).orderBy(F.xxhash64(F.lit(7), "_k"), "_k").limit(max_labelled)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                a, p = views(part)
-                yield pa.RecordBatch.from_arrays([part.column(3), pa.array([_npy(r) for r in a], pa.binary()), pa.array([_npy(r) for r in p], pa.binary())], names=["y", "a", "p"])
-
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
-        rows.sort()
-        rows = rows[: 2 * (max_labelled + max_other)]
-        x = tuple(np.stack([np.load(io.BytesIO(r[k])) for r in rows]).astype(np.float64) if rows else np.zeros((0, 1)) for k in (1, 2))
-        t = np.array([r[0] for r in rows], np.float64)
-        got = np.flatnonzero(t >= 0)
-        got = got[np.random.Generator(np.random.PCG64(7)).permutation(len(got))]
-        yield pa.RecordBatch.from_arrays([pa.array([pack(fit(tuple(v[got] for v in x), t[got], tuple(v[t < 0] for v in x)))], pa.binary())], names=["model"])
-
-    model = bytes(sample.mapInArrow(K.releasing(measure), "y int, a binary, p binary").repartition(1).mapInArrow(K.releasing(train), "model binary").first()[0])
-    kind = docs.schema[id_col].dataType.simpleString()
+                x = np.concatenate(views(part.select([1, 2, 3])), axis=1).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["_id", "f"])
+
+    rows = base.mapInArrow(K.releasing(measure), f"_id {kind}, f binary").join(y, F.col("_id") == F.col("_k"), "left")
+    rows = written(rows.select("_id", "_y", "f"), "measured")
+    some = F.broadcast(some.select("_k"))  # max_labelled x 8 bytes at most
+    # One example for each sampled id and distinct row; ids of many rows are cut by a hash that knows no label.
+    taught = rows.join(some, F.col("_id") == F.col("_k")).select("_id", "_y", "f").distinct()
+    taught = sorted((r._y, bytes(r.f)) for r in taught.orderBy(F.xxhash64(F.lit(7), "_id", "f")).limit(2 * max_labelled).select("_y", "f").collect())
+    free = rows.filter("_y IS NULL").select("f").coalesce(2 * docs.sparkSession.sparkContext.defaultParallelism)
+
+    def others(now: dict) -> list[np.ndarray]:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = [np.zeros(len(w) * (len(w) + 1) + 2) for w in now["at"]]
+            for b in batches:
+                for lo in range(0, b.num_rows, 4096):
+                    x = tuple((v - m) / s for v, m, s in zip(_floats(b.column(0).slice(lo, 4096)), now["mean"], now["sd"], strict=True))
+                    for i, t in enumerate(_given(x, now["past"])):
+                        total[i] += _sums(x[i][t >= 0], t[t >= 0], PSEUDO, now["at"][i])
+            yield pa.RecordBatch.from_arrays([pa.array([t.tobytes()], pa.binary()) for t in total], names=["a", "b"])
+
+        parts = free.mapInArrow(K.releasing(add), "a binary, b binary").collect()  # as many as there are cores, twice
+        return [sum((np.frombuffer(r[i]) for r in parts), np.zeros(len(w) * (len(w) + 1) + 2)) for i, w in enumerate(now["at"])]
+
+    t = np.array([r[0] for r in taught], np.float64)
+    order = np.random.Generator(np.random.PCG64(7)).permutation(len(taught))
+    x = _floats(pa.array([taught[i][1] for i in order], pa.binary())) if taught else (np.zeros((0, 1)), np.zeros((0, 1)))
+    model = pack(fit(x, t[order], others))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = unpack(model)

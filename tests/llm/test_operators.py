@@ -414,3 +414,16 @@ def test_token_counts(spark, odd, tmp_path):
     model = pieces.piece_path()
     assert token_counts.token_counts(frame(spark, rows[:5]), model, cache).count() == 5
     assert spark.read.parquet(cache).select("tokenizer").distinct().count() == 2
+
+
+def test_quality_classifier_learns_from_all_rows_without_a_label(spark, monkeypatch):
+    """More rows without a label than 10,000, all of one sure kind: each of them reaches the Newton steps."""
+    r = random.Random(8)
+    word = lambda: r.choice(["alpha", "beta", "gamma", "delta"]) + str(r.randrange(50))
+    rows = [(i, " ".join(word() for _ in range(12)) if i % 2 else "SPAM $$ " * 12, "clean" if i % 2 else "dump") for i in range(10_900)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    seen, step = [], quality_classifier._step
+    monkeypatch.setattr(quality_classifier, "_step", lambda sums, w, *a: seen.append(sums[-1]) or step(sums, w, *a))
+    out = quality_classifier.quality_classifier(frame(spark, rows), labels).collect()
+    assert max(seen) > 10_600
+    assert np.mean([x.kept == (x.doc_id % 2 == 1) for x in out]) > 0.99
