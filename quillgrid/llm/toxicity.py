@@ -41,7 +41,7 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key = np.unique(doc * BUCKETS + ids)
             cut = np.searchsorted(key, np.arange(part.num_rows + 1) * BUCKETS)
             found = (key % BUCKETS).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([found[cut[i] : cut[i + 1]].tobytes() for i in range(part.num_rows)], pa.binary())], names=["y", "x"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([found[cut[i] : cut[i + 1]].tobytes() for i in range(part.num_rows)], pa.binary())], names=["y", "r", "x"])
 
 
 def fit(xs: list[np.ndarray], y: np.ndarray, seed: int = 5, epochs: int = 40) -> dict[str, np.ndarray]:
@@ -131,18 +131,22 @@ def held_out(id_col: str = "doc_id", parts: int = 4, rest: int = 2):
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS) -> bytes:
-    """The fitted model. It is learnt from at most ``max_rows`` labelled rows (those of least keyed hash) whose id is not held out."""
+    """The fitted model. It is learnt from the texts of at most ``max_rows`` labelled ids (those of least keyed hash) that are not held out.
+
+    Each distinct text of an id is one example, however often its row is repeated. Where ids have many texts, the
+    2 * ``max_rows`` examples of least keyed hash of id and text are taken, whatever their label."""
     y = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("_k")).agg(F.max(label_col).cast("int").alias("_y"))
     some = y.orderBy(F.xxhash64(F.lit(5), "_k"), "_k").limit(max_rows)  # max_rows x 12 bytes at most are broadcast
-    texts = docs.join(F.broadcast(some), F.col(id_col) == F.col("_k")).select("_y", F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
-    found = texts.mapInArrow(K.releasing(_examples), "y int, x binary").repartition(1)
+    texts = docs.join(F.broadcast(some), F.col(id_col) == F.col("_k")).select("_k", "_y", F.coalesce(F.col(text_col), F.lit("")).alias("_t")).distinct()
+    texts = texts.select("_y", "_t", F.xxhash64(F.lit(5), "_k", "_t").alias("_r"))
+    found = texts.mapInArrow(K.releasing(_examples), "y int, r long, x binary").orderBy("r", "x").limit(2 * max_rows).select("y", "x").repartition(1)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ys, xs = [], []
         for b in batches:
             ys += b.column(0).to_pylist()
             xs += [np.frombuffer(x, np.int32) for x in b.column(1).to_pylist()]
-        order = sorted(range(len(ys)), key=lambda i: (ys[i], xs[i].tobytes()))[: 2 * max_rows]  # the same order, however rows arrive
+        order = sorted(range(len(ys)), key=lambda i: (ys[i], xs[i].tobytes()))  # the same order, however rows arrive
         yield pa.RecordBatch.from_arrays([pa.array([pack(fit([xs[i] for i in order], np.array([ys[i] for i in order], np.float64)))], pa.binary())], names=["model"])
 
     return bytes(found.mapInArrow(K.releasing(train), "model binary").first()[0])

@@ -427,3 +427,24 @@ def test_quality_classifier_learns_from_all_rows_without_a_label(spark, monkeypa
     out = quality_classifier.quality_classifier(frame(spark, rows), labels).collect()
     assert max(seen) > 10_600
     assert np.mean([x.kept == (x.doc_id % 2 == 1) for x in out]) > 0.99
+
+
+def test_toxicity_sample_does_not_depend_on_the_label(spark):
+    """Repeated rows teach once, and an id of many texts does not push out the toxic rows."""
+    word = random.Random(9)
+    body = lambda: " ".join(word.choice(["ban", "celt", "dist", "for", "gumber"]) for _ in range(20))
+    rows = [(i, body() + (" clot" if i % 4 == 0 else ""), "s") for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    plain, thrice = (sorted((x.doc_id, x.score) for x in toxicity.toxicity(frame(spark, r), labels, max_rows=200).dropDuplicates(["doc_id"]).collect()) for r in (rows, rows * 5))
+    assert plain == thrice and np.mean([(s >= 0.3) == (i % 4 == 0) for i, s in thrice]) > 0.97
+    one = next(i for i in range(1, 200, 4) if not out_flag(i))
+    many = rows + [(one, body() + f" n{j}", "s") for j in range(600)]
+    got_ = {x.doc_id: x.score for x in toxicity.toxicity(frame(spark, many), labels, max_rows=200).filter(F.col("doc_id") % 4 == 0).collect()}
+    assert np.mean([s >= 0.3 for s in got_.values()]) > 0.9
+
+
+def test_quality_classifier_repeated_rows_teach_once(spark):
+    rows = [(i, " ".join(["alpha", "beta", f"g{i}"] * 8) if i % 3 == 0 else f"SPAM $$ {i} " * 8, "clean" if i % 3 == 0 else "dump") for i in range(90)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, quality int")
+    a, b = (sorted((x.doc_id, round(x.score, 9)) for x in quality_classifier.quality_classifier(frame(spark, r), labels, max_labelled=90).dropDuplicates(["doc_id"]).collect()) for r in (rows, rows * 5))
+    assert a == b and np.mean([(s >= 0.5) == (i % 3 == 0) for i, s in b]) > 0.97
