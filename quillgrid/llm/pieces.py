@@ -1,7 +1,7 @@
 """SentencePiece BPE with seeded merge-dropout, and its decoder.
 
-The vocabulary is read from a .model file; segmentation is done here, for all distinct units of a batch at
-once. A unit is a run of spaces with what follows up to the next space; line feeds stand alone. No piece
+The vocabulary is read from a .model file; segmentation is done here, for all units of a slice at once
+(without dropout, for all distinct ones). A unit is a run of spaces with what follows up to the next space; line feeds stand alone. No piece
 spans units unless it is made of spaces, so units can be segmented one by one.
 """
 
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from . import textkernel as K
 
 U64 = np.uint64
-#: Chance that a candidate merge is skipped; groups of texts that segment a word differently.
-DROPOUT, VARIANTS, SEED = 0.1, 16, 6
+#: Chance that a candidate merge is skipped.
+DROPOUT, SEED = 0.1, 6
 #: Units of more characters are segmented with a heap; texts are worked through in slices of about so many bytes.
 LONG, SLICE_BYTES, SLICE_ROWS = 48, 1 << 21, 4096
 #: Cells of a matrix of units x characters.
@@ -244,14 +244,18 @@ def encode_slice(p: Pieces, b: np.ndarray, o: np.ndarray, key: np.ndarray, dropo
     start, end, h, doc = _units(b, o)
     first = doc >= 0
     doc = np.where(first, doc, -1 - doc)
-    unit = K.mix(h ^ key[doc]) if dropout > 0 else h
-    _, pick, back = np.unique(unit, return_index=True, return_inverse=True)
-    s, e, lead, u = start[pick], end[pick], first[pick], unit[pick]
+    _, pick, back = np.unique(h, return_index=True, return_inverse=True)
+    s, e, lead, u = start[pick], end[pick], first[pick], h[pick]
     data = b.tobytes()
     texts = [(" " if f else "") + data[i:j].decode() for i, j, f in zip(s.tolist(), e.tolist(), lead.tolist(), strict=True)]
     size = np.array([len(t) for t in texts], np.int64)
     flat = _symbols(p, "".join(texts))
-    at = K.bounds(size)
+    at = K.bounds(size)[:-1]
+    if dropout > 0:  # each occurrence is segmented by itself: its key is of the text and its place there
+        opens = np.flatnonzero(first)
+        place = np.arange(len(h)) - np.repeat(opens, np.diff(np.append(opens, len(h))))
+        u = K.mix(h ^ K.mix(key[doc] + place.astype(np.uint64) * U64(0x9E3779B97F4A7C15)))
+        size, at, back = size[back], at[back], np.arange(len(h))
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for lo, hi in ((1, 4), (5, 6), (7, 8), (9, 11), (12, 15), (16, 23), (24, LONG)):
         rows_all = np.flatnonzero((size >= lo) & (size <= hi))
@@ -264,7 +268,7 @@ def encode_slice(p: Pieces, b: np.ndarray, o: np.ndarray, key: np.ndarray, dropo
             n = _segment_short(p, m, size[rows], u[rows], dropout)
             found.append((rows, n, m[w < n[:, None]]))
     for r in np.flatnonzero(size > LONG):
-        got = np.array(_segment_long(p, flat[at[r] : at[r + 1]].tolist(), int(u[r]), dropout), np.int64)
+        got = np.array(_segment_long(p, flat[at[r] : at[r] + size[r]].tolist(), int(u[r]), dropout), np.int64)
         found.append((np.array([r]), np.array([len(got)]), got))
     rows = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
     syms = np.concatenate([x[2] for x in found]) if found else np.zeros(0, np.int64)
@@ -283,8 +287,8 @@ def encode_slice(p: Pieces, b: np.ndarray, o: np.ndarray, key: np.ndarray, dropo
         owner = np.repeat(owner, grow)
     else:
         ids = syms.astype(np.int32)
-    n_unit = np.bincount(owner, minlength=len(texts))
-    begin = np.zeros(len(texts), np.int64)  # units lie in the order of ``rows``
+    n_unit = np.bincount(owner, minlength=len(size))
+    begin = np.zeros(len(size), np.int64)  # units lie in the order of ``rows``
     begin[rows] = K.bounds(n_unit[rows])[:-1]
     n_occ = n_unit[back]
     out_at = K.bounds(n_occ)
@@ -318,12 +322,12 @@ def _slices(col: pa.Array) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ids (array of int), n_tokens, n_bytes, lossless.
 
     Merges go by score, then from left to right, as an agenda takes them. A candidate merge is skipped where a
-    keyed hash of (seed, the text's group of ``variants``, unit, place, piece) falls below ``dropout``; it stays skipped in
-    that unit. So one text segments alike in every run, and a word differently in texts of other groups and under
+    keyed hash of (seed, id, text, the unit and its place in the text, place, piece) falls below ``dropout``; it stays skipped in
+    that unit. So one text segments alike in every run, and a word anew wherever it occurs and under
     other seeds. dropout 0 gives the library's own segmentation. Text is not normalised; a space is put before it,
     U+2581 itself and characters without a piece become byte pieces: decode() gives the text back, and
     ``lossless`` says that it has been decoded and compared byte by byte.
@@ -337,7 +341,7 @@ def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEE
             for lo, hi in _slices(rows.column(2)):
                 part = rows.slice(lo, hi - lo)
                 b, o = K.buffers(part.column(2))
-                key = K.mix(part.column(1).to_numpy(zero_copy_only=False).astype(np.uint64) + U64(seed) * U64(0x9E3779B97F4A7C15))
+                key = K.mix(part.column(1).to_numpy(zero_copy_only=False).astype(np.uint64))
                 ids, at = encode_slice(p, b, o, key, dropout)
                 raw, ro = decode_slice(p, ids, at)
                 same = np.array_equal(ro, o)
@@ -348,8 +352,8 @@ def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEE
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(np.diff(at)), pa.array(np.diff(o)), pa.array(good)], names=["_id", "ids", "n_tokens", "n_bytes", "lossless"])
 
-    group = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(variants)).cast("long")
-    rows = docs.select(F.col(id_col).alias("_id"), group.alias("_g"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
+    own = F.xxhash64(F.lit(seed), F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.select(F.col(id_col).alias("_id"), own.alias("_g"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
     out = rows.mapInArrow(K.releasing(run), f"_id {kind}, ids array<int>, n_tokens long, n_bytes long, lossless boolean")
     return out.withColumnRenamed("_id", id_col)
 

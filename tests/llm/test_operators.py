@@ -448,3 +448,24 @@ def test_quality_classifier_repeated_rows_teach_once(spark):
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, quality int")
     a, b = (sorted((x.doc_id, round(x.score, 9)) for x in quality_classifier.quality_classifier(frame(spark, r), labels, max_labelled=90).dropDuplicates(["doc_id"]).collect()) for r in (rows, rows * 5))
     assert a == b and np.mean([(s >= 0.5) == (i % 3 == 0) for i, s in b]) > 0.97
+
+
+def test_pieces_vary_with_document_and_place(spark):
+    """One word, 200 times in each of 60 documents: far more segmentations than groups of documents could give."""
+    rows = [(i, " ".join(["internationalization"] * 200), "s") for i in range(60)]
+    out = pieces.encode(frame(spark, rows), pieces.piece_path(), dropout=0.3).collect()
+    assert all(r.lossless for r in out)
+    assert len({tuple(r.ids) for r in out}) == 60
+    p = pieces.pieces(pieces.piece_path())
+    word = {tuple(w) for r in out for w in by_unit(p, r.ids)}
+    assert len(word) > 64
+
+
+def by_unit(p, ids):
+    """Ids of each unit: a unit opens with a space."""
+    units = []
+    for i in ids:
+        if p.raw[p.raw_at[i]] == 32 or not units:
+            units.append([])
+        units[-1].append(i)
+    return units
