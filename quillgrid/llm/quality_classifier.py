@@ -132,20 +132,22 @@ def _given(xs: tuple[np.ndarray, np.ndarray], past: list[list[np.ndarray]]) -> l
 
 
 def _sums(x: np.ndarray, y: np.ndarray, weight: float, w: np.ndarray) -> np.ndarray:
-    """Gradient, Hessian, weight and number of rows for a Newton step at w, one after the other: they add up over parts of the rows."""
+    """Gradient, Hessian, log loss, weight and number of rows for a Newton step at w, one after the other: they add up over parts of the rows."""
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    z = x @ w
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     hess = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x
-    return np.concatenate([x.T @ (weight * (p - y)), hess.ravel(), [weight * len(x), len(x)]])
+    return np.concatenate([x.T @ (weight * (p - y)), hess.ravel(), [weight * (np.logaddexp(0, z) - y * z).sum(), weight * len(x), len(x)]])
 
 
-def _step(sums: np.ndarray, w: np.ndarray, l2: float = 1e-3) -> np.ndarray:
+def _step(sums: np.ndarray, w: np.ndarray, l2: float = 1e-3) -> tuple[float, np.ndarray]:
+    """The loss at w, and the move to be taken off."""
     k = len(w)
     weight, n = max(sums[-2], 1e-9), sums[-1]
     reg = np.full(k, l2 + 1 / max(n, 1))
     reg[-1] = 1e-9
     step = np.linalg.solve(sums[k : k + k * k].reshape(k, k) / weight + np.diag(reg), sums[:k] / weight + reg * w)
-    return step / max(1.0, np.abs(step).max() / 5)
+    return sums[-3] / weight + 0.5 * float(reg @ (w * w)), step / max(1.0, np.abs(step).max() / 5)
 
 
 def fit(xs: tuple[np.ndarray, np.ndarray], y: np.ndarray, others: Callable[[dict], list[np.ndarray]], rounds: int = ROUNDS, steps: int = 25) -> dict[str, np.ndarray]:
@@ -166,11 +168,17 @@ def fit(xs: tuple[np.ndarray, np.ndarray], y: np.ndarray, others: Callable[[dict
     past: list[list[np.ndarray]] = []
     for _ in range(rounds):
         past.append(models)
+        best = [(np.inf, w, w) for w in models]  # loss, place and move
         for _ in range(steps):
             own = others({"mean": mean, "sd": sd, "past": past, "at": models})
-            moves = [_step(_sums(xs[i][~calib], y[~calib], 1.0, models[i]) + own[i], models[i]) for i in (0, 1)]
-            models = [w - d for w, d in zip(models, moves, strict=True)]
-            if max(np.abs(d).max() for d in moves) < 1e-6:
+            for i in (0, 1):
+                loss, move = _step(_sums(xs[i][~calib], y[~calib], 1.0, models[i]) + own[i], models[i])
+                if loss <= best[i][0] + 1e-12:
+                    best[i] = (loss, models[i], move)
+                else:  # too far: half the way from the best place
+                    best[i] = (best[i][0], best[i][1], best[i][2] / 2)
+            models = [w - d for _, w, d in best]
+            if max(np.abs(d).max() for _, _, d in best) < 1e-6:
                 break
         models = [np.round(w, 6) for w in models]
     ref = calib if calib.any() else np.ones(n, bool)
@@ -229,7 +237,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
 
     def others(now: dict) -> list[np.ndarray]:
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = [np.zeros(len(w) * (len(w) + 1) + 2) for w in now["at"]]
+            total = [np.zeros(len(w) * (len(w) + 1) + 3) for w in now["at"]]
             for b in batches:
                 for lo in range(0, b.num_rows, 4096):
                     x = tuple((v - m) / s for v, m, s in zip(_floats(b.column(0).slice(lo, 4096)), now["mean"], now["sd"], strict=True))
@@ -238,7 +246,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays([pa.array([t.tobytes()], pa.binary()) for t in total], names=["a", "b"])
 
         parts = free.mapInArrow(K.releasing(add), "a binary, b binary").collect()  # as many as there are cores, twice
-        return [sum((np.frombuffer(r[i]) for r in parts), np.zeros(len(w) * (len(w) + 1) + 2)) for i, w in enumerate(now["at"])]
+        return [sum((np.frombuffer(r[i]) for r in parts), np.zeros(len(w) * (len(w) + 1) + 3)) for i, w in enumerate(now["at"])]
 
     t = np.array([r[0] for r in taught], np.float64)
     order = np.random.Generator(np.random.PCG64(7)).permutation(len(taught))
