@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A line that more than so many different texts of one host hold is removed.
-MAX_DOCS = 50
+#: A line is removed from a host's documents if more than this percentage of them hold it, and more than so many.
+MAX_SHARE, MAX_DOCS = 10, 10
 #: A document is depleted if less than this percentage of its words is left.
 LEAST_LEFT = 50
 
@@ -49,22 +49,26 @@ def _line_rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Da
     return x.select("_id", "_host", "_th", "_i", F.xxhash64(norm).alias("_line"), F.xxhash64(F.lit(1), norm).alias("_line2"), "_n")
 
 
-def quality_rules(docs: DataFrame, max_docs: int = MAX_DOCS, least_left: int = LEAST_LEFT, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+def quality_rules(docs: DataFrame, max_share: int = MAX_SHARE, max_docs: int = MAX_DOCS, least_left: int = LEAST_LEFT, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """One row per input row: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, words_removed.
 
-    Lines are trimmed, lower-cased and hashed (128 bits). A line that more than ``max_docs`` different texts of
-    one host hold is removed from all its texts; copies of one text count once, so copying a document
-    does not make its lines boilerplate. A document is depleted if less than ``least_left`` percent of its words remain.
+    Lines are trimmed, lower-cased and hashed (128 bits). A line that more than ``max_share`` percent of a host's documents
+    hold, and more than ``max_docs``, is removed from all of them. A document is a pair of id and text, so rows that repeat one count
+    once, and copies under other ids count each. A document is depleted if less than ``least_left`` percent of its words remain.
     kept = neither base_failed nor depleted.
 
-    Counting reduces within tasks before each shuffle: (host, line, text), then (host, line). Only lines above the
-    limit go on, and lines of documents find them by a join of small rows, which adaptive execution splits where a key is hot.
+    Counting reduces within tasks before each shuffle: (host, line, document), then (host, line). Only lines above the
+    limits go on, and lines of documents find them by a join of small rows, which adaptive execution splits where a key is hot.
     Null text is empty (all counts 0, base_failed). Null hosts are one host, null ids are allowed; rows equal in id and
     text get equal results. Repeated windows are told apart by at least 44 bits of hash within a text. Other columns are ignored.
     """
     lines = _line_rows(docs, id_col, text_col, host_col)
-    per_text = lines.groupBy("_host", "_line", "_line2", "_th").agg(F.count(F.lit(1)).alias("_c"))
-    common = per_text.groupBy("_host", "_line", "_line2").agg(F.count(F.lit(1)).alias("_docs")).filter(F.col("_docs") > max_docs)
+    docs_of = lambda x, *by: x.groupBy(*by, "_d").agg(F.count(F.lit(1))).groupBy(*by).agg(F.count(F.lit(1)).alias("_docs"))
+    own = F.xxhash64("_id", "_th").alias("_d")
+    hosts = docs.select(F.col(id_col).alias("_id"), F.col(host_col).alias("_host"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_th"))
+    hosts = docs_of(hosts.select("_host", own), "_host").select(F.col("_host").alias("_h8"), F.col("_docs").alias("_all"))
+    common = docs_of(lines.select("_host", "_line", "_line2", own), "_host", "_line", "_line2").filter(F.col("_docs") > max_docs)
+    common = common.join(hosts, F.col("_host").eqNullSafe(F.col("_h8"))).filter(100 * F.col("_docs") > max_share * F.col("_all"))
     common = common.select(F.col("_host").alias("_h9"), F.col("_line").alias("_l9"), F.col("_line2").alias("_m9"))
     hit = lines.join(common, F.col("_host").eqNullSafe(F.col("_h9")) & (F.col("_line") == F.col("_l9")) & (F.col("_line2") == F.col("_m9")))
     # Equal rows bring equal lines: each line counts once for all of them.
@@ -87,8 +91,10 @@ cov AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest([i, i + 1, i
 ls AS (SELECT rid, unnest(string_split(tx, chr(10))) AS s FROM d),
 l AS (SELECT rid, s, len(list_filter(string_split_regex(s, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n FROM ls WHERE regexp_matches(s, '[^\x20\x09-\x0D]')),
 dup AS (SELECT rid, count(*) - count(DISTINCT s) AS n FROM l GROUP BY rid),
-nl AS (SELECT l.rid, d.source, d.tx, lower(trim(l.s)) AS s, l.n FROM l JOIN d USING (rid)),
-common AS (SELECT source, s FROM nl GROUP BY source, s HAVING count(DISTINCT tx) > {MAX_DOCS}),
+nl AS (SELECT l.rid, d.source, {{'i': d.doc_id, 't': d.tx}} AS k, lower(trim(l.s)) AS s, l.n FROM l JOIN d USING (rid)),
+host AS (SELECT source, count(DISTINCT {{'i': doc_id, 't': tx}}) AS n FROM d GROUP BY source),
+common AS (SELECT c.source, c.s FROM (SELECT source, s, count(DISTINCT k) AS n FROM nl GROUP BY source, s) c JOIN host ON host.source IS NOT DISTINCT FROM c.source
+           WHERE c.n > {MAX_DOCS} AND 100 * c.n > {MAX_SHARE} * host.n),
 gone AS (SELECT nl.rid, sum(nl.n) AS n FROM nl JOIN common c ON nl.s = c.s AND nl.source IS NOT DISTINCT FROM c.source GROUP BY nl.rid),
 m AS (SELECT d.rid, d.doc_id, len(ws.ws) AS n_words,
         length(regexp_replace(tx, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
