@@ -37,7 +37,9 @@ def _measured(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Dat
     repeat = F.expr("aggregate(zip_with(_p, slice(_p, 2, greatest(size(_p), 1)), (a, c) -> least(3L, coalesce(c - a, 3L))), 0L, (s, v) -> s + v)")
     x = x.select("_id", "_host", "_th", "n_words", "word_chars", "n_symbols", "n_dup_lines", repeat.alias("n_repeat_words"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return x.select("*", failed.alias("base_failed"))
+    x = x.select("*", failed.alias("base_failed"))
+    # A generator, so that a caller's filter isn't pushed below the arrays, each of which would be written out in full in it.
+    return x.select(F.explode_outer(F.array(F.struct(*x.columns))).alias("_r")).select("_r.*")
 
 
 def _line_rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
