@@ -64,19 +64,15 @@ o AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS
 f AS (SELECT *, (budget - spent) / rest AS lev FROM o),
 lv AS (SELECT arg_min(lev, cap / w) AS lev FROM f WHERE lev * w <= cap),
 g AS (SELECT source, s, CASE WHEN lv.lev IS NULL THEN cap ELSE least(cap, lv.lev * w) END AS target FROM f LEFT JOIN lv ON true),
-k AS (SELECT d.*, CASE WHEN n > 0 THEN CAST(floor(log2(n) * 4 + 1e-9) AS INT) END AS k FROM d),
-st AS (SELECT k.source, k.k, count(*) AS c, sum(n)::DOUBLE AS w, sum(n * n)::DOUBLE AS q, any_value(g.target / g.s) AS r FROM k JOIN g ON g.source IS NOT DISTINCT FROM k.source WHERE n > 0 GROUP BY 1, 2),
-ra AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY k DESC) AS j, r - floor(r) AS part, q / w AS mean, {_u("concat('9|', coalesce(source, '-'), '|', k)", 8)} AS u FROM st),
-fold(source, j, k, take, carry) AS (
-  SELECT source, 0::BIGINT, 0, 0::BIGINT, 0.0::DOUBLE FROM so
-  UNION ALL
-  SELECT source, j, k, take, want - CASE WHEN take = c THEN w ELSE take * mean END FROM (
-    SELECT ra.source, ra.j, ra.k, fold.carry + ra.part * ra.w AS want, ra.c, ra.w, ra.mean, greatest(0, least(ra.c, CAST(floor((fold.carry + ra.part * ra.w) / ra.mean + ra.u) AS BIGINT))) AS take
-    FROM fold JOIN ra ON ra.source IS NOT DISTINCT FROM fold.source AND ra.j = fold.j + 1)),
-pl AS (SELECT ra.source, ra.k, ra.c, ra.w, floor(ra.r) AS whole, fold.take FROM ra JOIN fold ON ra.source IS NOT DISTINCT FROM fold.source AND ra.j = fold.j),
-rk AS (SELECT k.rid, k.doc_id, k.source, k.n, pl.*, {_u("concat('9|', coalesce(CAST(k.doc_id AS VARCHAR), '-'), '|', k.n, '|', coalesce(k.source, '-'))", 13)} AS u, least(pl.take * k.n / pl.w, (1 - 1e-9)::DOUBLE) AS p
-       FROM k LEFT JOIN pl ON pl.source IS NOT DISTINCT FROM k.source AND pl.k = k.k),
-od AS (SELECT *, row_number() OVER (PARTITION BY source, k ORDER BY u / (1 - u) * (1 - p) / p NULLS LAST, doc_id NULLS FIRST, n) AS place FROM rk)
-SELECT od.doc_id, od.n AS size, g.s AS source_size, g.target, CAST(CASE WHEN od.n = 0 THEN 0 ELSE od.n * (od.whole + CASE WHEN od.take > 0 AND od.place <= od.take THEN 1 ELSE 0 END) END AS BIGINT) AS taken
-FROM od JOIN g ON g.source IS NOT DISTINCT FROM od.source
+h AS (SELECT d.source, d.n, count(*) AS m, any_value(g.target - floor(g.target / g.s) * g.s) AS rest FROM d JOIN g ON g.source IS NOT DISTINCT FROM d.source WHERE d.n > 0 GROUP BY 1, 2),
+hc AS (SELECT *, (rest - (sum(n * m) OVER (PARTITION BY source ORDER BY n DESC) - n * m)) / (sum(n * n * m) OVER (PARTITION BY source ORDER BY n))::DOUBLE AS c FROM h),
+od AS (SELECT source, max(rest) AS rest, arg_max(c, n) FILTER (c * n <= 1) AS c FROM hc GROUP BY 1),
+rk AS (SELECT d.*, g.s, g.target, floor(g.target / g.s) AS whole, coalesce(od.rest, 0) AS rest, least(1.0::DOUBLE, coalesce(od.c, 0) * d.n) AS p,
+         {_u("concat('9|', coalesce(CAST(d.doc_id AS VARCHAR), '-'), '|', d.n, '|', coalesce(d.source, '-'))", 13)} AS u
+       FROM d JOIN g ON g.source IS NOT DISTINCT FROM d.source LEFT JOIN od ON od.source IS NOT DISTINCT FROM d.source),
+qk AS (SELECT *, CASE WHEN p = 1 THEN 0 WHEN p > 0 THEN u / (1 - u) * (1 - p) / p END AS q FROM rk),
+up AS (SELECT *, sum(n) OVER (PARTITION BY source ORDER BY q NULLS LAST, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM qk)
+SELECT doc_id, n AS size, s AS source_size, target,
+       CAST(CASE WHEN n = 0 THEN 0 ELSE n * (whole + CASE WHEN p = 1 OR p > 0 AND upto - n / 2.0::DOUBLE <= rest THEN 1 ELSE 0 END) END AS BIGINT) AS taken, p AS inclusion
+FROM up
 """

@@ -390,30 +390,50 @@ def test_mixing(spark, odd):
     assert Counter(r.source for r in rows_taken.select("source").collect()) == Counter({s: c for s in names if (c := sum(x.copies for x in out if x._source == s))})
 
 
-def test_pareto_ranks(spark):
-    """In each size class of a source the texts of least rank are drawn, as a plain sort draws them."""
-    rows = [(i, " ".join(["w"] * (10 + i % 3)), "a" if i % 5 else "b") for i in range(400)]
+@pytest.mark.parametrize("bins", [256, 3])
+def test_pareto_ranks(spark, monkeypatch, bins):
+    """Odds in proportion to size over a whole source, the largest texts for certain, the rest in the order of a plain sort up to the size."""
+    monkeypatch.setattr(mixing, "BINS", bins)
+    r = random.Random(3)
+    rows = [(i, " ".join(["w"] * int(1 + r.lognormvariate(3, 1.2))), ("a", "b", "c", None)[min(3, i % 5)]) for i in range(400)] + [(500, " ".join(["w"] * 9000), "a"), (501, "", "a"), (502, None, None)]
     out = {x.doc_id: x for x in mixing.mix(frame(spark, rows)).collect()}
-    n = {i: len(t.split()) for i, t, _ in rows}
-    src_of = {i: s for i, _, s in rows}
-    u = {i: int(hashlib.md5(f"9|{i}|{n[i]}|{src_of[i]}".encode()).hexdigest()[:13], 16) for i in n}
-    for s in ("a", "b"):
-        classes = defaultdict(list)
-        for i, _, src in rows:
-            if src == s:
-                classes[math.floor(math.log2(n[i]) * mixing.STEPS + 1e-9)].append(i)
-        for members in classes.values():
-            low = min(out[i].copies for i in members)
-            extra = [i for i in members if out[i].copies > low]
-            if not extra:
-                continue
-            words, k = sum(n[i] for i in members), len(extra)
-
-            def rank(i):
-                p, x = min(k * n[i] / words, 1 - 1e-9), (u[i] + 0.5) / 16**13
-                return x / (1 - x) * (1 - p) / p
-
-            assert sorted(extra) == sorted(sorted(members, key=rank)[:k])
+    for s in ("a", "b", "c", None):
+        n = {i: len((t or "").split()) for i, t, src in rows if src == s}
+        whole = math.floor(out[next(iter(n))].target / sum(n.values()))
+        goal = out[next(iter(n))].target - whole * sum(n.values())
+        certain, c = set(), 0.0
+        while goal > 0:
+            c = (goal - sum(n[i] for i in certain)) / sum(n[i] ** 2 for i in n if i not in certain)
+            more = {i for i in n if i not in certain and c * n[i] > 1}
+            if not more:
+                break
+            certain |= more
+        p = {i: 1.0 if i in certain else min(1.0, c * n[i]) for i in n}
+        assert all(math.isclose(out[i].inclusion, p[i], rel_tol=1e-9, abs_tol=1e-12) for i in n)
+        assert math.isclose(sum(p[i] * n[i] for i in n), goal, rel_tol=1e-9, abs_tol=1e-6)  # the target in expectation
+
+        def rank(i):
+            x = (int(hashlib.md5(f"9|{i}|{n[i]}|{s or '-'}".encode()).hexdigest()[:13], 16) + 0.5) / 16**13
+            return 0 if p[i] == 1 else x / (1 - x) * (1 - p[i]) / p[i]
+
+        upto, extra = 0, set()
+        for i in sorted((i for i in n if p[i] > 0), key=rank):
+            if p[i] == 1 or upto + n[i] / 2 <= goal:
+                extra.add(i)
+            upto += n[i]
+        assert {i: out[i].copies for i in n} == {i: (whole + (i in extra)) if n[i] else 0 for i in n}
+
+
+def test_take_mix_repeated_rows(spark):
+    """Equal rows give the copies of all of them; rows that differ in another column alone keep apart; reruns agree."""
+    rows = [(1, "a b c", "s")] * 3 + [(None, "x y", "s"), (None, "x z", "s"), (2, "", "s"), (3, None, None)] + [(i, "w " * (i % 7 + 1), "s") for i in range(10, 60)]
+    df = frame(spark, rows)
+    other = df.filter("doc_id = 1").limit(1).withColumn("lang", F.lit("de"))
+    df = df.unionByName(other)
+    runs = [got(mixing.take_mix(df.repartition(n)), *df.columns) for n in (1, 5)]
+    assert runs[0] == runs[1]
+    assert len(runs[0]) == sum(x.copies for x in mixing.mix(df).collect())
+    assert mixing.take_mix(frame(spark, [])).count() == 0
 
 
 def test_token_counts(spark, odd, tmp_path):
