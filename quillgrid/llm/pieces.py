@@ -160,22 +160,36 @@ def _segment_short(p: Pieces, sym: np.ndarray, n: np.ndarray, unit: np.ndarray,
     return n
 
 
-def _segment_long(p: Pieces, sym: list[int], unit: int, dropout: float) -> list[int]:
-    """The same with an agenda: a heap of (rank, place) and linked symbols."""
+_BITS = (1 << 64) - 1
+
+
+def _mix_one(x: int) -> int:
+    """K.mix of one number."""
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & _BITS
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & _BITS
+    return x ^ x >> 31
+
+
+def _segment_long(p: Pieces, sym: np.ndarray, unit: int, dropout: float) -> np.ndarray:
+    """The same with an agenda: a heap of (rank, place) and linked symbols. The first candidates are found all at once."""
     n = len(sym)
-    nxt, prv, val, alive = list(range(1, n + 1)), list(range(-1, n - 1)), list(sym), [True] * n
-    heap: list[tuple] = []
+    place = np.arange(n - 1)
+    rank, made = _ranks(p, sym[:-1], sym[1:], place, np.full(n - 1, unit, np.uint64), dropout)
+    val, alive = sym.tolist(), [True] * n
+    nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
+    first = np.flatnonzero(rank < NONE)
+    heap = [(r, i, i + 1, val[i], val[i + 1], m) for r, i, m in zip(rank[first].tolist(), first.tolist(), made[first].tolist(), strict=True)]
+    heapq.heapify(heap)
+    pairs, ranks, limit = p.pairs, p.rank, dropout * float(1 << 53)
 
     def add(i: int) -> None:
         j = nxt[i]
-        if i < 0 or j >= n:
+        if j >= n or val[i] < 0 or val[j] < 0:
             return
-        made = p.pairs.get(val[i] << 20 | val[j]) if val[i] >= 0 and val[j] >= 0 else None
-        if made is not None and not (dropout > 0 and _skipped(np.array([unit], np.uint64), np.array([i]), np.array([made]), dropout)[0]):
-            heapq.heappush(heap, (int(p.rank[made]), i, j, val[i], val[j], made))
+        made = pairs.get(val[i] << 20 | val[j])
+        if made is not None and not (limit and (_mix_one(unit ^ i << 32 ^ made) >> 11) < limit):
+            heapq.heappush(heap, (int(ranks[made]), i, j, val[i], val[j], made))
 
-    for i in range(n - 1):
-        add(i)
     while heap:
         _, i, j, a, b, made = heapq.heappop(heap)
         if not (alive[i] and j < n and alive[j] and nxt[i] == j and val[i] == a and val[j] == b):
@@ -186,7 +200,7 @@ def _segment_long(p: Pieces, sym: list[int], unit: int, dropout: float) -> list[
         if prv[i] >= 0:
             add(prv[i])
         add(i)
-    return [val[i] for i in range(n) if alive[i]]
+    return np.array(val, np.int64)[np.array(alive, bool)]
 
 
 def _units(b: np.ndarray, o: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -268,7 +282,7 @@ def encode_slice(p: Pieces, b: np.ndarray, o: np.ndarray, key: np.ndarray, dropo
             n = _segment_short(p, m, size[rows], u[rows], dropout)
             found.append((rows, n, m[w < n[:, None]]))
     for r in np.flatnonzero(size > LONG):
-        got = np.array(_segment_long(p, flat[at[r] : at[r] + size[r]].tolist(), int(u[r]), dropout), np.int64)
+        got = _segment_long(p, flat[at[r] : at[r] + size[r]], int(u[r]), dropout)
         found.append((np.array([r]), np.array([len(got)]), got))
     rows = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
     syms = np.concatenate([x[2] for x in found]) if found else np.zeros(0, np.int64)
@@ -331,7 +345,8 @@ def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEE
     other seeds. dropout 0 gives the library's own segmentation. Text is not normalised; a space is put before it,
     U+2581 itself and characters without a piece become byte pieces: decode() gives the text back, and
     ``lossless`` says that it has been decoded and compared byte by byte.
-    Null text is empty: no ids. Null ids are allowed, repeated rows are equal. Other columns are ignored.
+    Null text is empty: no ids. Null ids are allowed, repeated rows are equal, other columns are ignored; no rows in, no
+    rows out. A text without a space is one unit, segmented in n log n steps.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -359,7 +374,8 @@ def encode(docs: DataFrame, path: str, dropout: float = DROPOUT, seed: int = SEE
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """One row per input row: id, text. Null ids decode to an empty text; bytes that are no UTF-8 to U+FFFD."""
+    """One row per input row: id, text. A null or empty list of ids decodes to an empty text, bytes that are no UTF-8 to U+FFFD.
+    Null row ids are allowed, repeated rows decode alike, other columns are ignored; no rows in, no rows out."""
     kind = encoded.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
