@@ -73,7 +73,7 @@ def _signatures(k: int):
                 node = pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64())
                 bands = _bands([s for s in sets if len(s)]).view(np.int64).reshape(-1)
                 lists = pa.ListArray.from_arrays(pa.array(K.bounds(full.astype(np.int64) * BANDS).astype(np.int32)), pa.array(bands))
-                yield pa.RecordBatch.from_arrays([part.column(0), node, lists], names=["_id", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), node, lists, part.column(2)], names=["_id", "node", "bands", "_h"])
 
     return run
 
@@ -175,8 +175,13 @@ def ngram_join(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col:
     Rows with a null id, and texts without a word, link to nothing: class_id is the row's own id, n_links 0,
     copies 1. Repeated rows are copies of each other. Other columns are ignored. No rows in, no rows out.
     """
+    return _linked(docs, k, num, den, id_col, text_col).drop("_h")
+
+
+def _linked(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """ngram_join's rows, and _h, a digest of the text."""
     base = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
-    sig = written(base.mapInArrow(K.releasing(_signatures(k)), "_id long, node long, bands array<long>"), "signatures")
+    sig = written(base.select("_id", "_t", F.xxhash64("_t").alias("_h")).mapInArrow(K.releasing(_signatures(k)), "_id long, node long, bands array<long>, _h long"), "signatures")
     good = sig.filter("node IS NOT NULL AND _id IS NOT NULL")
     nodes = written(good.groupBy("node").agg(F.min("_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "nodes")
     keyed = nodes.select("node", F.posexplode("bands").alias("band", "h")).select("node", F.xxhash64("band", "h").alias("h"))
@@ -203,17 +208,20 @@ def ngram_join(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col:
     least = member.groupBy("root").agg(F.min("rep").alias("class_id")).withColumnRenamed("root", "r2")
     about = member.join(least, F.col("root") == F.col("r2")).join(links.withColumnRenamed("node", "n3"), F.col("node") == F.col("n3"), "left")
     about = about.select(F.col("node").alias("n4"), "class_id", "copies", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("w", F.lit(0)).alias("w"))
-    rows = sig.select("_id", F.when(F.col("_id").isNotNull(), F.col("node")).alias("node"))
+    rows = sig.select("_id", F.when(F.col("_id").isNotNull(), F.col("node")).alias("node"), "_h")
     return rows.join(about, F.col("node") == F.col("n4"), "left").select(
         F.col("_id").alias(id_col),
         F.coalesce("class_id", "_id").alias("class_id"),
         F.coalesce(F.col("w") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
         F.coalesce(F.col("n"), F.lit(0)).alias("n_link_texts"),
         F.coalesce(F.col("copies"), F.lit(1)).alias("copies"),
+        "_h",
     )
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose id isn't its class's; rows with a null id stay."""
-    drop = ngram_join(docs, id_col=id_col, text_col=text_col).filter(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("_drop")).distinct()
-    return docs.join(drop, F.col(id_col) == F.col("_drop"), "left_anti")
+    """``docs`` without the rows whose id isn't its class's, all columns kept. A row is found again by id and digest of its text,
+    so an id with several texts loses only those whose class has a smaller id; rows that repeat the id and text that stay, stay. Null ids and
+    texts without a word stay. No rows in, no rows out."""
+    drop = _linked(docs, 5, 4, 5, id_col, text_col).filter(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("_drop"), F.col("_h").alias("_drop_h")).distinct()
+    return docs.join(drop, (F.col(id_col) == F.col("_drop")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_drop_h")), "left_anti")

@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name under ``spark.checkpoint.dir``. Where the setting is absent (tests, a single
-    machine), a folder of this process is made and set as checkpoint directory."""
+    """A new folder name under ``spark.checkpoint.dir``. Where the setting is absent on a single machine (tests), a
+    folder of this process is made and set as checkpoint directory; on a cluster its absence is an error."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("quillgrid.shared.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="quillgrid-")
         spark.conf.set("quillgrid.shared.dir", base)
         spark.sparkContext.setCheckpointDir(base)

@@ -119,9 +119,16 @@ def test_ngram_join(spark, odd, monkeypatch, block):
     assert got(out, "doc_id", "class_id", "n_links", "n_link_texts") == brute_links(rows)
     if block == 128:
         assert ngram_join.ngram_join(frame(spark, [])).count() == 0
-        kept = ngram_join.keep_one_of_each(frame(spark, [r for r in rows if r[0] != 4]))
+        kept = ngram_join.keep_one_of_each(frame(spark, rows))
         assert kept.columns == frame(spark, []).columns
-        assert {r[0] for r in kept.select("doc_id").collect()} == {r[1] for r in brute_links([r for r in rows if r[0] != 4])}
+        assert {r[0] for r in kept.select("doc_id").collect()} == {r[1] for r in brute_links(rows)}
+
+
+def test_keep_one_keeps_the_other_text_of_an_id(spark):
+    """Rows (5, X), (5, Y), (3, near copy of Y): X is a class of its own and stays."""
+    x, y = (" ".join(f"{c}{i}" for i in range(60)) for c in "xy")
+    rows = [(5, x, "s"), (5, y, "s"), (3, y + " end", "s"), (None, y, "s"), (7, "", "s"), (8, None, "s")]
+    assert got(ngram_join.keep_one_of_each(frame(spark, rows)), "doc_id", "text") == sorted([r[:2] for r in rows if r != rows[1]], key=repr)
 
 
 def brute_lines(rows, m, words):
@@ -258,7 +265,7 @@ def test_pieces_round_trip_and_library(spark, odd):
 
     path = pieces.piece_path()
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    rows = [r for r in odd if r[0] != 205] + [(300, "a  b \n▁ c　ﬁ 😀 <s> <0x41>", "s"), (301, "y" * 500 + " " * 70, "s"), (302, "▁▁", "s")]
+    rows = odd + [(300, "a  b \n▁ c　ﬁ 😀 <s> <0x41>", "s"), (301, "y" * 500 + " " * 70, "s"), (302, "▁▁", "s")]
     plain = pieces.encode(frame(spark, rows), path, dropout=0.0)
     for r in plain.join(frame(spark, rows).select(F.col("doc_id").alias("k"), "text").dropDuplicates(["k"]), F.col("doc_id") == F.col("k")).filter("doc_id NOT IN (3, 4)").collect():
         assert r.lossless
@@ -281,7 +288,7 @@ def test_pieces_heap_equals_rounds():
         s = pieces._symbols(p, "".join(r.choice("abethonti ,.é日") for _ in range(r.randint(2, 40))))
         m = s[None, :].copy()
         n = pieces._segment_short(p, m, np.array([len(s)]), np.array([9], np.uint64), 0.3)
-        assert m[0, : n[0]].tolist() == pieces._segment_long(p, s.tolist(), 9, 0.3)
+        assert m[0, : n[0]].tolist() == pieces._segment_long(p, s, 9, 0.3).tolist()
 
 
 def test_quality_classifier(spark):
@@ -518,3 +525,21 @@ def test_quality_rules_decide_by_line_frequency(spark):
     cut, lost = out.filter("words_removed > 0").count(), out.filter("NOT base_failed AND NOT kept").count()
     print(cut, lost)
     assert cut > 5
+
+
+def test_shared_folder_must_be_set_on_a_cluster(spark, monkeypatch):
+    from quillgrid.llm import shared
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+            getConf = staticmethod(Conf)
+
+    with pytest.raises(RuntimeError):
+        shared.shared_dir(Cluster())
