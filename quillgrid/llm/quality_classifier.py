@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,14 +19,16 @@ U64 = np.uint64
 MAX_LABELLED, ROUNDS = 10_000, 4
 #: A pseudo-label must be this sure and weighs so much; a share of labelled rows is kept for calibration.
 SURE, PSEUDO, CALIBRATE = 0.95, 0.5, 0.25
+#: Hash space of words and pairs of words; those of them that the text view holds; classes of page sizes, by powers of two.
+BUCKETS, TERMS, SIZES = 1 << 16, 128, 32
+NULL = "\0"
 _UPPER, _DIGIT, _SYMBOL, _PUNCT = (np.zeros(256, bool) for _ in range(4))
 _UPPER[65:91] = True
 _DIGIT[48:58] = True
 _SYMBOL[[ord(c) for c in "#*$%&|<>=~^_{}[]\\@"]] = True
 _PUNCT[[ord(c) for c in ".,!?;:'\"()-"]] = True
-HASHED = 64
-#: Numbers of the text view.
-TEXT_SIZE = 11 + HASHED
+#: Plain numbers of the text view, and of the page view.
+TEXT_NUMBERS, PAGE_NUMBERS = 11, 1
 
 
 def _share(flag: np.ndarray, o: np.ndarray) -> np.ndarray:
@@ -33,8 +36,16 @@ def _share(flag: np.ndarray, o: np.ndarray) -> np.ndarray:
     return (c[o[1:]] - c[o[:-1]]) / np.maximum(np.diff(o), 1)
 
 
-def text_view(b: np.ndarray, o: np.ndarray) -> np.ndarray:
-    """From words alone: repetition, lengths, kinds of characters, and shares of hashed frequent word forms."""
+def _terms(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and bucket of each word, and of each two words that follow each other."""
+    h, doc = w["h"], np.repeat(np.arange(len(w["n"])), w["n"])
+    one = np.flatnonzero(doc[1:] == doc[:-1])
+    two = K.mix(h[one] * U64(3) + h[one + 1])
+    return np.concatenate([doc, doc[one]]), np.concatenate([h % U64(BUCKETS), two % U64(BUCKETS)]).astype(np.int64)
+
+
+def text_view(b: np.ndarray, o: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From words alone. Numbers: repetition, lengths, kinds of characters. Flags: which of ``terms`` (sorted buckets) the text holds."""
     w = K.words(b, o)
     n, h = w["n"], w["h"]
     at = K.bounds(n)
@@ -62,39 +73,45 @@ def text_view(b: np.ndarray, o: np.ndarray) -> np.ndarray:
     _, back, c3 = np.unique(k3, return_inverse=True, return_counts=True)
     rep3 = np.bincount(doc[inner], (c3[back] > 1).astype(float) if len(k3) else None, len(n)) / np.maximum(n - 2, 1)
     nums = np.stack([np.log1p(n), mean, np.sqrt(np.maximum(var, 0)), np.bincount(doc, same, len(n)) / some, distinct / some, top / some, rep3, _share(_UPPER[b], o), _share(_DIGIT[b], o), _share(_SYMBOL[b], o), _share(_PUNCT[b], o)], axis=1)
-    kinds = np.zeros((len(n), HASHED))
-    if len(h):
-        flat = np.bincount(doc * HASHED + (h % U64(HASHED)).astype(np.int64), minlength=len(n) * HASHED)
-        kinds = flat.reshape(len(n), HASHED) / some[:, None]
-    return np.concatenate([nums, kinds], axis=1)
-
-
-def page_view(b: np.ndarray, o: np.ndarray, lang: list, source: list) -> np.ndarray:
-    """From what is known about the page, not from its words: language, source, size, and the layout of lines."""
-    size = np.diff(o)
-    nl = b == 10
-    lines = _share(nl, o) * size + 1
-    at = np.flatnonzero(nl)
-    ends = np.sort(np.concatenate([at, o[1:]]))
-    starts = np.sort(np.concatenate([at + 1, o[:-1]]))
-    length = np.maximum(ends - starts, 0).astype(np.float64)
-    doc = np.clip(np.searchsorted(o, starts, "right") - 1, 0, max(len(size) - 1, 0))
-    count = np.maximum(np.bincount(doc, minlength=len(size)), 1)
-    mean = np.bincount(doc, length, len(size)) / count
-    sd = np.sqrt(np.maximum(np.bincount(doc, length * length, len(size)) / count - mean * mean, 0))
-    short = np.bincount(doc, (length < 30).astype(float), len(size)) / count
-    space = _share(K.SPACE[b], o)
-    one = np.zeros((len(size), 40))
-    for i, (x, y) in enumerate(zip(lang, source, strict=True)):
-        one[i, int(K.mix(np.array([sum(map(ord, x or "-")) * 31 + len(x or "")], np.uint64))[0] % U64(8))] = 1
-        one[i, 8 + int(K.mix(np.array([sum((j + 1) * ord(c) for j, c in enumerate(y or "-"))], np.uint64))[0] % U64(32))] = 1
-    return np.concatenate([np.stack([np.log1p(size), np.log1p(lines), np.log1p(mean), np.log1p(sd), short, space, (size > 0).astype(float)], axis=1), one], axis=1)
-
-
-def views(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """part: text, lang, source."""
+    flags = np.zeros((len(n), len(terms)), bool)
+    if len(h) and len(terms):
+        at, ids = _terms(w)
+        place = np.minimum(np.searchsorted(terms, ids), len(terms) - 1)
+        hit = terms[place] == ids
+        flags[at[hit], place[hit]] = True
+    return nums, flags
+
+
+def page_view(lang: pa.Array, source: pa.Array, size: pa.Array, langs: list, sources: list) -> tuple[np.ndarray, np.ndarray]:
+    """From the columns lang, source and n_chars, never from the text. Flags: each language and source that is known, the others
+    together, no size, and the size's power of two; no two share a flag."""
+    n = len(lang)
+    none = size.is_null().to_numpy(zero_copy_only=False)
+    number = np.maximum(size.fill_null(0).to_numpy(zero_copy_only=False).astype(np.float64), 0)
+    cols = []
+    for col, known in ((lang, langs), (source, sources)):
+        at = pc.index_in(col, value_set=pa.array(known, pa.string())).fill_null(len(known)).to_numpy(zero_copy_only=False)
+        cols.append(at[:, None] == np.arange(len(known) + 1))
+    cols += [none[:, None], np.minimum(np.log2(number + 1).astype(int), SIZES - 1)[:, None] == np.arange(SIZES)]
+    return np.log1p(number).reshape(n, 1), np.concatenate(cols, axis=1)
+
+
+def measured(part: pa.RecordBatch, known: dict) -> pa.Array:
+    """part: text, lang, source, n_chars. Both views of each row as bytes: numbers as float32, then flags as bits."""
     b, o = K.buffers(part.column(0))
-    return text_view(b, o), page_view(b, o, part.column(1).to_pylist(), part.column(2).to_pylist())
+    t, p = text_view(b, o, known["terms"]), page_view(part.column(1), part.column(2), part.column(3), known["langs"], known["sources"])
+    raw = np.concatenate([np.concatenate([t[0], p[0]], axis=1).astype(np.float32).view(np.uint8), np.packbits(np.concatenate([t[1], p[1]], axis=1), axis=1)], axis=1)
+    return pa.array([r.tobytes() for r in raw], pa.binary())
+
+
+def views(col: pa.Array, known: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Both views of a column of measured rows."""
+    k, flags = TEXT_NUMBERS + PAGE_NUMBERS, len(known["terms"]) + len(known["langs"]) + len(known["sources"]) + 3 + SIZES
+    raw = np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(len(col), 4 * k + (flags + 7) // 8)
+    x = np.ascontiguousarray(raw[:, : 4 * k]).view(np.float32).astype(np.float64)
+    f = np.unpackbits(raw[:, 4 * k :], axis=1, count=flags).astype(np.float64)
+    n = len(known["terms"])
+    return np.concatenate([x[:, :TEXT_NUMBERS], f[:, :n]], axis=1), np.concatenate([x[:, TEXT_NUMBERS:], f[:, n:]], axis=1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-3, steps: int = 25) -> np.ndarray:
@@ -160,8 +177,9 @@ def fit(xs: tuple[np.ndarray, np.ndarray], y: np.ndarray, others: Callable[[dict
     calib = np.arange(n) % round(1 / CALIBRATE) == 0
     if len(set(y[calib].tolist())) < 2 or len(set(y[~calib].tolist())) < 2:
         calib = np.zeros(n, bool)
-    mean = [x.mean(0) for x in xs]
-    sd = [np.maximum(x.std(0), 1e-3) for x in xs]
+    mean, sd = [x.mean(0) for x in xs], [np.maximum(x.std(0), 1e-3) for x in xs]
+    for k, m, d in zip((TEXT_NUMBERS, PAGE_NUMBERS), mean, sd, strict=True):  # flags stay as they are
+        m[k:], d[k:] = 0, 1
     xs = tuple((x - m) / s for x, m, s in zip(xs, mean, sd, strict=True))
     # Sums of parts differ in the last bits with the parts' order; rounded weights do not.
     models = [np.round(_logistic(x[~calib], y[~calib], np.ones((~calib).sum())), 6) for x in xs]
@@ -198,41 +216,70 @@ def predict(m: dict[str, np.ndarray], xs: tuple[np.ndarray, np.ndarray]) -> tupl
     return sig(_raw(cal, m["mix"])), sig(cal[:, 0]), sig(cal[:, 1])
 
 
-def _floats(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Both views of a column of measured rows."""
-    x = np.frombuffer(b"".join(col.to_pylist()), np.float32).reshape(len(col), -1).astype(np.float64)
-    return x[:, :TEXT_SIZE], x[:, TEXT_SIZE:]
+def _known(sample: DataFrame) -> dict:
+    """What the views look for, from the sample alone: the TERMS buckets that tell most about the label (G-test), languages and sources that occur twice."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros((2, BUCKETS), np.int64)
+        for b in batches:
+            for lo in range(0, b.num_rows, 512):
+                part = b.slice(lo, 512)
+                doc, ids = _terms(K.words(*K.buffers(part.column(0))))
+                key = np.unique(doc * BUCKETS + ids)
+                y = part.column(1).to_numpy(zero_copy_only=False)[key // BUCKETS]
+                for k in (0, 1):
+                    n[k] += np.bincount(key[y == k] % BUCKETS, minlength=BUCKETS)
+        some = np.flatnonzero(n.sum(0))
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[0, some]), pa.array(n[1, some])], names=["id", "bad", "good"])
+
+    total = {r._y: r.n for r in sample.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    bad, good = float(total.get(0, 0)), float(total.get(1, 0))
+    terms: list[int] = []
+    if bad and good:
+        c = sample.select("_t", "_y").mapInArrow(K.releasing(count), "id long, bad long, good long").groupBy("id").agg(F.sum("bad").alias("a"), F.sum("good").alias("b"))
+        g = F.lit(0.0)
+        for have, rest in ((F.col("a"), bad), (F.col("b"), good)):
+            for got, mean in ((have, (F.col("a") + F.col("b")) * rest / (bad + good)), (rest - have, (bad + good - F.col("a") - F.col("b")) * rest / (bad + good))):
+                g += F.when((got > 0) & (mean > 0), 2 * got * F.log(got / mean)).otherwise(0.0)
+        best = c.filter("a + b > 1").select("id", F.round(g, 9).alias("g")).filter("g > 5")
+        terms = sorted(r.id for r in best.orderBy(F.col("g").desc(), "id").limit(TERMS).collect())
+    often = lambda c: sorted(r[0] for r in sample.groupBy(c).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(c).collect())  # noqa: E731  fewer than half the sample's rows
+    return {"terms": np.array(terms, np.int64), "langs": often("_lang"), "sources": often("_src")}
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", max_labelled: int = MAX_LABELLED, threshold: float = 0.5) -> DataFrame:
-    """One row per input row: id, held_out, score (1: good), score_text, score_page, kept. Reads columns text, lang and source.
+    """One row per input row: id, held_out, score (1: good), score_text, score_page, kept. Reads columns text, lang, source and, if there, n_chars.
 
-    Two logistic models see different columns of a row, the text's words and the page's metadata, and hand each other
-    confident pseudo-labels; both are calibrated on labelled rows that neither was fitted on, and a third small model joins them.
-    They are fitted on the rows of at most ``max_labelled`` labelled ids (those of least keyed hash) and on all rows without a label:
-    these are measured once, and each Newton step adds up their gradients and Hessians where they lie. Rows with
+    Two logistic models see different columns of a row, the text's words and pairs of words, and the page's metadata (lang, source,
+    n_chars), and hand each other confident pseudo-labels; both are calibrated on labelled rows that neither was fitted on, and a third small
+    model joins them. They are fitted on the rows of at most ``max_labelled`` labelled ids (those of least keyed hash) and on all rows without
+    a label: these are measured once, and each Newton step adds up their gradients and Hessians where they lie. Rows with
     crc32(id) modulo 4 equal 2 teach no label. All rows are scored. Null text is empty, null lang and source are values of
-    their own, several labels of an id: the largest. Without labels of both kinds all rows score the prior. Repeated rows
-    score alike. Other columns are ignored. No rows in, no rows out.
+    their own, a null or missing n_chars is a flag, several labels of an id: the largest. Without labels of both kinds all rows score the prior.
+    Rows that repeat an id and text teach once and score alike. Other columns are ignored. No rows in, no rows out.
     """
-    base = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_t"), F.col("lang").cast("string").alias("_lang"), F.col("source").cast("string").alias("_src"))
+    names = {"_t": F.coalesce(F.col("text"), F.lit("")), "_lang": F.coalesce(F.col("lang").cast("string"), F.lit(NULL)), "_src": F.coalesce(F.col("source").cast("string"), F.lit(NULL)), "_n": F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")}
+    base = docs.select(F.col(id_col).alias("_id"), *[c.alias(n) for n, c in names.items()])
     y = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_k")).agg(F.max(label_col).cast("int").alias("_y"))
     kind = docs.schema[id_col].dataType.simpleString()
-    some = y.filter(~held_out("_k")).orderBy(F.xxhash64(F.lit(7), "_k"), "_k").limit(max_labelled)
+    some = F.broadcast(y.filter(~held_out("_k")).orderBy(F.xxhash64(F.lit(7), "_k"), "_k").limit(max_labelled))  # max_labelled x 12 bytes at most
+    # One example for each sampled id and distinct text; ids of many texts are cut by a hash that knows no label. Texts are fetched for these alone.
+    keyed = base.select("*", F.xxhash64("_t").alias("_h")).join(some, F.col("_id") == F.col("_k"))
+    keys = keyed.select("_id", "_h").distinct().orderBy(F.xxhash64(F.lit(7), "_id", "_h"), "_id").limit(2 * max_labelled).withColumnsRenamed({"_id": "_i2", "_h": "_h2"})
+    taught = keyed.join(F.broadcast(keys), (F.col("_id") == F.col("_i2")) & (F.col("_h") == F.col("_h2")))
+    sample = written(taught.groupBy("_id", "_h", "_y").agg(F.min("_t").alias("_t"), F.min(F.struct("_lang", "_src", "_n")).alias("m")).select("_id", "_h", "_y", "_t", "m._lang", "m._src", "m._n"), "sample")
+    known = _known(sample)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                x = np.concatenate(views(part.select([1, 2, 3])), axis=1).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["_id", "f"])
+                yield pa.RecordBatch.from_arrays([part.column(0), measured(part.select([1, 2, 3, 4]), known)], names=["_id", "f"])
 
     rows = base.mapInArrow(K.releasing(measure), f"_id {kind}, f binary").join(y, F.col("_id") == F.col("_k"), "left")
     rows = written(rows.select("_id", "_y", "f"), "measured")
-    some = F.broadcast(some.select("_k"))  # max_labelled x 8 bytes at most
-    # One example for each sampled id and distinct row; ids of many rows are cut by a hash that knows no label.
-    taught = rows.join(some, F.col("_id") == F.col("_k")).select("_id", "_y", "f").distinct()
-    taught = sorted((r._y, bytes(r.f)) for r in taught.orderBy(F.xxhash64(F.lit(7), "_id", "f")).limit(2 * max_labelled).select("_y", "f").collect())
+    own = sample.select("_y", "_t", "_lang", "_src", "_n").mapInArrow(K.releasing(measure), "_id int, f binary").collect()  # 2 x max_labelled rows at most, some 100 bytes each
+    own = sorted((r[0], bytes(r[1])) for r in own)
     free = rows.filter("_y IS NULL").select("f").coalesce(2 * docs.sparkSession.sparkContext.defaultParallelism)
 
     def others(now: dict) -> list[np.ndarray]:
@@ -240,7 +287,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
             total = [np.zeros(len(w) * (len(w) + 1) + 3) for w in now["at"]]
             for b in batches:
                 for lo in range(0, b.num_rows, 4096):
-                    x = tuple((v - m) / s for v, m, s in zip(_floats(b.column(0).slice(lo, 4096)), now["mean"], now["sd"], strict=True))
+                    x = tuple((v - m) / s for v, m, s in zip(views(b.column(0).slice(lo, 4096), known), now["mean"], now["sd"], strict=True))
                     for i, t in enumerate(_given(x, now["past"])):
                         total[i] += _sums(x[i][t >= 0], t[t >= 0], PSEUDO, now["at"][i])
             yield pa.RecordBatch.from_arrays([pa.array([t.tobytes()], pa.binary()) for t in total], names=["a", "b"])
@@ -248,18 +295,17 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
         parts = free.mapInArrow(K.releasing(add), "a binary, b binary").collect()  # as many as there are cores, twice
         return [sum((np.frombuffer(r[i]) for r in parts), np.zeros(len(w) * (len(w) + 1) + 3)) for i, w in enumerate(now["at"])]
 
-    t = np.array([r[0] for r in taught], np.float64)
-    order = np.random.Generator(np.random.PCG64(7)).permutation(len(taught))
-    x = _floats(pa.array([taught[i][1] for i in order], pa.binary())) if taught else (np.zeros((0, 1)), np.zeros((0, 1)))
-    model = pack(fit(x, t[order], others))
+    order = np.random.Generator(np.random.PCG64(7)).permutation(len(own))
+    x = views(pa.array([own[i][1] for i in order], pa.binary()), known) if own else (np.zeros((0, 1)), np.zeros((0, 1)))
+    model = pack(fit(x, np.array([own[i][0] for i in order], np.float64), others))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = unpack(model)
         for b in batches:
-            for lo in range(0, b.num_rows, 2048):
-                part = b.slice(lo, 2048)
-                s = predict(m, views(part.select([1, 2, 3])))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(4), *(pa.array(x) for x in s)], names=["_id", "held_out", "score", "score_text", "score_page"])
+            for lo in range(0, b.num_rows, 4096):
+                part = b.slice(lo, 4096)
+                s = predict(m, views(part.column(2), known))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(x) for x in s)], names=["_id", "held_out", "score", "score_text", "score_page"])
 
-    out = base.select("*", held_out("_id").alias("held_out")).mapInArrow(K.releasing(score), f"_id {kind}, held_out boolean, score double, score_text double, score_page double")
+    out = rows.select("_id", held_out("_id").alias("held_out"), "f").mapInArrow(K.releasing(score), f"_id {kind}, held_out boolean, score double, score_text double, score_page double")
     return out.withColumnRenamed("_id", id_col).withColumn("kept", F.col("score") >= threshold)
