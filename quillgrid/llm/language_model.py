@@ -1,8 +1,12 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark, read from memory-mapped sorted hash arrays."""
+"""Interpolated modified Kneser-Ney n-gram model, counted in Spark, read from memory-mapped sorted hash arrays.
+
+An n-gram of order three is (u, v, w), one of order two (v, w); v is the centre. All that is known of a centre lies in one shard, unless the centre
+is frequent: then its n-grams are spread by u, those of a frequent pair (u, v) by w, too, and their pairs are put together by a second deal.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -16,11 +20,15 @@ from .toxicity import held_out
 
 U64 = np.uint64
 END, BEGIN = U64(0x00000000000000E5), U64(0x00000000000000B6)
-#: Pairs are counted in runs of about so many tokens before they leave a task.
-RUN = 3_000_000
-#: Contexts are told apart as frequent by a histogram of so many buckets; those with a share of SHARE of all tokens are dealt out by the next word, too.
-HEAVY, SHARE = 1 << 16, 1e-3
+#: The longest n-grams; n-grams are counted in runs of about so many tokens before they leave a task; tokens to a shard.
+ORDER, RUN, SHARD = 3, 2_000_000, 2_000_000
+#: More tokens are never numbered at once: three numbers of so many words fit into 64 bits.
+MOST = 1 << 21
+#: Words and pairs are told apart as frequent by histograms of so many buckets; frequent ones have so large a share of a shard.
+HEAVY, SHARE = 1 << 16, 0.5
 _MUL = U64(0x9E3779B97F4A7C15)
+#: What a second deal carries: of words, of pairs of frequent centres, of frequent contexts.
+WORDS, PAIRS, CONTEXTS = 0, 1, 2
 
 
 def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -37,7 +45,8 @@ def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, n
 
 
-def contexts(t: np.ndarray, n: np.ndarray) -> np.ndarray:
+def before(t: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The token before each one; a text begins with BEGIN."""
     c = np.empty_like(t)
     c[1:] = t[:-1]
     c[K.bounds(n)[:-1]] = BEGIN
@@ -48,14 +57,39 @@ def pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return K.mix(v * _MUL + w)
 
 
-def _shard(v: np.ndarray, w: np.ndarray, heavy: np.ndarray, shards: int) -> np.ndarray:
-    """All pairs of a context lie in one shard; those of frequent contexts are spread by the next word."""
-    key = np.where(heavy[(v & U64(HEAVY - 1)).astype(np.int64)], v ^ K.mix(w ^ U64(0x51ED27)), v)
-    return (K.mix(key) % U64(shards)).astype(np.int64)
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h & U64(HEAVY - 1)).astype(np.int64)
+
+
+class Deal:
+    """Where n-grams lie."""
+
+    def __init__(self, shards: int, words: np.ndarray, pairs: np.ndarray, order: int):
+        self.shards, self.words, self.pairs, self.order = shards, words, pairs, order
+
+    def frequent(self, v: np.ndarray) -> np.ndarray:
+        return self.words[_bucket(v)]
+
+    def frequent_pair(self, uv: np.ndarray) -> np.ndarray:
+        return self.pairs[_bucket(uv)]
+
+    def of(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        hot = self.frequent(v)
+        key = v
+        if hot.any():
+            if self.order == 2:
+                key = np.where(hot, v ^ K.mix(w ^ U64(0x51ED27)), key)
+            else:
+                key = np.where(hot, v ^ K.mix(u ^ U64(0x2545F49)), key)
+                key = np.where(hot & self.frequent_pair(pair(u, v)), key ^ K.mix(w ^ U64(0x51ED27)), key)
+        return self.by(key)
+
+    def by(self, key: np.ndarray) -> np.ndarray:
+        return (K.mix(key) % U64(self.shards)).astype(np.int64)
 
 
 def _zip(*cols: np.ndarray) -> bytes:
-    """Columns one after the other, each as (item size, length, bytes); small counts take one byte."""
+    """Columns one after the other, each as (item size, length, bytes); small counts take one byte, hashes eight."""
     out = []
     for c in cols:
         if c.dtype != np.uint64:
@@ -78,38 +112,132 @@ def _unzip(data) -> list[np.ndarray]:
     return out
 
 
+def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
+    """Places where a new key begins."""
+    new = np.ones(len(sorted_keys[0]), bool)
+    for i, k in enumerate(sorted_keys):
+        if i == 0:
+            new[1:] = k[1:] != k[:-1]
+        else:
+            new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
 def _sum_by(key: np.ndarray, *cols: np.ndarray) -> tuple[np.ndarray, ...]:
     order = np.argsort(key, kind="stable")
     key = key[order]
-    first = np.ones(len(key), bool)
-    first[1:] = key[1:] != key[:-1]
-    at = np.flatnonzero(first)
+    at = _starts(key)
     return key[at], *(np.add.reduceat(c[order].astype(np.int64), at) if len(at) else np.zeros(0, np.int64) for c in cols)
 
 
-def _count_pairs(heavy: np.ndarray, shards: int):
-    """Rows (shard, blob): of each run of tokens, contexts with the number of their next words, next words, counts."""
+def _kinds(at: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For groups that begin at ``at``: sum of c, and how many of c are 1, 2, 3 or more."""
+    add = lambda x: np.add.reduceat(x.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+    return add(c), add(c == 1), add(c == 2), add(c >= 3)
+
+
+# Sorted arrays. Of a hash, 40 bits are kept besides the number of the shard; a value above 254 lies in arrays of its own.
+
+
+def _keys(g: np.ndarray) -> list[np.ndarray]:
+    return [(g >> U64(32)).astype(np.int64), ((g >> U64(24)) & U64(255)).astype(np.int64)]
+
+
+def _counts(c: np.ndarray) -> list[np.ndarray]:
+    over = np.flatnonzero(c >= 255)
+    return [np.minimum(c, 255), over, c[over]]
+
+
+def _contexts(c: np.ndarray, n1: np.ndarray, n2: np.ndarray, n3: np.ndarray) -> list[np.ndarray]:
+    """A context all of whose n-grams stand once has one number, the others four."""
+    plain = (c == n1) & (c < 255)
+    rest = np.flatnonzero(~plain)
+    return [np.where(plain, c, 255), rest, c[rest], n1[rest], n2[rest], n3[rest]]
+
+
+def _find(keys: list[np.ndarray], q: np.ndarray) -> np.ndarray:
+    """Place of each hash, or -1. ``q`` sorted is faster."""
+    hi, lo = keys
+    qh, ql = _keys(q)
+    out = np.full(len(q), -1, np.int64)
+    if not len(hi):
+        return out
+    at = np.searchsorted(hi, qh.astype(hi.dtype) if hi.dtype == np.uint32 else qh)
+    todo = np.arange(len(q))
+    while len(todo):
+        k = np.minimum(at[todo], len(hi) - 1)
+        same = (at[todo] < len(hi)) & (hi[k] == qh[todo])
+        hit = same & (lo[k] == ql[todo])
+        out[todo[hit]] = k[hit]
+        todo = todo[same & ~hit]
+        at[todo] += 1
+    return out
+
+
+def _get_counts(cols: list[np.ndarray], q: np.ndarray) -> np.ndarray:
+    at = _find(cols[:2], q)
+    c = np.where(at >= 0, cols[2][at], 0).astype(np.int64) if len(cols[2]) else np.zeros(len(q), np.int64)
+    big = np.flatnonzero(c == 255)
+    if len(big):
+        c[big] = cols[4][np.searchsorted(cols[3], at[big])]
+    return c
+
+
+def _get_contexts(cols: list[np.ndarray], q: np.ndarray) -> np.ndarray:
+    out = np.zeros((4, len(q)), np.int64)
+    at = _find(cols[:2], q)
+    if not len(cols[2]):
+        return out
+    c = np.where(at >= 0, cols[2][at], 0).astype(np.int64)
+    out[0] = out[1] = c
+    rest = np.flatnonzero(c == 255)
+    if len(rest):
+        k = np.searchsorted(cols[3], at[rest])
+        for i in range(4):
+            out[i, rest] = cols[4 + i][k]
+    return out
+
+
+def _count(deal: Deal):
+    """Rows (kind, shard, blob): of each run of tokens, the n-grams with their counts; words stand once in a blob, n-grams have their numbers."""
 
     def flush(ts: list, ns: list) -> Iterator[pa.RecordBatch]:
         t, n = np.concatenate(ts), np.concatenate(ns)
-        v = contexts(t, n)
-        order = np.lexsort((t, v))
-        v, t = v[order], t[order]
-        new = np.ones(len(v), bool)
-        new[1:] = (v[1:] != v[:-1]) | (t[1:] != t[:-1])
-        at = np.flatnonzero(new)
-        c, v, t = np.diff(np.append(at, len(v))), v[at], t[at]
-        s = _shard(v, t, heavy, shards)
+        v = before(t, n)
+        u, first = before(v, n), K.bounds(n)[:-1]
+        for lo in range(0, len(t), MOST):
+            hi = min(len(t), lo + MOST)
+            yield from numbered(t[lo:hi], v[lo], u[lo], first[np.searchsorted(first, lo) : np.searchsorted(first, hi)] - lo)
+
+    def numbered(t: np.ndarray, v0: np.uint64, u0: np.uint64, first: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """t: a run; v0, u0: the tokens before its first one; first: where texts begin in it."""
+        word, at = np.unique(np.concatenate([t, np.array([BEGIN, v0, u0], np.uint64)]), return_inverse=True)
+        w, (begin, v0, u0) = at[:-3].astype(np.uint64), at[-3:].astype(np.uint64)
+        k = U64(len(word))
+        v = np.concatenate([[v0], w[:-1]])
+        u = np.concatenate([[u0], v[:-1]])
+        v[first] = u[first] = begin
+        second = first + 1
+        u[second[second < len(u)]] = begin
+        key = v * k + w
+        if deal.order == 3:
+            key = key * k + u  # below 2**64: a run has MOST + 3 different words at most
+        key.sort()
+        at = _starts(key)
+        c, key = np.diff(np.append(at, len(key))), key[at]
+        u = (key % k).astype(np.int64) if deal.order == 3 else np.zeros(len(key), np.int64)
+        if deal.order == 3:
+            key //= k
+        v, w = (key // k).astype(np.int64), (key % k).astype(np.int64)
+        s = deal.of(word[u], word[v], word[w])
         order = np.argsort(s, kind="stable")
-        v, t, c, s = v[order], t[order], c[order], s[order]
-        cut = np.searchsorted(s, np.arange(shards + 1))
-        for i in range(shards):
+        u, v, w, c, s = u[order], v[order], w[order], c[order], s[order]
+        cut = np.searchsorted(s, np.arange(deal.shards + 1))
+        for i in np.flatnonzero(np.diff(cut)):
             a, z = cut[i], cut[i + 1]
-            if z > a:
-                new = np.ones(z - a, bool)
-                new[1:] = v[a + 1 : z] != v[a : z - 1]
-                own = np.flatnonzero(new)
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([_zip(v[a:z][own], np.diff(np.append(own, z - a)), t[a:z], c[a:z])], pa.binary())], names=["shard", "blob"])
+            cols = [v[a:z], w[a:z], u[a:z]] if deal.order == 3 else [v[a:z], w[a:z]]
+            own, back = np.unique(np.concatenate(cols), return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([_zip(word[own], c[a:z], *np.split(back, len(cols)))], pa.binary())], names=["shard", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ts, ns, size = [], [], 0
@@ -128,87 +256,151 @@ def _count_pairs(heavy: np.ndarray, shards: int):
     return run
 
 
-def _merge_pairs(folder: str, words: int):
-    """A file of sorted pair hashes and counts for each shard; rows (shard, blob, n1..n4): what words need, and counts of counts."""
-
-    def finish(shard: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        vs, ts, cs = [], [], []
-        for x in blobs:
-            v, n, t, c = _unzip(x)
-            vs.append(np.repeat(v, n.astype(np.int64)))
-            ts.append(t)
-            cs.append(c.astype(np.int64))
-        v, t, c = np.concatenate(vs), np.concatenate(ts), np.concatenate(cs)
-        del vs, ts, cs, blobs
-        g = pair(v, t)
-        order = np.argsort(g, kind="stable")
-        g, v, t, c = g[order], v[order], t[order], c[order]
-        new = np.ones(len(g), bool)
-        new[1:] = g[1:] != g[:-1]
-        at = np.flatnonzero(new)
-        g, v, t, c = g[at], v[at], t[at], np.add.reduceat(c, at)
-        over = np.flatnonzero(c >= 255)
-        put(f"{folder}/pairs-{shard:06d}", _zip(g, np.minimum(c, 255).astype(np.uint8), over.astype(np.int64), c[over]))
-        n = [int((c == k).sum()) for k in (1, 2, 3, 4)]
-        w, cont, seen = _sum_by(t, np.ones(len(t), np.int64), c)
-        x, total, n1, n2, n3 = _sum_by(v, c, c == 1, c == 2, c >= 3)
-        first = True
-        for i in range(words):
-            a, z = (K.mix(w) % U64(words)) == U64(i), (K.mix(x) % U64(words)) == U64(i)
-            blob = _zip(w[a], cont[a], seen[a], x[z], total[z], n1[z], n2[z], n3[z])
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([blob], pa.binary()), *(pa.array([k if first else 0], pa.int64()) for k in n)], names=["shard", "blob", "n1", "n2", "n3", "n4"])
-            first = False
+def _by_shard(finish: Callable[[tuple, list[bytes]], Iterator[pa.RecordBatch]], keys: int):
+    """``finish`` over all blobs of each key; rows are sorted by the first ``keys`` columns, the blob comes behind them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, blobs = None, []
+        open_key, blobs = None, []
         for b in batches:
-            for s, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if s != shard and blobs:
-                    yield from finish(shard, blobs)
+            for *key, x in zip(*(b.column(i).to_pylist() for i in range(keys + 1)), strict=True):
+                if key != open_key and blobs:
+                    yield from finish(tuple(open_key), blobs)
                     blobs = []
-                shard = s
+                open_key = key
                 blobs.append(x)
         if blobs:
-            yield from finish(shard, blobs)
+            yield from finish(tuple(open_key), blobs)
 
     return run
 
 
+DEALT = "kind int, shard int, blob binary, n1 long, n2 long, n3 long, n4 long, m1 long, m2 long, m3 long, m4 long"
+
+
+def _row(kind: int, shard: int, blob: bytes, n: list[int] = (0,) * 4, m: list[int] = (0,) * 4) -> pa.RecordBatch:
+    names = [x.split(" ")[0] for x in DEALT.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([shard], pa.int32()), pa.array([blob], pa.binary()), *(pa.array([int(x)], pa.int64()) for x in (*n, *m))], names=names)
+
+
+def _four(c: np.ndarray) -> list[int]:
+    return [int((c == k).sum()) for k in (1, 2, 3, 4)]
+
+
+def _dealt(kind: int, key: np.ndarray, shards: int, cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    s = (K.mix(key) % U64(shards)).astype(np.int64)
+    order = np.argsort(s, kind="stable")
+    cut = np.searchsorted(s[order], np.arange(shards + 1))
+    for i in range(shards):
+        own = order[cut[i] : cut[i + 1]]
+        if len(own):
+            yield _row(kind, i, _zip(*(c[own] for c in cols)))
+
+
+def _word_rows(v: np.ndarray, w: np.ndarray, a: np.ndarray, raw: np.ndarray, whole: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+    """Of pairs (v, w), sorted by v, with their count a and how often they stand: what words need, as next word and as context. Only pairs that are
+    ``whole`` count as pairs."""
+    word, cont, seen = _sum_by(w, whole, raw)
+    v, a = v[whole], a[whole]
+    at = _starts(v) if len(v) else np.zeros(0, np.int64)
+    none = lambda x: np.zeros(len(x), np.int64)
+    cols = [np.concatenate([cont, none(at)]), np.concatenate([seen, none(at)]), *(np.concatenate([none(word), k]) for k in _kinds(at, a))]
+    yield from _dealt(WORDS, h := np.concatenate([word, v[at]]), shards, [h, *cols])
+
+
+def _merge(folder: str, deal: Deal):
+    """A file for each shard with the n-grams, pairs and contexts that lie there; rows for the second deal; counts of counts."""
+
+    def finish(key: tuple, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        parts = [_unzip(x) for x in blobs]
+        del blobs[:]
+        c = np.concatenate([p[1] for p in parts]).astype(np.int64)
+        word, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        lift = np.split(back, np.cumsum([len(p[0]) for p in parts])[:-1])
+        v, w, *rest = (np.concatenate([m[p[i]] for m, p in zip(lift, parts, strict=True)]).astype(np.uint64) for i in range(2, len(parts[0])))
+        del parts, lift, back
+        k, n_gram, pairs = U64(len(word)), v * U64(len(word)) + w, None
+        if deal.order == 3:
+            if len(word) > MOST:
+                pairs, n_gram = np.unique(n_gram, return_inverse=True)
+            n_gram = n_gram.astype(np.uint64) * k + rest[0]
+        del v, w, rest
+        n_gram, c = _sum_by(n_gram, c)
+        two = n_gram // k if deal.order == 3 else n_gram
+        two = two if pairs is None else pairs[two.astype(np.int64)]
+        at = _starts(two)
+        vw = two[at]
+        v, w = word[(vw // k).astype(np.int64)], word[(vw % k).astype(np.int64)]
+        raw = np.add.reduceat(c, at)
+        files, high = [], [0] * 4
+        if deal.order == 3:
+            u3, v3, w3 = word[(n_gram % k).astype(np.int64)], word[(two // k).astype(np.int64)], word[(two % k).astype(np.int64)]
+            uv = pair(u3, v3)
+            g = pair(uv, w3)
+            order = np.argsort(g)
+            files += [*_keys(g[order]), *_counts(c[order])]
+            high = _four(c)
+            a = np.where(v == BEGIN, raw, np.diff(np.append(at, len(n_gram))))
+            order = np.argsort(uv, kind="stable")
+            uv, own, hot = uv[order], c[order], deal.frequent(v3[order]) & deal.frequent_pair(uv[order])
+            for some, far in ((~hot, False), (hot, True)):
+                x, y = uv[some], own[some]
+                start = _starts(x) if len(x) else np.zeros(0, np.int64)
+                kinds = _kinds(start, y)
+                if far:
+                    yield from _dealt(CONTEXTS, x[start], deal.shards, [x[start], *kinds])
+                else:
+                    files += [*_keys(x[start]), *_contexts(*kinds)]
+            del u3, v3, w3, uv, g, order, own
+        else:
+            a = raw
+        far = deal.frequent(v) if deal.order == 3 else np.zeros(len(v), bool)
+        g = pair(v[~far], w[~far])
+        order = np.argsort(g)
+        files = [*_keys(g[order]), *_counts(a[~far][order]), *files]
+        put(f"{folder}/grams-{key[0]:07d}", _zip(*files))
+        if far.any():
+            yield from _dealt(PAIRS, pair(v[far], w[far]), deal.shards, [v[far], w[far], a[far]])
+        yield from _word_rows(v, w, a, raw, ~far, deal.shards)
+        yield _row(-1, 0, b"", high, _four(a[~far]))
+
+    return _by_shard(finish, 1)
+
+
+def _merge_frequent(folder: str, shards: int):
+    """Pairs of frequent centres, and frequent contexts: files of them, and what words need of these pairs."""
+
+    def finish(key: tuple, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        kind, shard = key
+        cols = [np.concatenate(x) for x in zip(*(_unzip(b) for b in blobs), strict=True)]
+        if kind == CONTEXTS:
+            g, *kinds = _sum_by(*cols)
+            put(f"{folder}/contexts-{shard:07d}", _zip(*_keys(g), *_contexts(*kinds)))
+            return
+        v, w, a = cols
+        order = np.lexsort((w, v))
+        v, w, a = v[order], w[order], a[order].astype(np.int64)
+        at = _starts(v, w)
+        v, w, a = v[at], w[at], np.add.reduceat(a, at)
+        g = pair(v, w)
+        order = np.argsort(g)
+        put(f"{folder}/pairs-{shard:07d}", _zip(*_keys(g[order]), *_counts(a[order])))
+        yield from _word_rows(v, w, a, np.zeros(len(a), np.int64), np.ones(len(a), bool), shards)
+        yield _row(-1, 0, b"", m=_four(a))
+
+    return _by_shard(finish, 2)
+
+
 def _merge_words(folder: str):
     """A file for each shard of words: sorted hashes; as next word: pairs, count; as context: count, next words of count 1, 2, 3 and more."""
 
-    def finish(shard: int, blobs: list[bytes]) -> pa.RecordBatch:
-        parts = [_unzip(x) for x in blobs]
-        h = np.concatenate([p[0] for p in parts] + [p[3] for p in parts])
-        nw = sum(len(p[0]) for p in parts)
-        cols = []
-        for i in (1, 2, 4, 5, 6, 7):
-            c = np.zeros(len(h), np.int64)
-            own = np.concatenate([p[i] for p in parts]) if parts else c
-            if i < 3:
-                c[:nw] = own
-            else:
-                c[nw:] = own
-            cols.append(c)
-        h, *cols = _sum_by(h, *cols)
-        put(f"{folder}/words-{shard:06d}", _zip(h, *cols))
+    def finish(key: tuple, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        h, *cols = _sum_by(*(np.concatenate(x) for x in zip(*(_unzip(b) for b in blobs), strict=True)))
+        put(f"{folder}/words-{key[0]:07d}", _zip(h, *cols))
         cont, seen = cols[0], cols[1]
-        stats = [int((seen > 0).sum()), int(seen.sum()), int(cont.sum()), *(int((cont == k).sum()) for k in (1, 2, 3, 4))]
-        return pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in stats], names=["v", "n", "types", "n1", "n2", "n3", "n4"])
+        stats = [int((seen > 0).sum()), int(seen.sum()), int(cont.sum()), *_four(cont)]
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in stats], names=["v", "n", "types", "n1", "n2", "n3", "n4"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, blobs = None, []
-        for b in batches:
-            for s, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if s != shard and blobs:
-                    yield finish(shard, blobs)
-                    blobs = []
-                shard = s
-                blobs.append(x)
-        if blobs:
-            yield finish(shard, blobs)
-
-    return run
+    return _by_shard(finish, 1)
 
 
 def discounts(n: list[int]) -> list[float]:
@@ -221,47 +413,54 @@ def discounts(n: list[int]) -> list[float]:
     return [min(max(x, 0.05), k - 0.05) for x, k in zip(d, (1, 2, 3), strict=True)]
 
 
-def train(docs: DataFrame, text_col: str = "text", shards: int | None = None) -> dict:
+def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> dict:
     """Counts all texts and writes the model to the shared folder; returns its place and its few global numbers.
 
-    Each task counts the pairs of its own tokens first. Pairs are dealt out by context, those of frequent
-    contexts by next word, too, and a shard's pairs are merged into one file. What words need (in how many
-    pairs a word comes second; how often a context comes, and with how many words once, twice, more
-    often) is added up by a second deal. Files are written whole under their final name, so a task that runs
-    again, on whatever executor, puts the same file in place.
+    Each task counts the n-grams of its own tokens first, in runs. They are dealt out by centre (see above) to as many shards as
+    there are tokens for, so that a shard is of one size at every size of the input and a task holds one at a time. Files are written
+    whole under their final name, so a task that runs again, on whatever executor, puts the same file in place.
     """
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/model"
-    shards = shards or max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    words = shards
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(HEAVY, np.int64)
+        count = np.zeros(2 * HEAVY, np.int64)
         for b in batches:
             for lo in range(0, b.num_rows, 2048):
                 t, n = tokens(b.column(0).slice(lo, 2048))
-                count += np.bincount((contexts(t, n) & U64(HEAVY - 1)).astype(np.int64), minlength=HEAVY)
+                v = before(t, n)
+                count[:HEAVY] += np.bincount(_bucket(v), minlength=HEAVY)
+                count[HEAVY:] += np.bincount(_bucket(pair(before(v, n), v)), minlength=HEAVY)
         some = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(count[some])], names=["k", "c"])
 
-    seen = texts.mapInArrow(K.releasing(histogram), "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).toPandas()  # HEAVY rows at most
-    heavy = np.zeros(HEAVY, bool)
-    heavy[seen["k"].to_numpy(np.int64)[seen["c"].to_numpy(np.int64) > SHARE * seen["c"].sum()]] = True
-    pairs = texts.mapInArrow(K.releasing(_count_pairs(heavy, shards)), "shard int, blob binary").repartition(shards, "shard").sortWithinPartitions("shard")
-    merged = written(pairs.mapInArrow(K.releasing(_merge_pairs(folder, words)), "shard int, blob binary, n1 long, n2 long, n3 long, n4 long"), "merged")
-    by_word = merged.select("shard", "blob").repartition(words, "shard").sortWithinPartitions("shard")
-    stats = by_word.mapInArrow(K.releasing(_merge_words(folder)), "v long, n long, types long, n1 long, n2 long, n3 long, n4 long").agg(*[F.sum(c).alias(c) for c in ("v", "n", "types", "n1", "n2", "n3", "n4")]).first().asDict()
-    high = merged.agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in (1, 2, 3, 4)]).first().asDict()
-    whole = {k: int(v or 0) for k, v in stats.items()}
+    seen = texts.mapInArrow(K.releasing(histogram), "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).toPandas()  # 2 x HEAVY rows at most
+    count = np.zeros(2 * HEAVY, np.int64)
+    count[seen["k"].to_numpy(np.int64)] = seen["c"].to_numpy(np.int64)
+    total = int(count[:HEAVY].sum())
+    shards = max(4, -(-total // SHARD))
+    hot = count > max(SHARE / shards, 8 / HEAVY if shards > 4 else 0) * total
+    deal = Deal(shards, hot[:HEAVY], hot[HEAVY:], order)
+    grams = texts.mapInArrow(K.releasing(_count(deal)), "shard int, blob binary").repartition(shards, "shard").sortWithinPartitions("shard")
+    merged = written(grams.mapInArrow(K.releasing(_merge(folder, deal)), DEALT), "merged")
+    again = merged.filter(F.col("kind").isin(PAIRS, CONTEXTS)).select("kind", "shard", "blob").repartition(shards, "kind", "shard").sortWithinPartitions("kind", "shard")
+    frequent = written(again.mapInArrow(K.releasing(_merge_frequent(folder, shards)), DEALT), "frequent")
+    both = merged.unionByName(frequent)
+    words = both.filter(F.col("kind") == WORDS).select("shard", "blob").repartition(shards, "shard").sortWithinPartitions("shard")
+    stats = words.mapInArrow(K.releasing(_merge_words(folder)), "v long, n long, types long, n1 long, n2 long, n3 long, n4 long").agg(*[F.sum(c).alias(c) for c in ("v", "n", "types", "n1", "n2", "n3", "n4")]).first().asDict()
+    more = both.filter("kind = -1").agg(*[F.sum(c).alias(c) for c in ("n1", "n2", "n3", "n4", "m1", "m2", "m3", "m4")]).first().asDict()
+    whole, more = ({k: int(v or 0) for k, v in x.items()} for x in (stats, more))
     return {
-        "folder": folder, "shards": shards, "words": words, "heavy": np.packbits(heavy).tobytes(), "v": whole["v"], "n": whole["n"], "types": whole["types"],
-        "low": discounts([whole[f"n{k}"] for k in (1, 2, 3, 4)]), "high": discounts([int(high[f"n{k}"] or 0) for k in (1, 2, 3, 4)]),
-        "low_n": [whole["n1"], whole["n2"]],
+        "folder": folder, "order": order, "shards": shards, "hot": np.packbits(hot).tobytes(), "v": whole["v"], "n": whole["n"], "types": whole["types"],
+        "low": discounts([whole[f"n{k}"] for k in (1, 2, 3, 4)]), "low_n": [whole["n1"], whole["n2"]],
+        "mid": discounts([more[f"m{k}"] for k in (1, 2, 3, 4)]), "high": discounts([more[f"n{k}"] for k in (1, 2, 3, 4)]),
     }
 
 
-@lru_cache(maxsize=4096)
+@lru_cache(maxsize=1 << 16)
 def _file(uri: str) -> list[np.ndarray]:
     """A model file's arrays, mapped; a shard that got nothing has no file."""
     try:
@@ -270,86 +469,93 @@ def _file(uri: str) -> list[np.ndarray]:
         return []
 
 
-def _find(keys: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.searchsorted(keys, q)
-    at[at == len(keys)] = 0
-    return at, keys[at] == q if len(keys) else np.zeros(len(q), bool)
-
-
 class Model:
     def __init__(self, m: dict):
         self.m = m
-        self.heavy = np.unpackbits(np.frombuffer(m["heavy"], np.uint8)).astype(bool)
+        hot = np.unpackbits(np.frombuffer(m["hot"], np.uint8)).astype(bool)
+        self.deal = Deal(m["shards"], hot[:HEAVY], hot[HEAVY:], m["order"])
+
+    def _each(self, name: str, shard: np.ndarray, rows: np.ndarray, hash_: np.ndarray) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+        """For each shard that ``rows`` ask for: its file's arrays, and the rows in the order of their hash."""
+        order = rows[np.lexsort((hash_[rows], shard[rows]))]
+        cut = _starts(shard[order]) if len(order) else np.zeros(0, np.int64)
+        for own in np.split(order, cut[1:]) if len(order) else ():
+            cols = _file(f"{self.m['folder']}/{name}-{int(shard[own[0]]):07d}")
+            if cols:
+                yield cols, own
 
     def words(self, h: np.ndarray) -> np.ndarray:
         """Six numbers for each hash, see _merge_words; 0 for words that are not in the model."""
         out = np.zeros((6, len(h)), np.int64)
-        s = (K.mix(h) % U64(self.m["words"])).astype(np.int64)
-        for i in range(self.m["words"]):
-            own = np.flatnonzero(s == i)
-            cols = _file(f"{self.m['folder']}/words-{i:06d}") if len(own) else []
-            if cols and len(cols[0]):
-                at, ok = _find(cols[0], h[own])
-                for k in range(6):
-                    out[k, own] = np.where(ok, cols[k + 1][at], 0)
+        for cols, own in self._each("words", self.deal.by(h), np.arange(len(h)), h):
+            at = np.minimum(np.searchsorted(cols[0], h[own]), len(cols[0]) - 1)
+            ok = cols[0][at] == h[own]
+            for k in range(6):
+                out[k, own] = np.where(ok, cols[k + 1][at], 0)
         return out
 
-    def pairs(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(v), np.int64)
-        s = _shard(v, w, self.heavy, self.m["shards"])
-        order = np.argsort(s, kind="stable")
-        cut = np.searchsorted(s[order], np.arange(self.m["shards"] + 1))
-        g = pair(v, w)
-        for i in range(self.m["shards"]):
-            own = order[cut[i] : cut[i + 1]]
-            cols = _file(f"{self.m['folder']}/pairs-{i:06d}") if len(own) else []
-            if cols and len(cols[0]):
-                own = own[np.argsort(g[own])]
-                at, ok = _find(cols[0], g[own])
-                c = np.where(ok, cols[1][at], 0).astype(np.int64)
-                big = np.flatnonzero(c == 255)
-                if len(big):
-                    c[big] = cols[3][np.searchsorted(cols[2], at[big])]
-                out[own] = c
-        return out
+    def grams(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of pairs (v, w), of triples, and four numbers of the contexts (u, v)."""
+        two, three, ctx = np.zeros(len(v), np.int64), np.zeros(len(v), np.int64), np.zeros((4, len(v)), np.int64)
+        deal, vw, every = self.deal, pair(v, w), np.arange(len(v))
+        shard, far = deal.of(u, v, w), deal.frequent(v)
+        if deal.order == 2:
+            for cols, own in self._each("grams", shard, every, vw):
+                two[own] = _get_counts(cols[:5], vw[own])
+            return two, three, ctx
+        uv = pair(u, v)
+        uvw, far_ctx = pair(uv, w), far & deal.frequent_pair(uv)
+        for cols, own in self._each("grams", shard, every, uvw):
+            three[own] = _get_counts(cols[5:10], uvw[own])
+            some = own[~far[own]]
+            two[some] = _get_counts(cols[:5], vw[some])
+            some = own[~far_ctx[own]]
+            ctx[:, some] = _get_contexts(cols[10:], uv[some])
+        for cols, own in self._each("pairs", deal.by(vw), np.flatnonzero(far), vw):
+            two[own] = _get_counts(cols, vw[own])
+        for cols, own in self._each("contexts", deal.by(uv), np.flatnonzero(far_ctx), uv):
+            ctx[:, own] = _get_contexts(cols, uv[own])
+        return two, three, ctx
 
     def score(self, col: pa.Array) -> tuple[np.ndarray, ...]:
         """n_tokens, n_known, base_score, score of each text."""
         m = self.m
         t, n = tokens(col)
-        v = contexts(t, n)
-        u, back = np.unique(np.append(t, BEGIN), return_inverse=True)
-        info = self.words(u)
+        v = before(t, n)
+        h, back = np.unique(np.append(t, BEGIN), return_inverse=True)
+        info = self.words(h)
         w_at, v_at = back[:-1], np.concatenate([back[-1:], back[:-2]])
         v_at[K.bounds(n)[:-1]] = back[-1]
-        d, low = np.array([0.0, *m["high"]]), np.array([0.0, *m["low"]])
+        low, mid, high = (np.array([0.0, *m[x]]) for x in ("low", "mid", "high"))
+        less = lambda c, d: np.maximum(c - d[np.minimum(c, 3)], 0)
+        left = lambda k, d: (d[1] * k[1] + d[2] * k[2] + d[3] * k[3]) / np.maximum(k[0], 1)
         types = max(m["types"], 1)
-        cont = info[0].astype(np.float64)
-        kind = np.minimum(info[0], 3)
-        gamma1 = (m["low"][0] * m["low_n"][0] + m["low"][1] * m["low_n"][1] + m["low"][2] * max(m["v"] - m["low_n"][0] - m["low_n"][1], 0)) / types if m["types"] else 1.0
-        uni = np.maximum(cont - low[kind], 0) / types + gamma1 / (m["v"] + 1)
-        total = info[2].astype(np.float64)
-        gamma = np.where(total > 0, (d[1] * info[3] + d[2] * info[4] + d[3] * info[5]) / np.maximum(total, 1), 1.0)
-        c = self.pairs(v, t)
-        p = np.maximum(c - d[np.minimum(c, 3)], 0) / np.maximum(total[v_at], 1) + gamma[v_at] * uni[w_at]
+        gamma1 = (low[1] * m["low_n"][0] + low[2] * m["low_n"][1] + low[3] * max(m["v"] - m["low_n"][0] - m["low_n"][1], 0)) / types if m["types"] else 1.0
+        uni = less(info[0], low) / types + gamma1 / (m["v"] + 1)
+        two, three, ctx = self.grams(before(v, n), v, t)
+        k = info[2:6][:, v_at]
+        p = np.where(k[0] > 0, less(two, mid) / np.maximum(k[0], 1) + left(k, mid) * uni[w_at], uni[w_at])
+        if m["order"] == 3:
+            p = np.where(ctx[0] > 0, less(three, high) / np.maximum(ctx[0], 1) + left(ctx, high) * p, p)
         at = K.bounds(n)[:-1]
         known = info[1][w_at]
         base = np.log10((known + 1) / (m["n"] + m["v"] + 1)) if m["n"] + m["v"] + 1 else np.zeros(len(t))
         return n, np.add.reduceat((known > 0).astype(np.int64), at), np.add.reduceat(base, at), np.add.reduceat(np.log10(p), at)
 
 
-def lm_score(docs: DataFrame, parts: int = 7, rest: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lm_score(docs: DataFrame, parts: int = 7, rest: int = 2, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity.
 
     Tokens are words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case, and one end for each text. The model is learnt from
     rows whose id's crc32 does not leave ``rest`` modulo ``parts`` (a null id is in training). score: log10 probability of all
-    tokens, each given the one before, with three discounts for pairs and three for continuation counts, and a uniform
-    share for words never seen. base_score: add-one unigram. Null text is empty (one token, the end). Repeated rows
+    tokens, each given the ``order`` - 1 before. Counts of the highest order are plain, those below say how many different tokens an
+    n-gram follows (at a text's begin: how often it stands there); each order has three discounts and leaves what they take to the one below, the lowest to
+    a uniform share for words never seen. base_score: add-one unigram. Null text is empty (one token, the end). Repeated rows
     count as often as they stand and score alike. Without a training row all words are unknown: score is 0 (one
-    outcome), as is base_score. Words are told apart by 64-bit hashes. Other columns are ignored.
+    outcome), as is base_score. Words are told apart by 64-bit hashes, n-grams by 40 bits inside a shard. Other columns are ignored. No rows in, no rows out.
     """
     flag = held_out(id_col, parts, rest)
-    m = train(docs.filter(~flag), text_col)
+    m = train(docs.filter(~flag), text_col, order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(m)

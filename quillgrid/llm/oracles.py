@@ -34,19 +34,23 @@ _FOUR = "count(*) FILTER (c = 1) AS n1, count(*) FILTER (c = 2) AS n2, count(*)
 LM_SCORE = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({_CRC} % 7 = 2, false) AS held_out,
         list_append({_WORDS.format(t="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}, '') AS w FROM documents),
-k AS (SELECT rid, held_out, unnest(list_concat([chr(1)], w[1:len(w) - 1])) AS v, unnest(w) AS w FROM d),
-c2 AS (SELECT v, w, count(*) AS c FROM k WHERE NOT held_out GROUP BY 1, 2),
-c1 AS (SELECT w, sum(c)::BIGINT AS seen, count(*) AS c FROM c2 GROUP BY 1),
-cx AS (SELECT v, sum(c)::DOUBLE AS total, count(*) FILTER (c = 1) AS k1, count(*) FILTER (c = 2) AS k2, count(*) FILTER (c > 2) AS k3 FROM c2 GROUP BY 1),
-a2 AS (SELECT {_FOUR}, count(*) AS types FROM c2), a1 AS (SELECT {_FOUR}, count(*) AS voc, coalesce(sum(seen), 0)::BIGINT AS n FROM c1),
-g AS (SELECT a1.voc, a1.n, a2.types, {_discounts("a2.n1", "a2.n2", "a2.n3", "a2.n4")} AS hi, {_discounts("a1.n1", "a1.n2", "a1.n3", "a1.n4")} AS lo, a1.n1, a1.n2 FROM a1, a2),
-u AS (SELECT *, (lo[2] * n1 + lo[3] * n2 + lo[4] * greatest(voc - n1 - n2, 0)) / types AS g1 FROM g),
-x AS (SELECT k.rid, coalesce(c1.seen, 0) AS seen, u.n, u.voc,
-        greatest(coalesce(c2.c, 0) - u.hi[1 + least(coalesce(c2.c, 0), 3)], 0) / coalesce(cx.total, 1)
-        + CASE WHEN cx.total IS NULL THEN 1 ELSE (u.hi[2] * cx.k1 + u.hi[3] * cx.k2 + u.hi[4] * cx.k3) / cx.total END
-        * (greatest(coalesce(c1.c, 0) - u.lo[1 + least(coalesce(c1.c, 0), 3)], 0) / u.types + u.g1 / (u.voc + 1)) AS p
-      FROM k CROSS JOIN u LEFT JOIN c1 ON c1.w = k.w LEFT JOIN c2 ON c2.v = k.v AND c2.w = k.w LEFT JOIN cx ON cx.v = k.v),
-s AS (SELECT rid, count(*) AS n_tokens, count(*) FILTER (seen > 0) AS n_known, max(n) AS train_tokens, round(sum(log10((seen + 1) / (n + voc + 1.0::DOUBLE))), 6) AS base_score, round(sum(log10(p)), 6) AS score FROM x GROUP BY 1)
+k AS (SELECT rid, held_out, unnest((list_concat([chr(1), chr(1)], w))[1:len(w)]) AS u, unnest((list_concat([chr(1)], w))[1:len(w)]) AS v, unnest(w) AS w FROM d),
+c3 AS (SELECT u, v, w, count(*) AS c FROM k WHERE NOT held_out GROUP BY 1, 2, 3),
+c2 AS (SELECT v, w, sum(c)::BIGINT AS raw, CASE WHEN v = chr(1) THEN sum(c)::BIGINT ELSE count(*) END AS c FROM c3 GROUP BY 1, 2),
+c1 AS (SELECT w, sum(raw)::BIGINT AS seen, count(*) AS c FROM c2 GROUP BY 1),
+y3 AS (SELECT u, v, sum(c)::DOUBLE AS total, count(*) FILTER (c = 1) AS k1, count(*) FILTER (c = 2) AS k2, count(*) FILTER (c > 2) AS k3 FROM c3 GROUP BY 1, 2),
+y2 AS (SELECT v, sum(c)::DOUBLE AS total, count(*) FILTER (c = 1) AS k1, count(*) FILTER (c = 2) AS k2, count(*) FILTER (c > 2) AS k3 FROM c2 GROUP BY 1),
+a3 AS (SELECT {_FOUR} FROM c3), a2 AS (SELECT {_FOUR}, count(*) AS types FROM c2), a1 AS (SELECT {_FOUR}, count(*) AS voc, coalesce(sum(seen), 0)::BIGINT AS n FROM c1),
+g AS (SELECT a1.voc, a1.n, a2.types, {_discounts("a3.n1", "a3.n2", "a3.n3", "a3.n4")} AS hi, {_discounts("a2.n1", "a2.n2", "a2.n3", "a2.n4")} AS mid, {_discounts("a1.n1", "a1.n2", "a1.n3", "a1.n4")} AS lo, a1.n1, a1.n2 FROM a1, a2, a3),
+f AS (SELECT *, (lo[2] * n1 + lo[3] * n2 + lo[4] * greatest(voc - n1 - n2, 0)) / types AS g1 FROM g),
+x AS (SELECT k.rid, coalesce(c1.seen, 0) AS seen, f.n, f.voc,
+        greatest(coalesce(c3.c, 0) - f.hi[1 + least(coalesce(c3.c, 0), 3)], 0) / coalesce(y3.total, 1) AS p3,
+        CASE WHEN y3.total IS NULL THEN 1 ELSE (f.hi[2] * y3.k1 + f.hi[3] * y3.k2 + f.hi[4] * y3.k3) / y3.total END AS b3,
+        greatest(coalesce(c2.c, 0) - f.mid[1 + least(coalesce(c2.c, 0), 3)], 0) / coalesce(y2.total, 1) AS p2,
+        CASE WHEN y2.total IS NULL THEN 1 ELSE (f.mid[2] * y2.k1 + f.mid[3] * y2.k2 + f.mid[4] * y2.k3) / y2.total END AS b2,
+        greatest(coalesce(c1.c, 0) - f.lo[1 + least(coalesce(c1.c, 0), 3)], 0) / f.types + f.g1 / (f.voc + 1) AS p1
+      FROM k CROSS JOIN f LEFT JOIN c1 ON c1.w = k.w LEFT JOIN c2 ON c2.v = k.v AND c2.w = k.w LEFT JOIN c3 ON c3.u = k.u AND c3.v = k.v AND c3.w = k.w LEFT JOIN y2 ON y2.v = k.v LEFT JOIN y3 ON y3.u = k.u AND y3.v = k.v),
+s AS (SELECT rid, count(*) AS n_tokens, count(*) FILTER (seen > 0) AS n_known, max(n) AS train_tokens, round(sum(log10((seen + 1) / (n + voc + 1.0::DOUBLE))), 6) AS base_score, round(sum(log10(p3 + b3 * (p2 + b2 * p1))), 6) AS score FROM x GROUP BY 1)
 SELECT doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score FROM s JOIN d USING (rid)
 """
 

@@ -309,47 +309,62 @@ def test_quality_classifier(spark):
     assert len({x.score for x in quality_classifier.quality_classifier(frame(spark, rows[:4]), spark.createDataFrame([], "doc_id long, quality int")).collect()}) == 1
 
 
-def brute_lm(rows):
+def brute_lm(rows, order):
     import zlib
 
     low = lambda t: ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in WORD.findall(t or "")] + [0]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
-    c2, c1 = Counter(), Counter()
+    c3, c1 = Counter(), Counter()
     for i, t, _ in rows:
         if not held(i):
             w = low(t)
             c1.update(w)
-            c2.update(zip([1, *w], w))
-    d = [0, *language_model.discounts([sum(c == k for c in c2.values()) for k in (1, 2, 3, 4)])]
+            c3.update(zip([1, 1, *w], [1, *w], w))
+    c2 = Counter()
+    for (_, v, w), c in c3.items():
+        c2[v, w] += c if v == 1 or order == 2 else 1
     cont = Counter(w for _, w in c2)
-    e = [0, *language_model.discounts([sum(c == k for c in cont.values()) for k in (1, 2, 3, 4)])]
-    ctx, kinds = Counter(), defaultdict(Counter)
+    d3, d2, d1 = ([0, *language_model.discounts([sum(c == k for c in x.values()) for k in (1, 2, 3, 4)])] for x in (c3, c2, cont))
+    left3, left2, sum3, sum2 = Counter(), Counter(), Counter(), Counter()
+    for (u, v, _), c in c3.items():
+        sum3[u, v] += c
+        left3[u, v] += d3[min(c, 3)]
     for (v, _), c in c2.items():
-        ctx[v] += c
-        kinds[v][min(c, 3)] += 1
+        sum2[v] += c
+        left2[v] += d2[min(c, 3)]
     n, v_, types = sum(c1.values()), len(c1), len(c2)
-    g1 = sum(e[min(c, 3)] for c in cont.values()) / types
+    g1 = sum(d1[min(c, 3)] for c in cont.values()) / types
+    less = lambda c, d: max(c - d[min(c, 3)], 0)
     out = []
     for i, t, _ in rows:
         w = low(t)
         base = score = 0.0
-        for v, x in zip([1, *w], w):
+        for u, v, x in zip([1, 1, *w], [1, *w], w):
             base += math.log10((c1[x] + 1) / (n + v_ + 1))
-            uni = max(cont[x] - e[min(cont[x], 3)], 0) / types + g1 / (v_ + 1)
-            score += math.log10((max(c2[v, x] - d[min(c2[v, x], 3)], 0) + sum(d[k] * m for k, m in kinds[v].items()) * uni) / ctx[v] if ctx[v] else uni)
+            p = less(cont[x], d1) / types + g1 / (v_ + 1)
+            if sum2[v]:
+                p = (less(c2[v, x], d2) + left2[v] * p) / sum2[v]
+            if order == 3 and sum3[u, v]:
+                p = (less(c3[u, v, x], d3) + left3[u, v] * p) / sum3[u, v]
+            score += math.log10(p)
         out.append((i, held(i), len(w), sum(c1[x] > 0 for x in w), n, round(base, 6), round(score, 6)))
     return sorted(out, key=repr)
 
 
-def test_language_model(spark, odd, monkeypatch):
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model(spark, odd, monkeypatch, order):
     rows = odd + [(700 + i, "The cat sat ON the mat " * (i % 7) + "the dog", "s") for i in range(60)]
     cols = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6), F.round("score", 6))
-    want = brute_lm(rows)
-    for share in (1e-3, 1e-9):
+    want = brute_lm(rows, order)
+    for share, shard, most in ((0.5, 2_000_000, 1 << 21), (1e-9, 20_000, 1 << 21), (0.5, 5_000, 7_000)):
         monkeypatch.setattr(language_model, "SHARE", share)
-        have = got(language_model.lm_score(frame(spark, rows)), *cols)
+        monkeypatch.setattr(language_model, "SHARD", shard)
+        monkeypatch.setattr(language_model, "MOST", most)
+        have = got(language_model.lm_score(frame(spark, rows), order=order), *cols)
         assert [x[:5] for x in have] == [x[:5] for x in want]
         assert np.allclose([x[5:] for x in have], [x[5:] for x in want], atol=1e-3, rtol=1e-9)
+    if order == 2:
+        return
     assert language_model.lm_score(frame(spark, [])).count() == 0
     import zlib
 
@@ -357,6 +372,43 @@ def test_language_model(spark, odd, monkeypatch):
     assert [(r.n_known, r.train_tokens, r.score) for r in language_model.lm_score(frame(spark, [(alone, "a b", "s")])).collect()] == [(0, 0, 0.0)]
 
 
+def test_language_model_sums_to_one(spark):
+    """Over all words and one unknown one, the probabilities of the next word are 1."""
+    text = "a b c a b d a c b a"
+    folder = language_model.train(frame(spark, [(1, text, "s"), (2, "b a", "s")]))
+    model = language_model.Model(folder)
+    for begin in ("", "a", "a b", "d a", "zz", "zz a", "b zz"):
+        score = lambda t: float(model.score(pa.array([t]))[3][0])
+        after = [f"{begin} {x}".strip() for x in ("a", "b", "c", "d", "new")]
+        # p(begin x end) / p(end | begin x) = p(begin x); the end itself is one more outcome.
+        head = model_head(model, begin)
+        assert math.isclose(sum(10 ** (model_head(model, t) - head) for t in after) + 10 ** (score(begin) - head), 1, rel_tol=1e-9)
+
+
+def model_head(model, text):
+    """log10 probability of a text's words without its end."""
+    if not text:
+        return 0.0
+    t, n = language_model.tokens(pa.array([text]))
+    whole = float(model.score(pa.array([text]))[3][0])
+    v = language_model.before(t, n)
+    u = language_model.before(v, n)
+    m = model.m
+    two, three, ctx = model.grams(u, v, t)
+    info = model.words(t[-1:]), model.words(v[-1:])
+    low, mid, high = (np.array([0.0, *m[x]]) for x in ("low", "mid", "high"))
+    less = lambda c, d: max(c - d[min(c, 3)], 0)
+    gamma = (low[1] * m["low_n"][0] + low[2] * m["low_n"][1] + low[3] * max(m["v"] - sum(m["low_n"]), 0)) / m["types"]
+    p = less(info[0][0, 0], low) / m["types"] + gamma / (m["v"] + 1)
+    k = info[1][2:6, 0]
+    if k[0]:
+        p = less(two[-1], mid) / k[0] + (mid[1:] @ k[1:]) / k[0] * p
+    k = ctx[:, -1]
+    if k[0]:
+        p = less(three[-1], high) / k[0] + (high[1:] @ k[1:]) / k[0] * p
+    return whole - math.log10(p)
+
+
 def test_mixing(spark, odd):
     r = random.Random(9)
     rows = odd + [(1000 + i, " ".join("w" for _ in range(int(r.lognormvariate(4, 1)) + 1)), r.choice(["s0", "s1", "s2", None, "é", "big", "big", "big"])) for i in range(900)]
