@@ -560,6 +560,60 @@ def amides(mol: Mol) -> int:
     return n
 
 
+def rotatable_bonds(mol: Mol) -> int:
+    """Single bonds outside rings between atoms that have other heavy neighbours; bonds beside a triple bond, and of amides, do not turn."""
+    inside = ring_bonds(mol)
+    stiff = lambda k: any(mol.order(k, j) == 3 for j in mol.near[k])
+    n = 0
+    for (a, b), order in mol.bonds.items():
+        if order == 1 and (a, b) not in inside and min(len(mol.near[a]), len(mol.near[b])) > 1 and not stiff(a) and not stiff(b):
+            ends = {mol.atoms[a].symbol: a, mol.atoms[b].symbol: b}
+            amide = set(ends) == {"C", "N"} and any(mol.order(ends["C"], j) == 2 and mol.atoms[j].symbol == "O" for j in mol.near[ends["C"]])
+            n += not amide
+    return n
+
+
+# Surface of polar atoms (Ertl, Rohde and Selzer, 2000), by element, charge, hydrogens, and bonds as single, double, triple, aromatic.
+POLAR = {
+    ("N", 0, 0): {(0, 0, 1, 0): 23.79, (1, 1, 0, 0): 12.36, (0, 1, 1, 0): 13.60, (0, 0, 0, 2): 12.89, (3, 0, 0, 0): 3.24, (1, 2, 0, 0): 11.68, (0, 0, 0, 3): 4.41, (1, 0, 0, 2): 4.93, (0, 1, 0, 2): 8.39},
+    ("N", 0, 1): {(0, 1, 0, 0): 23.85, (2, 0, 0, 0): 12.03, (0, 0, 0, 2): 15.79},
+    ("N", 0, 2): {(1, 0, 0, 0): 26.02},
+    ("N", 1, 0): {(1, 0, 1, 0): 4.36, (2, 1, 0, 0): 3.01, (0, 0, 0, 3): 4.10, (1, 0, 0, 2): 3.88, (4, 0, 0, 0): 0.0},
+    ("N", 1, 1): {(1, 1, 0, 0): 13.97, (0, 0, 0, 2): 14.14, (3, 0, 0, 0): 4.44},
+    ("N", 1, 2): {(0, 1, 0, 0): 25.59, (2, 0, 0, 0): 16.61},
+    ("N", 1, 3): {(1, 0, 0, 0): 27.64},
+    ("O", 0, 0): {(0, 1, 0, 0): 17.07, (2, 0, 0, 0): 9.23, (0, 0, 0, 2): 13.14},
+    ("O", 0, 1): {(1, 0, 0, 0): 20.23},
+    ("O", -1, 0): {(1, 0, 0, 0): 23.06},
+}
+# The same for nitrogen and oxygen in rings of three atoms.
+POLAR_SMALL_RING = {("N", 0, 0): 3.01, ("N", 0, 1): 21.94, ("O", 0, 0): 12.53}
+
+
+def polar_surface(mol: Mol) -> float:
+    """Topological polar surface of nitrogen and oxygen atoms; environments that the table lacks count by their number of bonds and hydrogens."""
+    rings = smallest_rings(mol)
+    arom, bonds = aromatic_atoms(mol, rings)
+    small = {x for r in rings if len(r) == 3 for x in r}
+    total = 0.0
+    for i, a in enumerate(mol.atoms):
+        if a.symbol not in ("N", "O"):
+            continue
+        kinds = [0, 0, 0, 0]
+        for j in mol.near[i]:
+            order = mol.order(i, j)
+            kinds[3 if (min(i, j), max(i, j)) in bonds or order == 1.5 else int(order) - 1] += 1
+        key = (a.symbol, a.charge, a.hydrogens)
+        if i in small and key in POLAR_SMALL_RING and not any(kinds[1:]):
+            total += POLAR_SMALL_RING[key]
+        elif tuple(kinds) in POLAR.get(key, {}):
+            total += POLAR[key][tuple(kinds)]
+        else:
+            base, step = (30.5, 8.2) if a.symbol == "N" else (28.5, 8.6)
+            total += max(0.0, base - len(mol.near[i]) * step + a.hydrogens * 1.5)
+    return total
+
+
 def stereo_centres(mol: Mol) -> int:
     """Atoms written as chiral whose neighbours all differ."""
     if not any(a.chiral for a in mol.atoms):
@@ -602,5 +656,5 @@ def fingerprint(text: str) -> dict | None:
     return {
         "formula": formula(mol), "heavy_atoms": len(mol.atoms), "exact_mass": round(exact_mass(mol), 4), "rings": len(sizes), "largest_ring": max(sizes, default=0),
         "amides": amides(mol), "stereo_centres": stereo_centres(mol), "charge": sum(a.charge for a in mol.atoms), "fragments": len(fragments(mol)),
-        "mol_weight": round(weight(mol), 3), "canonical": canonical(mol),
+        "mol_weight": round(weight(mol), 3), "canonical": canonical(mol), "tpsa": round(polar_surface(mol), 2), "rotatable": rotatable_bonds(mol),
     }
