@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import count, parse_number
@@ -44,21 +44,29 @@ def ppm(expected: Column, observed: Column) -> Column:
     return F.when(expected != 0, (observed - expected) / F.when(expected != 0, expected) * 1e6)
 
 
-def _decimals(value: Column) -> Column:
-    """Decimals of a double as it prints, without trailing zeros."""
-    plain = F.abs(value).between(1e-3, 9_999_999.0)  # others print with an exponent
-    return F.length(F.regexp_extract(F.when(plain, value.cast("string")).otherwise(F.format_string("%.10f", value)), r"\.(\d*?)0*$", 1))
+def decimals(value: Column) -> Column:
+    """Decimals of a double as it prints, without trailing zeros; null for null. Sums and comparisons alone: no text is made of it."""
+    out = F.when(value == F.round(value, 0), 0)
+    for k in range(1, 10):
+        out = out.when(value == F.round(value, k), k)
+    return F.when(value.isNotNull(), out.otherwise(10))
 
 
-def printing_tolerance_ppm(mz: Column) -> Column:
-    """Half a unit of the last printed decimal, in ppm; whole numbers count as having one decimal; 5000 for null and values not above 0."""
-    d = F.greatest(_decimals(mz), F.lit(1))
+def with_polarity(df: DataFrame, label: str, out: str) -> DataFrame:
+    """Adds polarity() of a label column, worked out once for each different label; few labels are joined by broadcast, as the planner finds by size."""
+    known = df.select(F.col(label).alias("_label")).distinct().withColumn(out, polarity(F.col("_label")))
+    return df.join(known, F.col(label).eqNullSafe(F.col("_label")), "left").drop("_label")
+
+
+def printing_tolerance_ppm(mz: Column, places: Column | None = None) -> Column:
+    """Half a unit of the last printed decimal, in ppm; whole numbers count as having one decimal; 5000 for null and values not above 0. ``places``: decimals(mz), if known."""
+    d = F.greatest(decimals(mz) if places is None else places, F.lit(1))
     return F.when(mz > 0, 0.5 * F.pow(F.lit(10.0), -d) / mz * 1e6).otherwise(5000.0)
 
 
-def mass_window(mz: Column, ion: Column) -> Column:
+def mass_window(mz: Column, ion: Column, places: Column | None = None) -> Column:
     """struct(low, high) of the neutral mass: half a unit of the last decimal on either side; whole numbers have none."""
-    m, half = neutral_mass(mz, ion), 0.5 * F.pow(F.lit(10.0), -_decimals(mz))
+    m, half = neutral_mass(mz, ion), 0.5 * F.pow(F.lit(10.0), -(decimals(mz) if places is None else places))
     return F.when(m.isNotNull(), F.struct((m - half).alias("low"), (m + half).alias("high")))
 
 
@@ -182,4 +190,4 @@ def composition_class(counts: Column, target: Column, slack: Column) -> Column:
     return F.when(v.isin("needs_ca_fix", "unknown_elements"), "unknown").when(v == "too_heavy", "heavy").when(v == "on_integer_h", "fits").otherwise("off")
 
 
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("Column", "F", "annotations", "count")]
+__all__ = [n for n in dir() if not n.startswith("_") and n not in ("Column", "DataFrame", "F", "annotations", "count")]

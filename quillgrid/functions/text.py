@@ -66,6 +66,12 @@ def canonical_field(c: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.lower(F.regexp_replace(strip(c), r"\s+", " ")))
 
 
+def field_named(text: str) -> str | None:
+    """canonical_field of a text outside a query."""
+    key = " ".join(text.split()).lower()
+    return next((f for f, names in HEADER_FIELDS.items() if key in names), None)
+
+
 def bracket_deficit(c: Column) -> Column:
     """Surplus of opening over closing brackets, both kinds added up, 0 at least. Null and empty: 0."""
     s = F.coalesce(c, F.lit(""))
@@ -245,3 +251,28 @@ def range_flags(values: dict[str, Column]) -> Column:
 
 def quality_word(range_flags_: Column, broken: Column) -> Column:
     return F.when(F.size(range_flags_) > 0, "partial").when(broken, "macrocycle_broken").otherwise("ok")
+
+
+def damage(c: Column, drop: str, count_: int, seed: int = 0) -> Column:
+    """The text without ``count_`` of the characters that ``drop`` names: those whose places have the least keyed digests."""
+    chars = F.filter(F.split(c, ""), lambda x: x != "")
+
+    def cut(all_: Column) -> Column:
+        places = F.filter(F.transform(all_, lambda x, i: F.when(F.lit(drop).contains(x), i).otherwise(-1)), lambda i: i >= 0)
+        ranked = F.array_sort(F.transform(places, lambda i: F.struct(F.md5(F.concat_ws("|", F.lit(str(seed)), i.cast("string"))).alias("r"), i.alias("i"))))
+        gone = F.transform(F.slice(ranked, 1, max(count_, 0)), lambda x: x["i"]) if count_ > 0 else F.array().cast("array<int>")
+        kept = F.filter(F.transform(all_, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(gone, s["i"]))
+        return F.array_join(F.transform(kept, lambda s: s["x"]), "")
+
+    return let(chars, cut)
+
+
+def substitute(c: Column, variants: dict[str, str]) -> Column:
+    """Each wording replaced by its other one, with the text's line ends kept: compared with plain ones, written back as they were. A text that
+    holds the other wording already stays; one that holds neither gives null."""
+    windows = c.contains("\r\n")
+    out, ok = F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit(True)
+    for old, new in variants.items():
+        ok = ok & (out.contains(old) | out.contains(new))
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return F.when(ok, F.when(windows, F.replace(out, F.lit("\n"), F.lit("\r\n"))).otherwise(out))

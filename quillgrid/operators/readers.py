@@ -5,6 +5,7 @@ A recogniser takes the grey picture of one printed line and gives its text; a de
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -73,6 +74,19 @@ class Reader:
             return "".join(one)
         return vote(one, self.lines(cell, self.second, pad))["text"]
 
+    def identifier(self, cell: np.ndarray, pattern: str, top: int | None = None, inset: int = 0) -> str | None:
+        """The first word of a cell that is a row's number: the ink alone, then the whole cell, by one recogniser and then the other.
+        ``top`` rows are looked at, without ``inset`` columns at either side."""
+        cell = cell[:top, inset : cell.shape[1] - inset]
+        if not cell.size:
+            return None
+        for picture in (I.trim_to_content(cell), cell):
+            for read in (self.first, self.second):
+                for word in read(I.upscale(picture)).split() if read else ():
+                    if re.fullmatch(pattern, word):
+                        return word
+        return None
+
     def grade(self, cell: np.ndarray, allowed: tuple[str, ...]) -> str | None:
         """A value of a closed set: the glyph alone, then the whole cell; a reading outside the set is none."""
         glyph = I.isolate_glyph(cell)
@@ -84,13 +98,11 @@ class Reader:
         return None
 
 
-def widen_last(columns: list[tuple[int, int]], borders: list[int], gap: int = I.COLUMN_GAP) -> list[tuple[int, int]]:
-    """The last column's right edge goes out to the border beyond it, if there is one."""
-    if not columns:
+def widen_last(columns: list[tuple[int, int]], borders: list[int], width: int) -> list[tuple[int, int]]:
+    """The last column's right edge goes out to the last border, and over it, if that lies beyond."""
+    if not columns or not borders or max(borders) <= columns[-1][1]:
         return columns
-    left, right = columns[-1]
-    beyond = [b for b in borders if b > right + gap]
-    return [*columns[:-1], (left, min(beyond) if beyond else right)]
+    return [*columns[:-1], (columns[-1][0], min(width, max(borders) + 1))]
 
 
 def snap(columns: list[tuple[int, int]], borders: list[int], within: int = 90) -> list[tuple[int, int]]:

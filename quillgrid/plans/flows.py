@@ -8,19 +8,19 @@ from pyspark.sql import functions as F
 from ..operators import analytics, records
 from ..sources import files
 from . import policy, schema
-from .profiles import Profile
+from .profiles import Family
 
 
-def ingest(compounds: DataFrame, assays: DataFrame, profile: Profile) -> tuple[DataFrame, DataFrame]:
+def ingest(compounds: DataFrame, assays: DataFrame, profile: Family) -> tuple[DataFrame, DataFrame]:
     """Records of all pages to one row for each id. compounds, assays: cmpd_id, page, pos and their fields."""
-    if profile.merge == "prefer_structure":
+    if profile.setting("merge") == "prefer_structure":
         c = records.merge_compounds(compounds.withColumn("pos", F.struct("page", "pos")), prefer_structure=True)
     else:
         c = records.accumulate_pages(compounds)
     return c.drop("key"), records.dedupe_assays(assays.withColumn("pos", F.struct("page", "pos"))).drop("cmpd_id").withColumnRenamed("key", "cmpd_id")
 
 
-def deliver(compounds: DataFrame, assays: DataFrame, models: DataFrame, profile: Profile, require_mass_gate: bool = True, search: bool = False) -> DataFrame:
+def deliver(compounds: DataFrame, assays: DataFrame, models: DataFrame, profile: Family, require_mass_gate: bool = True, search: bool = False) -> DataFrame:
     """Assembly, promotion, derived layers, and the search if asked for, as the text columns of the delivered table."""
     a = assays
     if "extra" in a.columns:
@@ -32,7 +32,7 @@ def deliver(compounds: DataFrame, assays: DataFrame, models: DataFrame, profile:
     return schema.as_text(x, schema.combined_columns(profile.extras))
 
 
-def rebuild(spark: SparkSession, delivered: str, out: str, profile: Profile, search: bool = False) -> DataFrame:
+def rebuild(spark: SparkSession, delivered: str, out: str, profile: Family, search: bool = False) -> DataFrame:
     """Layers after assembly again, from a delivered CSV file."""
     rows = files.read_csv(spark, delivered, keep_blank=False)
     x = policy.derived_layers(policy.promote(rows))

@@ -45,5 +45,17 @@ def test_grade():
 
 def test_columns():
     assert snap([(10, 100)], [0, 95, 400]) == [(0, 95)]
-    assert widen_last([(0, 5), (10, 100)], [90, 180, 300]) == [(0, 5), (10, 180)]
+    assert widen_last([(0, 5), (10, 100)], [90, 180, 300], 400) == [(0, 5), (10, 301)]
+    assert widen_last([(0, 5), (10, 100)], [90], 400) == [(0, 5), (10, 100)] == widen_last([(0, 5), (10, 100)], [], 400)
     assert I.COLUMN_GAP == 25
+
+
+def test_identifier():
+    r = Reader(lambda p: "No. x", lambda p: f"Cmpd 1234 {p.shape[0]}")
+    assert r.identifier(cell(), r"\d{4}") == "1234" and r.identifier(cell(), r"\d{5}") is None
+    assert Reader(lambda p: "7").identifier(cell(), r"\d{1,2}", 30, 4) == "7"
+    assert Reader(lambda p: "7").identifier(np.zeros((0, 0), np.uint8), r"\d") is None
+    g = np.full((60, 300), 255, np.uint8)
+    g[:, 2:5] = g[:, 294:297] = 0
+    g[20:30, 200:240] = 0
+    assert I.trim_to_content(g).shape == (60, 48) and I.trim_to_content(g[:, 10:290]).shape == (18, 48) and I.trim_to_content(np.full((5, 5), 255, np.uint8)).shape == (5, 5)

@@ -62,12 +62,17 @@ def test_derived(spark):
 def test_profiles(spark):
     with pytest.raises(KeyError, match="known"):
         profile("none")
+    first, second = PROFILES["WO2025162428"], PROFILES["WO2022251372"]
     with pytest.raises(KeyError):
-        PROFILES["WO2025162428"].layout("none")
-    cols = spark.range(1).select(PROFILES["WO2025162428"].scaled("smiles", F.lit(1000)).alias("c")).first().c
+        first.columns("none")
+    cols = spark.range(1).select(first.pixels("smiles", F.lit(1000)).alias("c")).first().c
     assert [(c.name, c.x1, c.x2, c.is_image) for c in cols] == [("cmpd_id", 0, 100, False), ("structure", 110, 560, True), ("smiles", 580, 990, False)]
     with pytest.raises(ValueError):
-        PROFILES["WO2022251372"].scaled("smiles3", F.lit(1000))
+        second.pixels("smiles3", F.lit(1000))
+    assert [first.by_count(n) for n in (3, 6, 7, 8)] == ["smiles", "dense", "activity", None] and second.by_count(8) == "activity8"
+    assert [first.by_fields(set(x)) for x in (["kd_nm"], ["kd_nm", "structure"], ["smiles", "kd_nm"], ["rt_min"])] == ["dense", "activity", "smiles", None] and second.by_fields({"smiles"}) is None
+    assert second.extras == ("mdm2", "mdm4", "molm13", "mv4_11", "waga", "mkl1") and first.extras == () and second.goes_on("smiles3") and second.headings("activity8") == 1 and not first.goes_on("dense")
+    assert second.setting("id_top") == "90" and first.setting("id_top") == "" and first.words("files") == ("*.jpg",)
     assert schema.combined_columns(("mdm2", "kd_nm", "mdm2", "smiles")) == (*schema.COMBINED, "mdm2")
 
 
