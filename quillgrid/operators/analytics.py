@@ -21,17 +21,34 @@ def quality_screen(df: DataFrame, id_col: str, text_col: str, row_length: tuple[
     return x.select(id_col, n.cast("long").alias("n_rows"), F.when(F.col("_mean") > 0, F.round(sd / F.col("_mean"), 4)).alias("cv"), verdict.alias("verdict"), reasons.alias("reasons"))
 
 
-def nearest_rank(df: DataFrame, keys: list[str], value: str, qs: dict[str, float]) -> DataFrame:
-    """For each group the value at place floor(n * q) of its sorted values (from 0), exactly.
+#: A group's values are dealt out over so many ranges between its least and greatest.
+RANGES = 256
+
 
-    Values are counted first, then ranked by running counts over distinct values, so a group is never
-    gathered: its distinct values are, one row each, in a window that spills.
+def ranked_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, value, _c (rows of that value), _upto (rows up to it), _n (rows of the group): one row for each different value.
+
+    Values are counted first. Running counts are made range by range, then the ranges before are added, so neither
+    a group nor its different values are gathered in one task.
     """
     from pyspark.sql import Window
 
     c = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys)
-    c = c.select("*", F.sum("_c").over(w.orderBy(value)).alias("_upto"), F.sum("_c").over(w).alias("_n"))
+    ends = c.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
+    same = lambda other: [F.col(k).eqNullSafe(F.col(f"{other}{i}")) for i, k in enumerate(keys)]
+    wide = F.col("_hi") - F.col("_lo")
+    at = F.when(wide > 0, F.least(F.floor((F.col(value).cast("double") - F.col("_lo")) / wide * RANGES), F.lit(RANGES - 1))).otherwise(0).cast("int")
+    c = c.join(ends, same("_k")).select(*keys, value, "_c", at.alias("_r"))
+    part = c.groupBy(*[F.col(k).alias(f"_p{i}") for i, k in enumerate(keys)], F.col("_r").alias("_q")).agg(F.sum("_c").alias("_s"))
+    group = Window.partitionBy(*[f"_p{i}" for i in range(len(keys))])  # RANGES rows at most
+    part = part.select("*", (F.sum("_s").over(group.orderBy("_q")) - F.col("_s")).alias("_before"), F.sum("_s").over(group).alias("_n"))
+    c = c.join(part, [*same("_p"), F.col("_r") == F.col("_q")])
+    return c.select(*keys, value, "_c", (F.col("_before") + F.sum("_c").over(Window.partitionBy(*keys, "_r").orderBy(value))).alias("_upto"), "_n")
+
+
+def nearest_rank(df: DataFrame, keys: list[str], value: str, qs: dict[str, float]) -> DataFrame:
+    """For each group the value at place floor(n * q) of its sorted values (from 0), exactly (see ranked_counts)."""
+    c = ranked_counts(df, keys, value)
     at = {k: F.least(F.floor(F.col("_n") * q), F.col("_n") - 1) for k, q in qs.items()}
     pick = [F.max(F.when((F.col("_upto") > a) & (F.col("_upto") - F.col("_c") <= a), F.col(value))).alias(k) for k, a in at.items()]
     return c.groupBy(*keys).agg(F.max("_n").alias("n"), *pick)
@@ -73,18 +90,70 @@ def fill_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def scorecard(df: DataFrame, keys: list[str], text: Column, rows: Column, expected: Column) -> DataFrame:
     """One row for each arm: n, balanced, rows recovered, strict (both), median length (floor of the mean of the middle two)."""
-    ok, got = T.balanced(text), rows == expected
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("balanced"), F.count_if(got).alias("rows_recovered"), F.count_if(ok & got).alias("strict"), F.percentile(F.length(text), F.lit(0.5)).alias("_m"))
-    return g.select(*keys, "n", "balanced", "rows_recovered", "strict", F.floor("_m").alias("median_len"))
+    x = df.select(*keys, T.balanced(text).alias("_ok"), (rows == expected).alias("_got"), F.length(text).alias("_len"))
+    g = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if("_ok").alias("balanced"), F.count_if("_got").alias("rows_recovered"), F.count_if(F.col("_ok") & F.col("_got")).alias("strict"))
+    m = interpolated_quantiles(x, keys, "_len", {"q": 0.5}).select(*[F.col(k).alias(f"_m{i}") for i, k in enumerate(keys)], F.floor("q").alias("median_len"))
+    return g.join(m, [F.col(k).eqNullSafe(F.col(f"_m{i}")) for i, k in enumerate(keys)], "left").select(*keys, "n", "balanced", "rows_recovered", "strict", "median_len")
 
 
 def agreement_breakdown(df: DataFrame, agree: Column, confidence: Column, threshold: float = 0.5) -> DataFrame:
     """total, agree, phantom (disagree and unsure), real_error (disagree and sure), median confidence (0 if there is none)."""
-    sure = confidence >= threshold
-    return df.filter(confidence.isNotNull()).agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(agree).alias("agree"), F.count_if(~agree & ~sure).alias("phantom"), F.count_if(~agree & sure).alias("real_error"),
-        F.coalesce(F.median(confidence), F.lit(0.0)).alias("median_conf"),
-    )
+    x = df.filter(confidence.isNotNull()).select(agree.alias("_a"), confidence.alias("_conf"), F.lit(1).alias("_one"))
+    sure = F.col("_conf") >= threshold
+    g = x.agg(F.count(F.lit(1)).alias("total"), F.count_if("_a").alias("agree"), F.count_if(~F.col("_a") & ~sure).alias("phantom"), F.count_if(~F.col("_a") & sure).alias("real_error"))
+    m = interpolated_quantiles(x, ["_one"], "_conf", {"q": 0.5}).agg(F.coalesce(F.max("q"), F.lit(0.0)).alias("median_conf"))  # one row
+    return g.withColumn("_one", F.lit(1)).join(m.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
+def group_summary(df: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    """Rows, different ids and least id of each group."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(id_col).alias("ids"), F.min(id_col).alias("first_id"))
+
+
+def most_common(df: DataFrame, value: str, seen: str, k: int) -> DataFrame:
+    """The k most frequent values with their counts, ties by first sight."""
+    return df.groupBy(value).agg(F.count(F.lit(1)).alias("n"), F.min(seen).alias("_seen")).orderBy(F.desc("n"), "_seen").limit(k).select(value, "n")
+
+
+def cross_counts(df: DataFrame, row: str, column: str, values: list[str]) -> DataFrame:
+    """Rows of each ``row`` by the given values of ``column``, 0 where there is none."""
+    return df.groupBy(row).pivot(column, values).agg(F.count(F.lit(1))).fillna(0, values)
+
+
+def closest(df: DataFrame, id_col: str, gap: Column, k: int) -> DataFrame:
+    """The k rows of least gap, ties by id: a report, kept without a full sort."""
+    return df.select(id_col, gap.alias("gap")).orderBy("gap", id_col).limit(k)
+
+
+def direction_counts(df: DataFrame, keys: list[str], difference: Column, near: float, within: float) -> DataFrame:
+    """How many differences are above 0, below 0, and no farther than ``within`` from ``near``."""
+    x = df.select(*keys, difference.alias("_d"))
+    return x.groupBy(*keys).agg(F.count_if(F.col("_d") > 0).alias("over"), F.count_if(F.col("_d") < 0).alias("under"), F.count_if(F.abs(F.col("_d") - near) <= within).alias("near"))
+
+
+def paired_comparison(df: DataFrame, keys: list[str], before: Column, after: Column) -> DataFrame:
+    """For pairs of scores: better, worse and equal ones, and Pearson's correlation; pairs with a null side don't count."""
+    x = df.select(*keys, before.cast("double").alias("_a"), after.cast("double").alias("_b")).filter("_a IS NOT NULL AND _b IS NOT NULL")
+    count = lambda c: F.count_if(c)
+    return x.groupBy(*keys).agg(count(F.col("_b") > F.col("_a")).alias("better"), count(F.col("_b") < F.col("_a")).alias("worse"), count(F.col("_b") == F.col("_a")).alias("equal"), F.corr("_a", "_b").alias("r"))
+
+
+def closest_convention(df: DataFrame, errors: dict[str, Column]) -> DataFrame:
+    """How often each of several conventions has the least absolute error; the first of equals."""
+    d = F.array(*[F.struct(F.abs(e).alias("d"), F.lit(i).alias("i"), F.lit(n).alias("n")) for i, (n, e) in enumerate(errors.items())])
+    return df.select(F.array_min(d)["n"].alias("best")).groupBy("best").agg(F.count(F.lit(1)).alias("n"))
+
+
+def arm_statistics(df: DataFrame, keys: list[str], excess: Column, balanced: Column, parses: Column, verdict: Column) -> DataFrame:
+    """For each arm: n, rows with excess 0, below 0 and above 0, its median and mean, balanced, parsing, and how often each verdict was given (a map)."""
+    x = df.select(*keys, excess.alias("_e"), balanced.alias("_b"), parses.alias("_p"), verdict.alias("_v"))
+    e = F.col("_e")
+    g = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(e == 0).alias("none"), F.count_if(e < 0).alias("less"), F.count_if(e > 0).alias("more"), F.avg("_e").alias("mean"), F.count_if("_b").alias("balanced"), F.count_if("_p").alias("parses"))
+    names = lambda p: [F.col(k).alias(f"{p}{i}") for i, k in enumerate(keys)]
+    same = lambda p: [F.col(k).eqNullSafe(F.col(f"{p}{i}")) for i, k in enumerate(keys)]
+    m = interpolated_quantiles(x, keys, "_e", {"q": 0.5}).select(*names("_m"), F.col("q").alias("median"))
+    v = x.filter("_v IS NOT NULL").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).groupBy(*names("_w")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_v", "_c")))).alias("verdicts"))  # one entry for each verdict
+    return g.join(m, same("_m"), "left").join(v, same("_w"), "left").select(*keys, "n", "none", "less", "more", "median", "mean", "balanced", "parses", "verdicts")
 
 
 def recovery_summary(df: DataFrame, tier: Column, method: Column) -> DataFrame:
@@ -96,11 +165,7 @@ def recovery_summary(df: DataFrame, tier: Column, method: Column) -> DataFrame:
 
 def exclusive_quartiles(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Quartiles at (n + 1) * p with linear interpolation between neighbours, and the population's spread. Needs two values or more."""
-    from pyspark.sql import Window
-
-    c = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys)
-    c = c.select("*", F.sum("_c").over(w.orderBy(value)).alias("_upto"), F.sum("_c").over(w).alias("_n"))
+    c = ranked_counts(df, keys, value)
     aggs = []
     for i in (1, 2, 3):
         at = F.floor((F.col("_n") + 1) * i / 4)
@@ -144,11 +209,7 @@ def interpolated_quantiles(df: DataFrame, keys: list[str], value: str, qs: dict[
 
     As in nearest_rank, values are counted before they are ranked, so what is ordered is a group's distinct values.
     """
-    from pyspark.sql import Window
-
-    c = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys)
-    c = c.select("*", F.sum("_c").over(w.orderBy(value)).alias("_upto"), F.sum("_c").over(w).alias("_n"))
+    c = ranked_counts(df, keys, value)
     aggs = [F.max("_n").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"), (F.sum(F.col(value) * F.col("_c")) / F.sum("_c")).alias("mean")]
     for name, q in qs.items():
         low = F.floor((F.col("_n") - 1) * F.lit(q))

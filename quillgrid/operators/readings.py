@@ -88,3 +88,14 @@ def longer(primary: Column, secondary: Column) -> Column:
 
 def shorter(primary: Column, secondary: Column) -> Column:
     return F.array_join(F.transform(line_options(primary, secondary), lambda z: F.when((F.length(z["s"]) < F.length(z["p"])) & (z["s"] != ""), z["s"]).otherwise(z["p"])), "")
+
+
+def products(primary: Column, secondary: Column) -> Column:
+    """All texts that a choice of either reading in each line gives, each once, the primary's lines first. Twice as many for each line that differs."""
+    empty = F.array(F.lit(""))
+    return F.aggregate(line_options(primary, secondary), empty, lambda acc, z: F.array_distinct(F.flatten(F.transform(acc, lambda x: F.array(F.concat(x, z["p"]), F.concat(x, z["s"]))))))
+
+
+def first_of(texts: Column, *tests) -> Column:
+    """The first text that meets a test, tests in order; else the last text."""
+    return F.coalesce(*[F.try_element_at(F.filter(texts, t), F.lit(1)) for t in tests], F.try_element_at(texts, F.lit(-1)))

@@ -99,3 +99,49 @@ def final_precedence(printed: Column, intact: Column, model: Column, model_raw:
 def to_run(work: DataFrame, cache: DataFrame, key: str) -> DataFrame:
     """Rows whose key no cache entry has."""
     return work.join(cache.select(key).distinct(), key, "left_anti")
+
+
+def compare_readings(old: DataFrame, new: DataFrame, key: str, fields: dict[str, bool]) -> DataFrame:
+    """For each field (name: whether it holds numbers) the rows of both sides that match, differ, or have lost their value: numbers are
+    compared by value, text without spaces and case."""
+    from ..functions import text as T
+
+    typed = lambda c, number: F.when(~T.blank(F.col(c).cast("string")), T.typed_key(F.col(c).cast("string"), F.lit(number)))
+    a = old.select(F.col(key).alias("_k1"), *[typed(f, n).alias(f"a_{f}") for f, n in fields.items()])
+    b = new.select(F.col(key).alias("_k2"), *[typed(f, n).alias(f"b_{f}") for f, n in fields.items()])
+    aggs = []
+    for f in fields:
+        x, y = F.col(f"a_{f}"), F.col(f"b_{f}")
+        aggs += [F.count_if(x == y).alias(f"{f}_0"), F.count_if(y.isNotNull() & ~x.eqNullSafe(y)).alias(f"{f}_1"), F.count_if(x.isNotNull() & y.isNull()).alias(f"{f}_2")]
+    rows = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"{f}_0").alias("match"), F.col(f"{f}_1").alias("differ"), F.col(f"{f}_2").alias("lost")) for f in fields])
+    return a.join(b, F.col("_k1") == F.col("_k2")).agg(*aggs).select(F.explode(rows).alias("_r")).select("_r.*")
+
+
+def sides(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """key, state of each row of two versions: match, differ, lost (only before) or gained (only now)."""
+    a = old.select(F.col(key).alias("_k1"), F.struct(*fields).alias("_a"))
+    b = new.select(F.col(key).alias("_k2"), F.struct(*fields).alias("_b"))
+    state = F.when(F.col("_k2").isNull(), "lost").when(F.col("_k1").isNull(), "gained").when(F.col("_a").eqNullSafe(F.col("_b")), "match").otherwise("differ")
+    return a.join(b, F.col("_k1") == F.col("_k2"), "full_outer").select(F.coalesce("_k1", "_k2").alias(key), state.alias("state"))
+
+
+def with_manifest(rows: DataFrame, manifest: DataFrame, keys: list[str], value: str, other) -> DataFrame:
+    """``rows`` with a manifest's value by several keys, ``other`` where it has none."""
+    m = manifest.select(*[F.col(k).alias(f"_m{i}") for i, k in enumerate(keys)], F.col(value).alias("_v"))
+    out = rows.join(m, [F.col(k) == F.col(f"_m{i}") for i, k in enumerate(keys)], "left")
+    return out.withColumn(value, F.coalesce("_v", F.lit(other))).drop("_v", *[f"_m{i}" for i in range(len(keys))])
+
+
+def only_in(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Different rows of a that b does not have."""
+    return a.subtract(b)
+
+
+def in_both(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Different rows of both."""
+    return a.intersect(b)
+
+
+def in_either(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Different rows of either."""
+    return a.unionByName(b).distinct()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import queries_chem, queries_records, queries_stats, queries_text  # noqa: F401
+from . import queries_chem, queries_files, queries_records, queries_stats, queries_text  # noqa: F401
 from .registry import QUERIES, SQL
 
 

@@ -15,7 +15,7 @@ from ..functions import mass as X
 from ..functions import text as T
 from ..operators.records import final_precedence
 
-FINGERPRINT = "struct<formula:string,heavy_atoms:int,exact_mass:double,rings:int,largest_ring:int,amides:int,stereo_centres:int,charge:int,fragments:int,mol_weight:double,canonical:string>"
+FINGERPRINT = "struct<formula:string,heavy_atoms:int,exact_mass:double,rings:int,largest_ring:int,amides:int,stereo_centres:int,charge:int,fragments:int,mol_weight:double,canonical:string,tpsa:double,rotatable:int>"
 AUDIT = "struct<ring:int,repaired:string,repaired_mass:double,method:string,tier:string,note:string,atoms_invented:int,atoms_deleted:int,validated:boolean>"
 SEARCHED = "struct<smiles:string,mass:double,formula:string,largest_ring:int,inserts:int,subs:int,dels:int,states:int,trace:string>"
 
@@ -54,6 +54,11 @@ def with_fingerprint(df: DataFrame, column: str, out: str) -> DataFrame:
     return _each_text(df, column, out, FINGERPRINT, M.fingerprint)
 
 
+def with_largest_fragment(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Canonical string of the fragment with most heavy atoms, null where the text does not parse."""
+    return _each_text(df, column, out, "string", M.largest_fragment)
+
+
 def _repair(text: str) -> dict:
     ring = M.largest_ring(text)
     if ring >= M.LEAST_MACROCYCLE:

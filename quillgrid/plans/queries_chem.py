@@ -42,25 +42,51 @@ def structures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("p_partkey", whole.alias("whole")).select("p_partkey", "whole", damaged.alias("damaged"))
 
 
-@query()
+# The same strings in SQL, and what follows from how they are put together.
+_SQL_RES = ", ".join(f"'{r}'" for r in _RES)
+_PARTS = f"""r0 AS (SELECT p_partkey, p_size, list_transform(range(1, 7 + p_partkey % 3), lambda i: 1 + (p_partkey * 7 + i * i * 3 + p_size) % 5) AS r FROM part),
+w AS (SELECT p_partkey, r, len(r) AS n, concat('C1C(=O)', array_to_string(list_transform(r, lambda x: [{_SQL_RES}][x]), ''), 'N1') AS whole FROM r0),
+d AS (SELECT *, CASE p_partkey % 18 WHEN 0 THEN substr(whole, 1, length(whole) - 2) WHEN 3 THEN concat(substr(whole, 1, length(whole) - 3), 'N1') WHEN 6 THEN concat(whole, '.CC') WHEN 9 THEN concat('C1', whole) WHEN 12 THEN concat(whole, ')') WHEN 15 THEN replace(whole, '[C@@H](', 'Ca@@H](') ELSE whole END AS damaged FROM w),
+e AS (SELECT *, 2 + list_sum(list_transform(r, lambda x: [3, 6, 10, 5, 2][x])) AS nc, 3 + list_sum(list_transform(r, lambda x: [5, 11, 11, 7, 3][x])) AS nh, n + 1 AS nn, len(list_filter(r, lambda x: x IN (3, 4))) AS tertiary FROM d)"""
+_FORMULA = "concat('C', nc, 'H', nh, 'N', nn, 'O', nn)"
+
+
+@query(f"""WITH {_PARTS} SELECT p_partkey, {_FORMULA} AS formula, CAST(nc + 2 * nn AS INT) AS heavy_atoms, round((nc * 12.0 + nh * {M.EXACT["H"]!r} + nn * {M.EXACT["N"]!r} + nn * {M.EXACT["O"]!r})::DOUBLE, 4) AS exact_mass, CAST(1 + tertiary AS INT) AS rings, CAST(3 * nn AS INT) AS largest_ring,
+ CAST(nn AS INT) AS amides, CAST(len(list_filter(r, lambda x: x <> 5)) AS INT) AS stereo_centres, round(12.03 * (nn - tertiary) + 3.24 * tertiary + 17.07 * nn, 2) AS tpsa, CAST(2 * len(list_filter(r, lambda x: x IN (2, 3))) AS INT) AS rotatable, true AS same FROM e""")
 def parse_chem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the parser reads off a string."""
-    return policy.with_fingerprint(structures(spark, sf_dir), "whole", "fp").select("p_partkey", "fp.formula", "fp.heavy_atoms", "fp.exact_mass", "fp.rings", "fp.largest_ring", "fp.amides", "fp.stereo_centres", "fp.canonical")
+    """What the parser reads off a string, and that another writing of the ring has the same canonical string."""
+    x = structures(spark, sf_dir).select("p_partkey", "whole", F.concat(F.lit("N1CC(=O)"), F.expr("substr(whole, 8, length(whole) - 14)"), F.lit("C1=O")).alias("other"))
+    x = policy.with_fingerprint(policy.with_fingerprint(x, "whole", "fp"), "other", "op")
+    return x.select("p_partkey", "fp.formula", "fp.heavy_atoms", "fp.exact_mass", "fp.rings", "fp.largest_ring", "fp.amides", "fp.stereo_centres", "fp.tpsa", "fp.rotatable", (F.col("fp.canonical") == F.col("op.canonical")).alias("same"))
 
 
-@query()
+@query(f"""WITH {_PARTS} SELECT p_partkey, CAST(CASE WHEN p_partkey % 18 = 6 THEN nc + 2 * nn ELSE nc + 2 * nn END AS INT) AS heavy_atoms, {_FORMULA} AS formula FROM e WHERE p_partkey % 18 NOT IN (0, 3, 9, 12, 15)""")
+def largest_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fragment with most heavy atoms, of texts that parse."""
+    x = policy.with_largest_fragment(structures(spark, sf_dir).filter("p_partkey % 18 NOT IN (0, 3, 9, 12, 15)"), "damaged", "part")
+    return policy.with_fingerprint(x, "part", "fp").select("p_partkey", "fp.heavy_atoms", "fp.formula")
+
+
+_KINDS = ("CASE p_partkey % 6 WHEN 0 THEN concat('C1', whole) WHEN 1 THEN concat(substr(whole, 1, length(whole) - 2), '.N1') WHEN 2 THEN concat(whole, 'C(=') WHEN 3 THEN concat('CCCCCC(=O)', substr(whole, 8, length(whole) - 9), 'NCCCCC') "
+          "WHEN 4 THEN substr(whole, 1, length(whole) - 2) ELSE whole END")
+
+
+@query("""SELECT p_partkey, ['syntax_fix', 'rejoin_fragments', 'strip_truncated_tail', 'terminal_bridge', NULL][1 + p_partkey % 6] AS method, ['high', 'medium', 'low', 'experimental', 'rejected'][1 + p_partkey % 6] AS tier,
+['', 'check_fragment_bond_order_manually', 'truncated_0_atoms', 'invented_0_atoms', 'no_repair_found'][1 + p_partkey % 6] AS note, 0 AS atoms_invented, p_partkey % 6 < 2 AS validated FROM part WHERE p_partkey % 6 <> 5""")
 def audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repairs of damaged strings and their tiers."""
-    return policy.with_repair(structures(spark, sf_dir), "damaged", "a").filter("a.tier IS NOT NULL").select("p_partkey", "a.*")
+    """Repairs of strings damaged in ways that call for different strategies, one tier each; digits that stand three times are tested apart."""
+    x = structures(spark, sf_dir).select("p_partkey", F.expr(_KINDS).alias("x"))
+    return policy.with_repair(x, "x", "a").filter("a.tier IS NOT NULL").select("p_partkey", "a.method", "a.tier", "a.note", "a.atoms_invented", "a.validated")
 
 
-@query()
+@query(f"WITH {_PARTS} SELECT p_partkey, whole AS repaired FROM w")
 def auto_repair_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F4 to F6 with the parser's part."""
-    return policy.with_auto_repair(structures(spark, sf_dir), "damaged", "repaired").select("p_partkey", "repaired")
+    """A bracket printed as its mirror image, an amide's oxygen without its double bond."""
+    x = structures(spark, sf_dir).select("p_partkey", F.expr("CASE p_partkey % 3 WHEN 0 THEN regexp_replace(whole, '^(.*?)\\\\[C@', '$1]C@') WHEN 1 THEN replace(whole, 'C(=O)N[', 'C(O)N[') ELSE whole END").alias("x"))
+    return policy.with_auto_repair(x, "x", "repaired").select("p_partkey", "repaired")
 
 
-@query()
+@query(f"WITH {_PARTS} SELECT p_partkey, CAST(len(list_filter(r, lambda x: x IN (1, 2))) AS INT) AS n_fixes, true AS parses, {_FORMULA} AS formula FROM e")
 def rewrite_and_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C11, E17."""
     x = structures(spark, sf_dir).select("p_partkey", F.regexp_replace("whole", r"\(=O\)N\[", "=O)N[").alias("x"))
@@ -113,28 +139,33 @@ def _per_row(df: DataFrame, out: str, work) -> DataFrame:
     return df.mapInArrow(run, out)
 
 
-@query()
+_VOTED = "p_partkey % 3 = 0 AND contains(substr(whole, 41, 40), '(')"
+
+
+@query(f"WITH {_PARTS} SELECT p_partkey, whole AS text, CASE WHEN {_VOTED} THEN 1 ELSE 0 END AS changed, NOT ({_VOTED}) AS used_primary, true AS parses FROM w")
 def vote_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V1 with up to three changed lines and the parser as the test."""
-    x = structures(spark, sf_dir).select("p_partkey", F.expr("regexp_extract_all(damaged, '(.{1,40})', 1)").alias("a"), F.expr("regexp_extract_all(whole, '(.{1,40})', 1)").alias("b"))
+    """V1, V2: up to three changed lines, the parser as the test; a line of the first reading has lost its opening brackets."""
+    x = structures(spark, sf_dir).select("p_partkey", F.expr("regexp_extract_all(whole, '(.{1,40})', 1)").alias("b"))
+    lost = F.transform("b", lambda s, i: F.when((F.col("p_partkey") % 3 == 0) & (i == 1), F.replace(s, F.lit("("), F.lit(""))).otherwise(s))
 
     def one(k, a, b):
         v = S.vote(a, b)
         return [(k, v["text"], v["changed"], v["used_primary"], v["parses"])]
 
-    return _per_row(x, "p_partkey long, text string, changed int, used_primary boolean, parses boolean", one)
+    return _per_row(x.select("p_partkey", lost.alias("a"), "b"), "p_partkey long, text string, changed int, used_primary boolean, parses boolean", one)
 
 
-@query()
+@query(f"""WITH {_PARTS}, g AS (SELECT *, p_partkey % 18 IN (0, 3, 9, 12) OR damaged <> whole AND p_partkey % 18 = 15 AS bad FROM d)
+SELECT p_partkey, NOT bad AS grammatical, CAST(CASE WHEN NOT bad THEN NULL WHEN p_partkey % 18 = 15 THEN instr(damaged, 'Ca@@') WHEN p_partkey % 18 = 12 THEN length(damaged) - 1 ELSE length(damaged) END AS INT) AS violation, NOT bad AS parses FROM g""")
 def grammar_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Syntax of a string and the place of its first violation."""
     x = structures(spark, sf_dir).select("p_partkey", "damaged")
     return _per_row(x, "p_partkey long, grammatical boolean, violation int, parses boolean", lambda k, s: [(k, P.grammatical(s), P.first_violation(s), M.read(s) is not None)])
 
 
-@query()
+@query(f"WITH {_PARTS} SELECT p_partkey, whole AS swapped, whole AS beamed FROM w")
 def beam_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V5, V6: one swap, then the beam, over a lattice in which a bracket was read as its mirror image."""
+    """V5, V6: one swap, then the beam, over a lattice in which a bracket was read as its mirror image: no other change evens the brackets out."""
     x = structures(spark, sf_dir).select("p_partkey", "whole")
 
     def one(k, s):
@@ -146,7 +177,10 @@ def beam_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_row(x, "p_partkey long, swapped string, beamed string", one)
 
 
-@query()
+@query(f"""WITH {_PARTS}, k AS (SELECT p_partkey % 18 AS k, (length(whole) - length(replace(whole, '[C@@H](', ''))) // 7 AS n FROM d),
+o AS (SELECT unnest(CASE k WHEN 0 THEN [{{'op': 'delete', 'ref': 'N1', 'got': '', 'n': 1}}] WHEN 3 THEN [{{'op': 'delete', 'ref': ')', 'got': '', 'n': 1}}] WHEN 6 THEN [{{'op': 'insert', 'ref': '', 'got': '.CC', 'n': 1}}] WHEN 9 THEN [{{'op': 'insert', 'ref': '', 'got': 'C1', 'n': 1}}]
+ WHEN 12 THEN [{{'op': 'insert', 'ref': '', 'got': ')', 'n': 1}}] WHEN 15 THEN [{{'op': 'delete', 'ref': '[', 'got': '', 'n': CAST(n AS INT)}}, {{'op': 'insert', 'ref': '', 'got': 'a', 'n': CAST(n AS INT)}}] ELSE [] END) AS o FROM k)
+SELECT o.op AS op, o.ref AS ref, o.got AS got, CAST(sum(o.n) AS BIGINT) AS n FROM o WHERE o.n > 0 GROUP BY 1, 2, 3""")
 def alignment_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operations of alignments, counted."""
     x = structures(spark, sf_dir).select("p_partkey", "whole", "damaged")
@@ -168,7 +202,14 @@ def ctc_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_row(x, "vec_id long, labels string, beam_score double, exact_score double, greedy string", one)
 
 
-@query()
+@query(f"""WITH {_PARTS}, c AS (SELECT p_partkey, length(damaged) AS len, unnest(string_split(damaged, '')) AS c, unnest(list_concat([''], string_split(damaged, '')[1:length(damaged) - 1])) AS p FROM d),
+t AS (SELECT p_partkey, max(len) AS len, CASE WHEN c IN ('(', ')', '[', ']') THEN c ELSE 'o' END AS c, count(*) AS n, count(*) FILTER (c <> p) AS runs FROM c GROUP BY p_partkey, CASE WHEN c IN ('(', ')', '[', ']') THEN c ELSE 'o' END),
+k(c, x, y) AS (VALUES ('(', 1, 0), (')', -1, 0), ('[', 0, 1), (']', 0, -1), ('o', 0, 0)),
+s AS (SELECT p_partkey, max(len) AS len, sum(n * x) AS x, sum(n * y) AS y, sum(runs) AS runs, sum(n) FILTER (c <> 'o') AS m FROM t JOIN k USING (c) GROUP BY 1),
+de2 AS (SELECT s.p_partkey, sum(t.runs) AS n FROM s JOIN t USING (p_partkey) JOIN k USING (c) WHERE s.x = k.x AND s.y = k.y GROUP BY 1),
+ins AS (SELECT s.p_partkey, sum(s.len + 1 - coalesce(t.n, 0)) AS n FROM s JOIN k ON k.c <> 'o' LEFT JOIN t ON t.p_partkey = s.p_partkey AND t.c = k.c WHERE s.x + k.x = 0 AND s.y + k.y = 0 GROUP BY 1),
+sub AS (SELECT s.p_partkey, sum(t.n) AS n FROM s JOIN t USING (p_partkey) JOIN k a ON a.c = t.c JOIN k b ON b.c <> 'o' AND b.c <> a.c WHERE s.x - a.x + b.x = 0 AND s.y - a.y + b.y = 0 GROUP BY 1)
+SELECT s.p_partkey, CAST(4 * (len + 1) - m + 4 * len - m + runs AS INT) AS neighbours, CAST(coalesce(de2.n, 0) + coalesce(ins.n, 0) + coalesce(sub.n, 0) AS INT) AS even FROM s LEFT JOIN de2 USING (p_partkey) LEFT JOIN ins USING (p_partkey) LEFT JOIN sub USING (p_partkey)""")
 def edit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """single edits of a damaged text, and how many of them have even brackets."""
     x = structures(spark, sf_dir).select("p_partkey", F.col("damaged").alias("s"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import analytics, ordered, readings, records
+from ..operators import analytics, ordered, readings, records, vectors
 from .queries_text import BRACKETED
 from .registry import query, t
 
@@ -106,22 +106,36 @@ def version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.version_diff(v(1), v(2), "k", ["p", "s"])
 
 
-@query(f"WITH a AS ({_V.format(a=1)}), b AS ({_V.format(a=2)}) SELECT CASE WHEN b.k IS NULL THEN 'lost' WHEN a.k IS NULL THEN 'gained' WHEN a.p = b.p AND a.s = b.s THEN 'match' ELSE 'differ' END AS state, count(*) AS n FROM a FULL JOIN b ON a.k = b.k GROUP BY 1")
-def reading_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of two versions that match, differ or are missing on a side."""
+def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     o = t(spark, sf_dir, "orders")
     v = lambda a: o.filter(f"o_orderkey % 17 <> {a}").selectExpr("o_orderkey AS k", f"CASE WHEN o_orderkey % 11 = {a} THEN '' ELSE o_orderpriority END AS p", f"CASE WHEN o_orderkey % 13 = {a} THEN 'Z' ELSE o_orderstatus END AS s")
-    a, b = v(1).withColumnsRenamed({"k": "k1", "p": "p1", "s": "s1"}), v(2)
-    state = F.when(F.col("k").isNull(), "lost").when(F.col("k1").isNull(), "gained").when((F.col("p1") == F.col("p")) & (F.col("s1") == F.col("s")), "match").otherwise("differ")
-    return a.join(b, F.col("k1") == F.col("k"), "full_outer").groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
+    return v(1), v(2)
+
+
+@query(f"WITH a AS ({_V.format(a=1)}), b AS ({_V.format(a=2)}) SELECT CASE WHEN b.k IS NULL THEN 'lost' WHEN a.k IS NULL THEN 'gained' WHEN a.p = b.p AND a.s = b.s THEN 'match' ELSE 'differ' END AS state, count(*) AS n FROM a FULL JOIN b ON a.k = b.k GROUP BY 1")
+def version_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two versions that match, differ or are missing on a side."""
+    return records.sides(*_versions(spark, sf_dir), "k", ["p", "s"]).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+
+
+_PAIR = """SELECT o_orderkey AS k, concat(' ', o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN '.0' ELSE '' END) AS kd, lower(o_orderpriority) AS grade FROM orders"""
+_PAIR2 = """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 5 = 0 THEN 'x' ELSE CAST(o_custkey AS {s}) END AS kd, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE replace(o_orderpriority, '-', ' -') END AS grade FROM orders WHERE o_orderkey % 4 <> 0"""
+
+
+@query("SELECT 'kd' AS field, count(*) FILTER (k % 7 <> 0 AND k % 5 <> 0) AS match, count(*) FILTER (k % 7 <> 0 AND k % 5 = 0) AS differ, count(*) FILTER (k % 7 = 0) AS lost FROM (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 4 <> 0) UNION ALL SELECT 'grade', count(*) FILTER (k % 3 <> 0), 0, count(*) FILTER (k % 3 = 0) FROM (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 4 <> 0)")
+def reading_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings against an archive by typed keys."""
+    t(spark, sf_dir, "orders").createOrReplaceTempView("orders_c")
+    old, new = (spark.sql(x.replace("FROM orders", "FROM orders_c")) for x in (_PAIR, _PAIR2.format(s="STRING")))
+    return records.compare_readings(old, new, "k", {"kd": True, "grade": False})
 
 
 @query("SELECT l_orderkey, l_linenumber, coalesce(m.state, 'ok') AS state, sum(l_quantity) AS qty FROM lineitem LEFT JOIN (SELECT o_orderkey, 1 AS line, o_orderstatus AS state FROM orders WHERE o_orderkey % 2 = 0) m ON m.o_orderkey = l_orderkey AND m.line = l_linenumber GROUP BY 1, 2, 3")
 def manifest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A manifest by two keys, with a default."""
     m = t(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0").selectExpr("o_orderkey AS l_orderkey", "1 AS l_linenumber", "o_orderstatus AS state")
-    x = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity").join(m, ["l_orderkey", "l_linenumber"], "left")
-    return x.groupBy("l_orderkey", "l_linenumber", F.coalesce("state", F.lit("ok")).alias("state")).agg(F.sum("l_quantity").alias("qty"))
+    x = records.with_manifest(t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), m, ["l_orderkey", "l_linenumber"], "state", "ok")
+    return x.groupBy("l_orderkey", "l_linenumber", "state").agg(F.sum("l_quantity").alias("qty"))
 
 
 @query("SELECT conv_id, max(text) FILTER (turn = 0) IS NOT NULL AS has_first, max(CASE WHEN turn = 1 THEN text END) IS NOT NULL AS has_second FROM conversations GROUP BY 1")
@@ -160,25 +174,35 @@ def interval_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", ordered.interval_lookup(b, F.col("l_quantity")).alias("bucket"))
 
 
-@query(f"""WITH p AS (SELECT label AS probe, arg_min(embedding, vec_id) AS e, min(vec_id) AS pid FROM embeddings GROUP BY label),
-s AS (SELECT p.probe, v.vec_id, round(list_cosine_similarity(p.e::DOUBLE[], v.embedding::DOUBLE[]), 6) AS score FROM embeddings v, p WHERE v.vec_id <> p.pid)
+@query("""WITH s AS (SELECT p.vec_id AS probe, v.vec_id, round(list_cosine_similarity(p.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS score FROM embeddings v, embeddings p WHERE p.vec_id % 100 = 0 AND v.vec_id <> p.vec_id)
 SELECT probe, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY probe ORDER BY score DESC, vec_id) AS k FROM s) WHERE k = 1""")
 def cosine_top1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best match of each probe (the first vector of a label). Probes are a stated query set, one for each label, held as one small array."""
-    v = t(spark, sf_dir, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
-    probes = v.groupBy("label").agg(F.min_by(F.struct("vec_id", "e"), "vec_id").alias("p")).select(F.struct(F.col("label").alias("probe"), F.col("p.vec_id").alias("pid"), F.col("p.e").alias("pe")).alias("q"))
-    packed = probes.agg(F.collect_list("q").alias("qs"))  # as many as there are labels
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    x = v.join(F.broadcast(packed)).select("vec_id", "e", F.explode("qs").alias("q")).filter("vec_id <> q.pid")
-    score = F.round(dot(F.col("e"), F.col("q.pe")) / F.sqrt(dot(F.col("e"), F.col("e")) * dot(F.col("q.pe"), F.col("q.pe"))), 6)
-    x = x.select(F.col("q.probe").alias("probe"), "vec_id", score.alias("score"))
-    return x.groupBy("probe").agg(F.min_by(F.struct("vec_id", "score"), F.struct(-F.col("score"), "vec_id")).alias("b")).select("probe", "b.*")
-
-
-@query("SELECT vec_id, CAST(len(list_filter(embedding, lambda x: x > 0)) AS DOUBLE) / len(embedding) AS positive FROM embeddings")
+    """Best match of each probe (the vectors whose id is divisible by 100) among all vectors, in blocks."""
+    v = t(spark, sf_dir, "embeddings")
+    return vectors.best_match(v, v.filter("vec_id % 100 = 0"), "vec_id", "embedding")
+
+
+@query("""SELECT a.vec_id, CASE WHEN a.vec_id % 9 = 0 THEN 0.0::DOUBLE ELSE len(list_filter(list_zip(a.embedding, b.embedding), lambda z: (z[1] > 0) = (z[2] > 0))) / len(a.embedding) END AS share FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""")
 def element_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E5: share of elements that agree with a reference pattern (here: above 0)."""
-    return t(spark, sf_dir, "embeddings").select("vec_id", (F.size(F.filter("embedding", lambda x: x > 0)) / F.size("embedding")).alias("positive"))
+    """E5: share of places at which two patterns agree; another shape agrees nowhere."""
+    e = t(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x > 0).alias("a"))
+    b = e.select((F.col("vec_id") - 1).alias("_id"), F.when(F.pmod(F.col("vec_id") - 1, F.lit(9)) == 0, F.slice("a", 2, 1000)).otherwise(F.col("a")).alias("b"))
+    return e.join(b, F.col("vec_id") == F.col("_id")).select("vec_id", vectors.agreeing_share(F.col("a"), F.col("b")).alias("share"))
+
+
+@query("""WITH a AS (SELECT p_partkey, [concat('C(', p_size), concat('=O', CASE WHEN p_partkey % 3 = 0 THEN ')' ELSE '' END), 'N'] AS p, [concat('C(', p_size, ')'), concat('=O)', p_partkey % 7), 'N'] AS s FROM part),
+c AS (SELECT p_partkey, unnest([p[1] || p[2], p[1] || s[2], s[1] || p[2], s[1] || s[2]]) || 'N' AS x, unnest([1, 2, 3, 4]) AS k FROM a),
+g AS (SELECT *, length(replace(x, '(', '')) = length(replace(x, ')', '')) AS ok FROM c)
+SELECT p_partkey, CAST(count(DISTINCT x) AS INT) AS n, coalesce(arg_min(x, k) FILTER (ok), arg_max(x, k)) AS first_balanced, CAST(count(DISTINCT x) FILTER (ok) AS INT) AS balanced FROM g GROUP BY 1""")
+def line_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All choices of a reading in each line, and the first that is balanced, else the second reading's."""
+    x = t(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.expr("array(concat('C(', p_size), concat('=O', CASE WHEN p_partkey % 3 = 0 THEN ')' ELSE '' END), 'N')").alias("p"),
+        F.expr("array(concat('C(', p_size, ')'), concat('=O)', p_partkey % 7), 'N')").alias("s"),
+    )
+    x = x.select("p_partkey", readings.products(F.col("p"), F.col("s")).alias("all"))
+    return x.select("p_partkey", F.size("all").alias("n"), readings.first_of(F.col("all"), T.balanced).alias("first_balanced"), F.size(F.filter("all", T.balanced)).alias("balanced"))
 
 
 @query("""WITH i AS (SELECT *, count(CASE WHEN role <> 'assistant' THEN 1 END) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS isle FROM conversations)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import mass as M
 from ..functions import text as T
-from ..operators import analytics
+from ..operators import analytics, records
 from .queries_text import _DUCK, readings
 from .registry import query, t
 
@@ -15,13 +15,13 @@ from .registry import query, t
 @query("SELECT lang, source, count(*) AS n, count(DISTINCT doc_id) AS ids, min(doc_id) AS first_id FROM documents GROUP BY 1, 2")
 def group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5, A7."""
-    return t(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("ids"), F.min("doc_id").alias("first_id"))
+    return analytics.group_summary(t(spark, sf_dir, "documents"), ["lang", "source"], "doc_id")
 
 
 @query("SELECT event_type, n FROM (SELECT event_type, count(*) AS n, min(event_id) AS seen FROM events GROUP BY 1 ORDER BY n DESC, seen LIMIT 3)")
 def most_common(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: the most frequent values, ties by first sight; a top-k report."""
-    return t(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("seen")).orderBy(F.desc("n"), "seen").limit(3).select("event_type", "n")
+    return analytics.most_common(t(spark, sf_dir, "events"), "event_type", "event_id", 3)
 
 
 @query("SELECT text_hash, n FROM (SELECT md5(text) AS text_hash, count(*) AS n FROM documents GROUP BY text) WHERE n > 1")
@@ -49,7 +49,7 @@ def recovery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.recovery_summary(x, F.col("tier"), F.col("o_orderstatus"))
 
 
-@query("SELECT l_returnflag, count(*) AS n, s[1 + least(floor(count(*) * 0.1), count(*) - 1)::INT] AS p10, s[1 + floor(count(*) * 0.5)::INT] AS upper_median, s[1 + floor(count(*) * 0.9)::INT] AS p90 FROM (SELECT l_returnflag, list_sort(list(l_extendedprice) OVER (PARTITION BY l_returnflag)) AS s FROM lineitem) GROUP BY l_returnflag, s")
+@query("SELECT l_returnflag, len(s) AS n, s[1 + least(floor(len(s) * 0.1), len(s) - 1)::INT] AS p10, s[1 + floor(len(s) * 0.5)::INT] AS upper_median, s[1 + floor(len(s) * 0.9)::INT] AS p90 FROM (SELECT l_returnflag, list_sort(list(l_extendedprice)) AS s FROM lineitem GROUP BY 1)")
 def nearest_rank_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10, E22."""
     return analytics.nearest_rank(t(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice", {"p10": 0.1, "upper_median": 0.5, "p90": 0.9})
@@ -83,13 +83,13 @@ def arm_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT source, count(*) FILTER (lang = 'en') AS en, count(*) FILTER (lang = 'de') AS de, count(*) FILTER (lang = 'fr') AS fr, count(*) FILTER (lang = 'es') AS es FROM documents GROUP BY 1")
 def pivot_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A16."""
-    return t(spark, sf_dir, "documents").groupBy("source").pivot("lang", ["en", "de", "fr", "es"]).agg(F.count(F.lit(1))).fillna(0)
+    return analytics.cross_counts(t(spark, sf_dir, "documents"), "source", "lang", ["en", "de", "fr", "es"])
 
 
 @query("SELECT o_orderkey, gap FROM (SELECT o_orderkey, round(abs(o_totalprice - 150000), 2) AS gap FROM orders ORDER BY gap, o_orderkey LIMIT 15)")
 def topk_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 15 closest; a top-k report, kept by TakeOrdered without a full sort."""
-    return t(spark, sf_dir, "orders").select("o_orderkey", F.round(F.abs(F.col("o_totalprice") - 150000), 2).alias("gap")).orderBy("gap", "o_orderkey").limit(15)
+    return analytics.closest(t(spark, sf_dir, "orders"), "o_orderkey", F.round(F.abs(F.col("o_totalprice") - 150000), 2), 15)
 
 
 @query("SELECT o_orderkey FROM (SELECT o_orderkey FROM orders ORDER BY CAST(o_orderkey AS VARCHAR) LIMIT 20 OFFSET 5)")
@@ -98,11 +98,29 @@ def sorted_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t(spark, sf_dir, "orders").select("o_orderkey").orderBy(F.col("o_orderkey").cast("string")).offset(5).limit(20)
 
 
-@query("SELECT l_linenumber, count(*) FILTER (d > 0) AS over, count(*) FILTER (d < 0) AS under, count(*) FILTER (abs(d - 2) <= 1.5) AS near_two, round(corr(l_quantity, l_extendedprice), 6) AS r FROM (SELECT *, l_quantity - 25 AS d FROM lineitem) GROUP BY 1")
+@query("SELECT l_linenumber, count(*) FILTER (d > 0) AS over, count(*) FILTER (d < 0) AS under, count(*) FILTER (abs(d - 2) <= 1.5) AS near FROM (SELECT *, l_quantity - 25 AS d FROM lineitem) GROUP BY 1")
 def direction_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A21, E13."""
-    d = F.col("l_quantity") - 25
-    return t(spark, sf_dir, "lineitem").groupBy("l_linenumber").agg(F.count_if(d > 0).alias("over"), F.count_if(d < 0).alias("under"), F.count_if(F.abs(d - 2) <= 1.5).alias("near_two"), F.round(F.corr("l_quantity", "l_extendedprice"), 6).alias("r"))
+    """A21."""
+    return analytics.direction_counts(t(spark, sf_dir, "lineitem"), ["l_linenumber"], F.col("l_quantity") - 25, 2.0, 1.5)
+
+
+@query("SELECT l_returnflag, count(*) FILTER (b > a) AS better, count(*) FILTER (b < a) AS worse, count(*) FILTER (b = a) AS equal, round(corr(a, b), 6) AS r FROM (SELECT l_returnflag, l_quantity::DOUBLE AS a, CASE WHEN l_linenumber = 2 THEN NULL WHEN l_linenumber = 3 THEN l_quantity ELSE l_extendedprice / 1500 END::DOUBLE AS b FROM lineitem) WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY 1")
+def paired_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs that became better or worse, and their correlation."""
+    after = F.when(F.col("l_linenumber") == 2, None).when(F.col("l_linenumber") == 3, F.col("l_quantity")).otherwise(F.col("l_extendedprice") / 1500)
+    return analytics.paired_comparison(t(spark, sf_dir, "lineitem"), ["l_returnflag"], F.col("l_quantity"), after).withColumn("r", F.round("r", 6))
+
+
+@query("""WITH x AS (SELECT lang, len(string_split(text, chr(10))) - 8 AS e, length(replace(text, '(', '')) = length(replace(text, ')', '')) AND length(replace(text, '[', '')) = length(replace(text, ']', '')) AS b, doc_id % 3 = 0 AS p, ['match', 'mismatch', 'unknown'][1 + doc_id % 3] AS v FROM documents),
+w AS (SELECT lang, string_agg(concat(v, '=', n), ' ' ORDER BY v) AS verdicts FROM (SELECT lang, v, count(*) AS n FROM x GROUP BY 1, 2) GROUP BY 1)
+SELECT x.lang, count(*) AS n, count(*) FILTER (e = 0) AS none, count(*) FILTER (e < 0) AS less, count(*) FILTER (e > 0) AS more, quantile_cont(e, 0.5) AS median, round(avg(e), 6) AS mean, count(*) FILTER (b) AS balanced, count(*) FILTER (p) AS parses, max(w.verdicts) AS verdicts FROM x JOIN w ON w.lang IS NOT DISTINCT FROM x.lang GROUP BY 1""")
+def arm_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Excess counts, median, mean, and how often each verdict was given."""
+    d = t(spark, sf_dir, "documents")
+    verdict = F.expr("element_at(array('match', 'mismatch', 'unknown'), cast(1 + doc_id % 3 as int))")
+    x = analytics.arm_statistics(d, ["lang"], F.size(F.split("text", "\n")) - 8, T.balanced(F.col("text")), F.col("doc_id") % 3 == 0, verdict)
+    shown = F.array_join(F.transform(F.array_sort(F.map_entries("verdicts")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), " ")
+    return x.withColumns({"verdicts": shown, "mean": F.round("mean", 6)})
 
 
 @query("SELECT 'intercept' AS term, round(regr_intercept(l_extendedprice, l_quantity), 3) AS coefficient FROM lineitem UNION ALL SELECT 'l_quantity', round(regr_slope(l_extendedprice, l_quantity), 3) FROM lineitem")
@@ -129,11 +147,11 @@ def rule_scoreboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("x") == F.col("p_name")).alias("exact"), F.sum("e").alias("edits"), F.round(F.sum("e") / F.sum(F.length("p_name")), 6).alias("cer"))
 
 
-@query("SELECT best, count(*) AS n FROM (SELECT CASE WHEN a <= b AND a <= c THEN 'mono' WHEN b <= c THEN 'rounded' ELSE 'average' END AS best FROM (SELECT abs(l_tax - 0.02) AS a, abs(l_tax - 0.04) AS b, abs(l_tax - 0.06) AS c FROM lineitem)) GROUP BY 1")
+@query("SELECT best, count(*) AS n FROM (SELECT CASE WHEN a <= b AND a <= c AND a <= d THEN 'mono' WHEN b <= c AND b <= d THEN 'rounded' WHEN c <= d THEN 'average' ELSE 'average2' END AS best FROM (SELECT abs(l_tax - 0.02) AS a, abs(l_tax - 0.04) AS b, abs(l_tax - 0.06) AS c, abs(l_tax - 0.08) AS d FROM lineitem)) GROUP BY 1")
 def closest_convention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A25."""
-    d = F.array(*[F.struct(F.abs(F.col("l_tax") - v).alias("d"), F.lit(i).alias("i"), F.lit(n).alias("n")) for i, (n, v) in enumerate((("mono", 0.02), ("rounded", 0.04), ("average", 0.06)))])
-    return t(spark, sf_dir, "lineitem").select(F.array_min(d)["n"].alias("best")).groupBy("best").agg(F.count(F.lit(1)).alias("n"))
+    errors = {n: F.col("l_tax") - v for n, v in (("mono", 0.02), ("rounded", 0.04), ("average", 0.06), ("average2", 0.08))}
+    return analytics.closest_convention(t(spark, sf_dir, "lineitem"), errors)
 
 
 @query("SELECT source, config, count(*) AS samples, count(*) FILTER (len > lim) AS over, round(avg(len / lim), 6) AS mean_ratio FROM (SELECT source, length(text) AS len, unnest(['small', 'large']) AS config, unnest([500, 2000]) AS lim FROM documents) GROUP BY 1, 2")
@@ -164,9 +182,9 @@ def multiset_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U1, U3, U4."""
     o = t(spark, sf_dir, "orders")
-    a = o.select("o_custkey").subtract(o.filter("o_orderstatus = 'F'").select("o_custkey"))
-    b = t(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey")).intersect(o.filter("o_orderstatus = 'P'").select("o_custkey"))
-    return a.union(b).distinct()
+    a = records.only_in(o.select("o_custkey"), o.filter("o_orderstatus = 'F'").select("o_custkey"))
+    b = records.in_both(t(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey")), o.filter("o_orderstatus = 'P'").select("o_custkey"))
+    return records.in_either(a, b)
 
 
 _FIELDS = "CASE p_partkey % 4 WHEN 0 THEN {o}'cmpd_id', 'smiles'{c} WHEN 1 THEN {o}'cmpd_id', 'kd_nm', 'ms_mz'{c} WHEN 2 THEN {o}'cmpd_id', 'kd_nm', 'smiles', 'structure'{c} ELSE {o}'structure'{c} END"
@@ -175,11 +193,11 @@ _FIELDS = "CASE p_partkey % 4 WHEN 0 THEN {o}'cmpd_id', 'smiles'{c} WHEN 1 THEN
 @query(f"SELECT p_partkey, CASE WHEN list_has_all(f, ['cmpd_id', 'kd_nm']) AND NOT list_has_any(f, ['smiles']) THEN 'activity' WHEN list_has_all(f, ['smiles', 'structure']) THEN 'dense' WHEN list_has_all(f, ['cmpd_id', 'smiles']) THEN 'smiles' END AS layout, CAST(trunc(0.37 * p_size) AS INT) AS x1 FROM (SELECT p_partkey, p_size, {_FIELDS.format(o='[', c=']')} AS f FROM part)")
 def layout_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first layout whose required fields are all there and whose excluded ones are not; fractions become pixels by truncation."""
-    from .profiles import Rule, layout_for_fields
+    from .profiles import pick_layout
 
-    rules = [Rule("activity", ("cmpd_id", "kd_nm"), ("smiles",)), Rule("dense", ("smiles", "structure")), Rule("smiles", ("cmpd_id", "smiles"))]
+    wanted = [("activity", ["cmpd_id", "kd_nm"], ["smiles"]), ("dense", ["smiles", "structure"], []), ("smiles", ["cmpd_id", "smiles"], [])]
     x = t(spark, sf_dir, "part").select("p_partkey", "p_size", F.expr(_FIELDS.format(o="array(", c=")")).alias("f"))
-    return x.select("p_partkey", layout_for_fields(F.col("f"), rules).alias("layout"), (F.col("p_size") * 0.37).cast("int").alias("x1"))
+    return x.select("p_partkey", pick_layout(F.col("f"), wanted).alias("layout"), (F.col("p_size") * 0.37).cast("int").alias("x1"))
 
 
 @query("""SELECT event_id, concat_ws('; ', CASE WHEN k < 0.0001 THEN printf('kd_nm below range (%.4f < 0.0001)', k) WHEN k > 100000 THEN printf('kd_nm above range (%.4f > 100000.0000)', k) END, CASE WHEN value > 30 THEN printf('rt_min above range (%.4f > 30.0000)', value) END) AS flags,
@@ -198,12 +216,15 @@ _ION = "CASE l_linenumber % 7 WHEN 0 THEN '[M+H]+' WHEN 1 THEN '[M+3H]3+' WHEN 2
 p AS (SELECT *, CASE ion WHEN '[M+H]+' THEN 1.007276466 WHEN '[M+3H]3+' THEN 1.007276466 WHEN '[M-H]-' THEN 1.007276466 WHEN '[M+HCOO]-' THEN -44.998201 WHEN '[M+Na]+' THEN 22.98976928 WHEN '[M]+' THEN 1.007276466 END::DOUBLE AS delta, CASE ion WHEN '[M+3H]3+' THEN 3 WHEN '[M-H]-' THEN -1 WHEN '[M+HCOO]-' THEN -1 ELSE 1 END AS z FROM i),
 m AS (SELECT *, abs(z) * mz - z * delta AS mass FROM p)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(mass, 5) AS mass, round(0.05 / mz * 1e6, 3) AS tolerance, round(mass - (CASE WHEN mz = trunc(mz) THEN 0.5 ELSE 0.05 END), 5) AS low,
- CASE WHEN mass IS NULL THEN 'unknown' WHEN abs((mass - 800) / 800.0 * 1e6) <= 0.05 / mz * 1e6 THEN 'match' ELSE 'mismatch' END AS verdict FROM m""")
+ CASE WHEN mass IS NULL THEN 'unknown' WHEN abs((mass - 800) / 800.0 * 1e6) <= 0.05 / mz * 1e6 THEN 'match' ELSE 'mismatch' END AS verdict, round(mass, 4) AS expected FROM m""")
 def polarity_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 to M6: ion labels, neutral mass, tolerance, window, verdict."""
-    x = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(F.col("l_extendedprice") / 50, 1).alias("mz"), M.polarity(F.expr(_ION)).alias("ion"))
-    mz, ion = F.col("mz"), F.col("ion")
-    return x.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(M.neutral_mass(mz, ion), 5).alias("mass"), F.round(M.printing_tolerance_ppm(mz), 3).alias("tolerance"), F.round(M.mass_window(mz, ion)["low"], 5).alias("low"), M.verdict(F.lit(800.0), mz, ion)["verdict"].alias("verdict"))
+    x = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(F.col("l_extendedprice") / 50, 1).alias("mz"), F.expr(_ION).alias("label"))
+    x = M.with_polarity(x, "label", "ion").withColumn("d", M.decimals(F.col("mz")))
+    mz, ion, d = F.col("mz"), F.col("ion"), F.col("d")
+    v = M.verdict(F.lit(800.0), mz, ion, M.printing_tolerance_ppm(mz, d))
+    x = x.withColumn("v", v)
+    return x.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(M.neutral_mass(mz, ion), 5).alias("mass"), F.round(M.printing_tolerance_ppm(mz, d), 3).alias("tolerance"), F.round(M.mass_window(mz, ion, d)["low"], 5).alias("low"), "v.verdict", F.col("v.expected").alias("expected"))
 
 
 @query(f"""WITH a AS (SELECT p_partkey, {_DUCK} AS x, p_retailprice / 4 AS target FROM part),
@@ -255,9 +276,18 @@ def row_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.groupBy("p_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("top") == F.col("ch")).alias("top1_equal"), F.count_if(F.array_join("top", "") == F.col("p_name")).alias("text_equal"), F.count_if(F.size("top") == F.length("p_name")).alias("length_equal"))
 
 
-@query("SELECT p_partkey, CASE WHEN n > 0 THEN 'unknown' WHEN p_size * 12.0 > p_retailprice / 10 THEN 'heavy' ELSE 'other' END AS class FROM (SELECT *, CASE WHEN p_partkey % 6 = 0 THEN 1 ELSE 0 END AS n FROM part)")
+_COUNTS = "CASE p_partkey % 6 WHEN 0 THEN {m}'Ca', 1, 'C', p_size{z} WHEN 1 THEN {m}'C', p_size, 'N', 2, 'O', 3{z} WHEN 2 THEN {m}'Xx', 1, 'C', p_size{z} WHEN 3 THEN {m}'C', p_size, 'Cl', 1, 'Ca', 2{z} ELSE {m}'C', p_size{z} END"
+
+
+@query("""WITH a AS (SELECT p_partkey, p_partkey % 6 AS k, p_size AS c, round(p_retailprice / 4, 1) AS target FROM part),
+m AS (SELECT *, CASE WHEN k IN (0, 3) THEN CASE k WHEN 0 THEN 1 ELSE 2 END ELSE 0 END AS ca, c * 12.0::DOUBLE + CASE k WHEN 1 THEN 2 * 14.0030740048 + 3 * 15.9949146196 WHEN 3 THEN 34.96885271 ELSE 0 END::DOUBLE AS heavy FROM a),
+h AS (SELECT *, (target - heavy) / 1.0078250319 AS h0, (target - heavy - 12.0 * ca) / 1.0078250319 AS h1 FROM m),
+v AS (SELECT *, CASE WHEN k IN (0, 3) OR k = 2 THEN 'unknown' WHEN h0 < 0 THEN 'heavy' WHEN h0 < 0.5 * c OR h0 > 3 * c THEN 'off' WHEN abs(h0 - round_even(h0, 0)) <= 0.06 / 1.0078250319 + 0.25 THEN 'fits' ELSE 'off' END AS class,
+ CASE WHEN k = 2 THEN 'unknown' WHEN h1 < 0 THEN 'heavy' WHEN h1 < 0.5 * (c + ca) OR h1 > 3 * (c + ca) THEN 'off' WHEN abs(h1 - round_even(h1, 0)) <= 0.06 / 1.0078250319 + 0.25 THEN 'fits' ELSE 'off' END AS as_carbon FROM h)
+SELECT p_partkey, class, as_carbon, CAST(c + ca AS INT) AS carbon FROM v""")
 def composition_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classes of compositions; an unknown element outweighs all."""
-    x = t(spark, sf_dir, "part").select("p_partkey", (F.col("p_retailprice") / 10).alias("target"), F.when(F.col("p_partkey") % 6 == 0, F.create_map(F.lit("Xx"), F.lit(1), F.lit("C"), F.col("p_size"))).otherwise(F.create_map(F.lit("C"), F.col("p_size"))).alias("m"))
-    c = M.composition_class(F.col("m"), F.col("target"), F.lit(0.06))
-    return x.select("p_partkey", F.when(c.isin("fits", "off"), "other").otherwise(c).alias("class"))
+    """Classes of compositions, and what they would be if each Ca were a misread C."""
+    x = t(spark, sf_dir, "part").select("p_partkey", F.round(F.col("p_retailprice") / 4, 1).alias("target"), F.expr(_COUNTS.format(m="map(", z=")")).alias("m"))
+    x = x.withColumn("fixed", M.calcium_as_carbon(F.col("m")))
+    of = lambda c: M.composition_class(F.col(c), F.col("target"), F.lit(0.06))
+    return x.select("p_partkey", of("m").alias("class"), of("fixed").alias("as_carbon"), F.col("fixed")["C"].alias("carbon"))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import os
+import tempfile
+import uuid
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +19,7 @@ from ..operators.records import last_of_each
 from ..plans import schema
 
 CACHE_VERSION = 2
+MARK = "\ufeff"
 
 
 def images(spark: SparkSession, folder: str, patterns: Iterable[str]) -> DataFrame:
@@ -26,14 +32,78 @@ def images(spark: SparkSession, folder: str, patterns: Iterable[str]) -> DataFra
 def read_csv(spark: SparkSession, path: str, keep_blank: bool = True) -> DataFrame:
     """All columns as text. Blank cells are empty text, or null where ``keep_blank`` is off. A byte-order mark is dropped."""
     x = spark.read.csv(path, header=True, multiLine=True, escape='"')
-    x = x.toDF(*[c.lstrip("﻿") for c in x.columns])
+    x = x.toDF(*[c.lstrip(MARK) for c in x.columns])
     return x.fillna("") if keep_blank else x
 
 
-def write_csv(df: DataFrame, path: str, columns: Iterable[str], single: bool = False) -> None:
-    """The named columns as text, missing ones empty, others left out. ``single`` makes one file, for tables meant to be opened by hand."""
+def write_csv(df: DataFrame, path: str, columns: Iterable[str], single: bool = False, mark: bool = False) -> int:
+    """The named columns as text, missing ones empty, others left out; returns the number of rows. ``single`` makes one file, for tables
+    meant to be opened by hand; ``mark`` puts a byte-order mark before the heading of each file."""
     x = schema.as_text(df, columns)
+    if mark:
+        x = x.withColumnRenamed(x.columns[0], MARK + x.columns[0])
+    seen = Observation()
+    x = x.observe(seen, F.count(F.lit(1)).alias("n"))
     (x.coalesce(1) if single else x).write.mode("overwrite").csv(path, header=True, emptyValue="", nullValue="", escape='"')
+    return seen.get["n"]
+
+
+def writable_target(path: str, other: str = "compounds_combined.new.csv") -> str:
+    """``path`` if it is not there yet or can be written to, else ``other`` beside it: an editor may hold a lock on a delivered file."""
+    if not os.path.exists(path):
+        return path
+    try:
+        with open(path, "r+b"):
+            return path
+    except PermissionError:
+        return os.path.join(os.path.dirname(path), other)
+
+
+def policy_target(path: str, in_place: bool = False) -> str:
+    """Where a table with its policy columns goes: beside the table, as ``<name>.policy.csv``, or over it."""
+    return path if in_place else f"{path.removesuffix('.csv')}.policy.csv"
+
+
+def write_cells(df: DataFrame, folder: str, route: str, as_json: bool = False) -> int:
+    """Texts of cells (key, text) as CSV of cell, route, length, smiles, and as JSON lines of the same; returns the number of rows."""
+    x = df.select(F.col("key").alias("cell"), F.lit(route).alias("route"), F.length(F.coalesce("text", F.lit(""))).alias("length"), F.coalesce("text", F.lit("")).alias("smiles"))
+    if as_json:
+        x.write.mode("overwrite").json(f"{folder}/json")
+    return write_csv(x, f"{folder}/csv", x.columns)
+
+
+def write_each(df: DataFrame, folder: str) -> DataFrame:
+    """Writes each row's ``content`` to a file ``name`` of a folder that driver and executors share; rows (name, path). A file is written
+    whole under another name first, so a task that runs again leaves no half file. The result is to be used: it is what does the work."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names = b.column("name").to_pylist()
+            paths = [put(f"{folder.rstrip('/')}/{n}", c) for n, c in zip(names, b.column("content").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(paths, pa.string())], names=["name", "path"])
+
+    return df.select("name", "content").mapInArrow(work, "name string, path string")
+
+
+def put(uri: str, data: bytes) -> str:
+    """One file, on a local path or in a store."""
+    store, path = fs.FileSystem.from_uri(uri if ":" in uri else f"file://{uri}")
+    store.create_dir(os.path.dirname(path), recursive=True)
+    part = f"{path}.{uuid.uuid4().hex}.part"
+    with store.open_output_stream(part) as f:
+        f.write(data)
+    store.move(part, path)
+    return uri
+
+
+def workspace(spark: SparkSession) -> str:
+    """A new folder under ``spark.checkpoint.dir``, which driver and executors share; on a single machine without that setting a temporary one."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='quillgrid-files-')}"
+    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
 
 
 def reload_records(spark: SparkSession, compounds: str, assays: str, extras: tuple[str, ...] = (), images_known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -148,6 +148,57 @@ def test_extraction(spark, tmp_path):
     assert {r.text for r in read.collect()} == {"True"}
 
 
+def ruled(columns, rows=((0, 100), (100, 200), (200, 300)), width=1000, height=300):
+    """An image that is one table, divided at ``columns`` (one list for each row)."""
+    g = np.full((height, width), 255, np.uint8)
+    for (top, bottom), xs in zip(rows, columns):
+        for x in xs:
+            g[top:bottom, x : x + 2] = 0
+        g[bottom - 2 : bottom, :] = 0
+    return g
+
+
+def test_cropped_tables(spark, tmp_path):
+    """Layout by count of columns, by the heading's texts before that; edges drawn to rules; a first row of its own."""
+    family = profile("WO2025162428")
+    dense = [175, 345, 505, 675, 795]
+    (tmp_path / "a.png").write_bytes(I.encode_png(ruled([dense] * 3)))
+    (tmp_path / "b.png").write_bytes(I.encode_png(ruled([[105, 570, 995]] * 3)))
+    (tmp_path / "c.png").write_bytes(I.encode_png(ruled([[105, 570]] + [dense] * 2)))
+    (tmp_path / "d.png").write_bytes(b"broken")
+    (tmp_path / "e.png").write_bytes(I.encode_png(np.full((20, 500), 255, np.uint8)))
+    images = files.images(spark, str(tmp_path), ("*.png",))
+    found = extract.cells(images, family=family)
+    out = found.filter("error IS NULL").groupBy(F.substring_index("path", "/", -1).alias("f"), "row").agg(F.max("n_columns").alias("n"), F.count("png").alias("c")).orderBy("f", "row").collect()
+    assert [(r.f, r.row, r.n, r.c) for r in out] == [("a.png", i, 6, 6) for i in range(3)] + [("b.png", i, 3, 3) for i in range(3)] + [("c.png", 0, 3, 3), ("c.png", 1, 6, 6), ("c.png", 2, 6, 6)]
+    wide = {r["column"]: I.decode(r.png).shape[1] for r in found.filter("path LIKE '%b.png' AND row = 1").collect()}
+    assert wide[0] == 105 and wide[2] == 1000 - 4 - 570 + 1 or wide[2] == 996 - 570  # from the rule to the rule that closes the table
+    named = extract.cells(images, family=family, heading=lambda: lambda g: ["Kd  (nM)", "Structure"] if g.shape[0] else [])
+    assert {r.n_columns for r in named.filter("path LIKE '%a.png' AND row > 0").collect()} == {7}
+    assert found.filter("error IS NOT NULL").count() == 1 and found.filter("path LIKE '%e.png'").count() == 0
+
+
+def test_layouts_of_tables(spark):
+    """Headings, number of columns, the table before in the folder, the default."""
+    rows = [("x/1", 0, 0, 6, "KD (nM)"), ("x/1", 0, 1, 6, "5"), ("x/2", 0, 0, 9, "?"), ("x/3", 0, 0, 7, "smiles"), ("y/1", 0, 0, 5, None)]
+    out = extract.layouts_of(spark.createDataFrame(rows, "path string, table int, row int, n_columns int, text string"), profile("WO2025162428"))
+    assert {(r.path, r.layout) for r in out.collect()} == {("x/1", "dense"), ("x/2", "dense"), ("x/3", "activity"), ("y/1", "activity")}
+
+
+def test_model_columns_and_reuse(spark):
+    tok = "array<struct<token:string,p:double>>"
+    rows = [("1", "CCO.C", [("C", 0.9), ("O", 0.4)]), ("2", "CC(", []), ("3", "??", None), ("4", " ", None)]
+    work = spark.createDataFrame([(k,) for k, *_ in rows] + [("9",)], "cmpd_id string")
+    cache = spark.createDataFrame([("9", "N", "N", "N", 0.5, 0)], "cmpd_id string, raw string, cleaned string, canon string, min_conf double, low_conf int")
+    df = spark.createDataFrame(rows, f"cmpd_id string, smiles string, tokens {tok}")
+    both, fresh = extract.model_stage(work, cache, lambda todo: df.join(todo, "cmpd_id"))
+    assert {(r.cmpd_id, r.raw, r.cleaned, r.canon, r.min_conf, r.low_conf) for r in fresh.collect()} == {("1", "CCO.C", "CCO", "CCO", 0.4, 1), ("2", "CC(", "CC()", "", None, None), ("3", "??", "??", "", None, None)}
+    assert {r.cmpd_id for r in both.collect()} == {"1", "2", "3", "9"} and both.columns == ["cmpd_id", "smiles_decimer", "canonical_smiles_decimer", "decimer_min_conf", "decimer_low_conf_count"]
+    old = spark.createDataFrame([("1", "C", 0.5), ("1", "CC", 0.25), (None, "x", 1.0)], "cmpd_id string, smiles_decimer string, decimer_min_conf double")
+    got = extract.reuse_columns(spark.createDataFrame([("1", "a"), ("2", "b")], "cmpd_id string, smiles string"), old).orderBy("cmpd_id").collect()
+    assert [(r.smiles, r.smiles_decimer, r.decimer_min_conf, r.decimer_render_path) for r in got] == [("a", "CC", "0.25", ""), ("b", "", "", "")]
+
+
 def test_model_stage(spark):
     work = spark.createDataFrame([("1",), ("2",)], "k string")
     cache = spark.createDataFrame([("1", "old"), ("9", "x")], "k string, v string")
