@@ -78,9 +78,9 @@ def _signatures(k: int):
     return run
 
 
-def _pairs(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray | None, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pairs(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray | None, met: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links of each set, links weighted by copies, and the first member of each one's connected group.
-    side: only pairs of differing side count; None: all pairs."""
+    side: only pairs of differing side count; None: all pairs. met: a row of band hashes for each set; pairs that agree in one have been counted elsewhere."""
     m = len(sets)
     size = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets)
@@ -104,6 +104,8 @@ def _pairs(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray | None,
     np.fill_diagonal(ok, False)
     if side is not None:
         ok &= side[:, None] != side[None, :]
+    for band in met.T if ok.any() else ():
+        ok &= band[:, None] != band[None, :]
     root = np.arange(m)
     while True:
         low = np.where(ok, root[None, :], m).min(axis=1)
@@ -119,21 +121,22 @@ def _verify(k: int, num: int, den: int):
     names = ["node", "root", "n", "w"]
 
     def check(rows: list[tuple]) -> pa.RecordBatch:
-        nb = rows[0][1]
-        sets = [s for _, _, _, _, _, s in rows]
+        nb, band = rows[0][1:3]
+        sets = [r[-1] for r in rows]
         seen, own = set(), []
         for i, r in enumerate(rows):  # a row whose text is not its node's, or is there twice, adds nothing
-            if r[2] not in seen and len(sets[i]) and set_digest(sets[i]) == r[2]:
-                seen.add(r[2])
+            if r[3] not in seen and len(sets[i]) and set_digest(sets[i]) == r[3]:
+                seen.add(r[3])
                 own.append(i)
-        nodes = np.array([rows[i][2] for i in own], np.int64)
+        nodes = np.array([rows[i][3] for i in own], np.int64)
         if len(own) < 2:
             n = w = np.zeros(len(own), np.int64)
             root = np.arange(len(own))
         else:
-            side = np.array([rows[i][3] for i in own])
+            side = np.array([rows[i][4] for i in own])
             cross = nb > 1 and (side != side[0]).any()
-            n, w, root = _pairs([sets[i] for i in own], np.array([rows[i][4] for i in own], np.int64), side if cross else None, num, den)
+            met = np.array([rows[i][6][:band] for i in own], np.int64) if band > 0 else np.zeros((len(own), 0), np.int64)
+            n, w, root = _pairs([sets[i] for i in own], np.array([rows[i][5] for i in own], np.int64), side if cross else None, met, num, den)
         return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root] if len(own) else nodes), pa.array(n.astype(np.int64)), pa.array(w.astype(np.int64))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,13 +145,13 @@ def _verify(k: int, num: int, den: int):
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 sets = shingle_sets(part.column("_t"), k)
-                for c, lo, hi, nb, node, blk, copies, s in zip(*(part.column(x).to_pylist() for x in ("comp", "lo", "hi", "nb", "node", "blk", "copies")), sets, strict=True):
-                    if (c, lo, hi) != open_key and rows:
+                for c, band, lo, hi, nb, node, blk, copies, bands, s in zip(*(part.column(x).to_pylist() for x in ("comp", "band", "lo", "hi", "nb", "node", "blk", "copies", "bands")), sets, strict=True):
+                    if (c, band, lo, hi) != open_key and rows:
                         yield check(rows)
                         rows = []
-                    open_key = (c, lo, hi)
+                    open_key = (c, band, lo, hi)
                     if not (nb > 1 and lo == hi and blk != lo):
-                        rows.append((open_key, nb, node, blk, copies, s))
+                        rows.append((open_key, nb, band, node, blk, copies, bands, s))
         if rows:
             yield check(rows)
 
@@ -167,9 +170,11 @@ def ngram_join(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col:
     2. Nodes meet by band hashes (BANDS bands of ROWS MinHash values): each node is joined to the least
        node of its bucket, and the connected groups of these links are the candidate groups. No bucket is
        gathered or expanded into pairs, none is capped.
-    3. Texts of candidate groups are dealt out by pairs of blocks of about BLOCK texts, whatever the group's
-       size, and in each pair of blocks all pairs are decided exactly on full sets. This tests every pair of
-       a bucket and more. Block pairs give back one row for each text, never a row for each pair.
+    3. A candidate group is verified as a whole, or, where that means fewer pairs, bucket by bucket: groups of real
+       near copies are dense, and each of their pairs would come up in many buckets; groups that hang together by chance
+       links are chains of small buckets, and grow with the corpus. Texts are dealt out by pairs of blocks of about BLOCK texts, and in each pair
+       of blocks all pairs are decided exactly on full sets; a pair that meets in several buckets counts in the first.
+       Every pair of a bucket is tested either way. Block pairs give back one row for each text, never a row for each pair.
     4. Links are summed, and the components of the verified links give the classes.
 
     Rows with a null id, and texts without a word, link to nothing: class_id is the row's own id, n_links 0,
@@ -184,22 +189,25 @@ def _linked(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col:
     sig = written(base.select("_id", "_t", F.xxhash64("_t").alias("_h")).mapInArrow(K.releasing(_signatures(k)), "_id long, node long, bands array<long>, _h long"), "signatures")
     good = sig.filter("node IS NOT NULL AND _id IS NOT NULL")
     nodes = written(good.groupBy("node").agg(F.min("_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "nodes")
-    keyed = nodes.select("node", F.posexplode("bands").alias("band", "h")).select("node", F.xxhash64("band", "h").alias("h"))
-    buckets = keyed.groupBy("h").agg(F.min("node").alias("m"), F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("h").alias("h2"), "m")
-    edges = keyed.join(buckets, F.col("h") == F.col("h2")).select(F.col("node").alias("u"), F.col("m").alias("v"))
-    cand = components(edges)
-    sizes = cand.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb"))
-    placed = (
-        cand.join(sizes.withColumnRenamed("root", "comp"), F.col("root") == F.col("comp"))
-        .select("node", "comp", "nb", F.pmod(F.xxhash64("node"), F.col("nb").cast("long")).cast("int").alias("blk"))
-        .join(nodes.select(F.col("node").alias("n2"), "rep", "copies"), F.col("node") == F.col("n2"))
-        .select("node", "comp", "nb", "blk", "rep", "copies")
-    )
-    texts = base.join(placed, F.col("_id") == F.col("rep")).select("comp", "nb", "blk", "node", "copies", "_t")
-    dealt = texts.select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other")).select(
-        "comp", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "nb", "node", "blk", "copies", "_t"
-    )
-    groups = dealt.repartition("comp", "lo", "hi").sortWithinPartitions("comp", "lo", "hi")
+    keyed = nodes.select("node", F.posexplode("bands").alias("band", "h")).select("node", "band", F.xxhash64("band", "h").alias("h"))
+    buckets = written(keyed.groupBy("h").agg(F.min("node").alias("m"), F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("h").alias("h2"), "m", "c"), "buckets")
+    meets = written(keyed.join(buckets, F.col("h") == F.col("h2")).select("node", "band", "h", "m", "c"), "meets")
+    cand = components(meets.select(F.col("node").alias("u"), F.col("m").alias("v")))
+    cand = cand.withColumnsRenamed({"node": "n1", "root": "comp"})
+    # Pairs of a group as a whole, against pairs of its buckets.
+    by_bucket = buckets.join(cand, F.col("m") == F.col("n1")).groupBy("comp").agg(F.sum(F.col("c") * F.col("c")).alias("pairs"))
+    sizes = cand.groupBy(F.col("comp").alias("c2")).agg(F.count(F.lit(1)).alias("size"))
+    route = sizes.join(by_bucket, F.col("c2") == F.col("comp")).select("c2", "size", (F.col("size") * F.col("size") > F.col("pairs")).alias("split"))
+    placed = written(cand.join(route, F.col("comp") == F.col("c2")).select("n1", "comp", "size", "split"), "placed")
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    whole = placed.filter("NOT split").select("n1", "comp", F.lit(-1).alias("band"), blocks("size").alias("nb"))
+    split = meets.join(placed.filter("split").select("n1"), F.col("node") == F.col("n1")).select("n1", F.col("h").alias("comp"), "band", blocks("c").alias("nb"))
+    dealt = whole.unionByName(split).withColumn("blk", F.pmod(F.xxhash64("n1"), F.col("nb").cast("long")).cast("int"))
+    dealt = dealt.join(nodes.select(F.col("node"), "rep", "copies", "bands"), F.col("n1") == F.col("node")).select("node", "comp", "band", "nb", "blk", "rep", "copies", F.when(F.col("band") > 0, F.col("bands")).alias("bands"))
+    texts = base.join(dealt, F.col("_id") == F.col("rep")).select("comp", "band", "nb", "blk", "node", "copies", "bands", "_t")
+    texts = texts.select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other"))
+    texts = texts.select("comp", "band", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "nb", "node", "blk", "copies", "bands", "_t")
+    groups = texts.repartition("comp", "band", "lo", "hi").sortWithinPartitions("comp", "band", "lo", "hi")
     found = written(groups.mapInArrow(K.releasing(_verify(k, num, den)), "node long, root long, n long, w long"), "verified")
     links = found.groupBy("node").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).filter("n > 0")
     final = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
