@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from . import textkernel as K
 from .shared import written
+from .telling import examples, telling_terms
 from .toxicity import held_out, pack, unpack
 
 U64 = np.uint64
@@ -217,34 +218,10 @@ def predict(m: dict[str, np.ndarray], xs: tuple[np.ndarray, np.ndarray]) -> tupl
 
 
 def _known(sample: DataFrame) -> dict:
-    """What the views look for, from the sample alone: the TERMS buckets that tell most about the label (G-test), languages and sources that occur twice."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros((2, BUCKETS), np.int64)
-        for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                part = b.slice(lo, 512)
-                doc, ids = _terms(K.words(*K.buffers(part.column(0))))
-                key = np.unique(doc * BUCKETS + ids)
-                y = part.column(1).to_numpy(zero_copy_only=False)[key // BUCKETS]
-                for k in (0, 1):
-                    n[k] += np.bincount(key[y == k] % BUCKETS, minlength=BUCKETS)
-        some = np.flatnonzero(n.sum(0))
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[0, some]), pa.array(n[1, some])], names=["id", "bad", "good"])
-
-    total = {r._y: r.n for r in sample.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bad, good = float(total.get(0, 0)), float(total.get(1, 0))
-    terms: list[int] = []
-    if bad and good:
-        c = sample.select("_t", "_y").mapInArrow(K.releasing(count), "id long, bad long, good long").groupBy("id").agg(F.sum("bad").alias("a"), F.sum("good").alias("b"))
-        g = F.lit(0.0)
-        for have, rest in ((F.col("a"), bad), (F.col("b"), good)):
-            for got, mean in ((have, (F.col("a") + F.col("b")) * rest / (bad + good)), (rest - have, (bad + good - F.col("a") - F.col("b")) * rest / (bad + good))):
-                g += F.when((got > 0) & (mean > 0), 2 * got * F.log(got / mean)).otherwise(0.0)
-        best = c.filter("a + b > 1").select("id", F.round(g, 9).alias("g")).filter("g > 5")
-        terms = sorted(r.id for r in best.orderBy(F.col("g").desc(), "id").limit(TERMS).collect())
+    """What the views look for, from the sample alone: the TERMS buckets that tell most about the label, languages and sources that occur twice."""
     often = lambda c: sorted(r[0] for r in sample.groupBy(c).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(c).collect())  # noqa: E731  fewer than half the sample's rows
-    return {"terms": np.array(terms, np.int64), "langs": often("_lang"), "sources": often("_src")}
+    found = telling_terms(sample, lambda col: _terms(K.words(*K.buffers(col))), BUCKETS, TERMS)
+    return {"terms": found, "langs": often("_lang"), "sources": often("_src")}
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", max_labelled: int = MAX_LABELLED, threshold: float = 0.5) -> DataFrame:
@@ -262,12 +239,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
     base = docs.select(F.col(id_col).alias("_id"), *[c.alias(n) for n, c in names.items()])
     y = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_k")).agg(F.max(label_col).cast("int").alias("_y"))
     kind = docs.schema[id_col].dataType.simpleString()
-    some = F.broadcast(y.filter(~held_out("_k")).orderBy(F.xxhash64(F.lit(7), "_k"), "_k").limit(max_labelled))  # max_labelled x 12 bytes at most
-    # One example for each sampled id and distinct text; ids of many texts are cut by a hash that knows no label. Texts are fetched for these alone.
-    keyed = base.select("*", F.xxhash64("_t").alias("_h")).join(some, F.col("_id") == F.col("_k"))
-    keys = keyed.select("_id", "_h").distinct().orderBy(F.xxhash64(F.lit(7), "_id", "_h"), "_id").limit(2 * max_labelled).withColumnsRenamed({"_id": "_i2", "_h": "_h2"})
-    taught = keyed.join(F.broadcast(keys), (F.col("_id") == F.col("_i2")) & (F.col("_h") == F.col("_h2")))
-    sample = written(taught.groupBy("_id", "_h", "_y").agg(F.min("_t").alias("_t"), F.min(F.struct("_lang", "_src", "_n")).alias("m")).select("_id", "_h", "_y", "_t", "m._lang", "m._src", "m._n"), "sample")
+    sample = written(examples(base, labels.filter(~held_out(id_col)), id_col, label_col, max_labelled, 7), "sample")
     known = _known(sample)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

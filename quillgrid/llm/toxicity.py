@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkernel as K
+from .shared import written
+from .telling import examples, telling_terms
 
 U64 = np.uint64
 #: Hash space of terms; terms that the machine keeps; factors of a term; labelled rows it is fitted on at most.
@@ -33,42 +35,32 @@ def terms(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(docs), np.concatenate(ids)
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for at in range(0, b.num_rows, SLICE):
-            part = b.slice(at, SLICE)
-            doc, ids = terms(part.column(1))
-            key = np.unique(doc * BUCKETS + ids)
-            cut = np.searchsorted(key, np.arange(part.num_rows + 1) * BUCKETS)
-            found = (key % BUCKETS).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([found[cut[i] : cut[i + 1]].tobytes() for i in range(part.num_rows)], pa.binary())], names=["y", "r", "x"])
+def _chosen(ids: np.ndarray):
+    """y and, of each text, the places in ``ids`` of the terms that it holds."""
+    at = np.full(BUCKETS, -1, np.int32)
+    at[ids] = np.arange(len(ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, SLICE):
+                part = b.slice(lo, SLICE)
+                doc, term = terms(part.column(1))
+                place = at[term]
+                key = np.unique(doc[place >= 0] * TERMS + place[place >= 0])
+                cut = np.searchsorted(key, np.arange(part.num_rows + 1) * TERMS)
+                found = (key % TERMS).astype(np.uint16)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([found[cut[i] : cut[i + 1]].tobytes() for i in range(part.num_rows)], pa.binary())], names=["y", "x"])
+
+    return run
 
 
-def fit(xs: list[np.ndarray], y: np.ndarray, seed: int = 5, epochs: int = 40) -> dict[str, np.ndarray]:
-    """Log loss, AdaGrad, mini-batches. Terms are the TERMS buckets that tell most about the label (G-test), held by two rows or more."""
+def fit(xs: list[np.ndarray], y: np.ndarray, ids: np.ndarray, seed: int = 5, epochs: int = 40) -> dict[str, np.ndarray]:
+    """Log loss, AdaGrad, mini-batches. ``ids``: the buckets of the terms that the machine keeps; xs: their places in each text."""
     n, pos = len(y), int(y.sum())
     prior = (pos + 0.5) / (n + 1)
     w0 = np.float64(np.log(prior / (1 - prior)))
-    none = {"ids": np.zeros(0, np.int64), "w": np.zeros(0, np.float32), "v": np.zeros((0, FACTORS), np.float32), "w0": w0}
-    if not n or pos in (0, n):
-        return none
-    with_pos, all_rows = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for x, t in zip(xs, y, strict=True):
-        all_rows[x] += 1
-        if t:
-            with_pos[x] += 1
-    a, r = with_pos, all_rows
-    g = np.zeros(BUCKETS)
-    for got, mean in ((a, r * pos / n), (r - a, r * (n - pos) / n), (pos - a, (n - r) * pos / n), (n - pos - r + a, (n - r) * (n - pos) / n)):
-        ok = (got > 0) & (mean > 0)
-        g[ok] += 2 * got[ok] * np.log(got[ok] / mean[ok])
-    g[(r < 2) | (g < 5)] = 0
-    ids = np.sort(np.lexsort((np.arange(BUCKETS), -g))[: min(TERMS, int((g > 0).sum()))])
-    if not len(ids):
-        return none
-    at = np.full(BUCKETS, -1, np.int64)
-    at[ids] = np.arange(len(ids))
-    xs = [(z := at[x])[z >= 0] for x in xs]
+    if not len(ids) or pos in (0, n):
+        return {"ids": np.zeros(0, np.int64), "w": np.zeros(0, np.float32), "v": np.zeros((0, FACTORS), np.float32), "w0": w0}
     rng = np.random.Generator(np.random.PCG64(seed))
     w, v = np.zeros(len(ids), np.float32), rng.normal(0, 0.02, (len(ids), FACTORS)).astype(np.float32)
     gw, gv, g0 = np.full(len(ids), 1e-6, np.float32), np.full(v.shape, 1e-6, np.float32), 1e-6
@@ -131,23 +123,18 @@ def held_out(id_col: str = "doc_id", parts: int = 4, rest: int = 2):
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS) -> bytes:
-    """The fitted model. It is learnt from the texts of at most ``max_rows`` labelled ids (those of least keyed hash) that are not held out.
+    """The fitted model, learnt from the texts of at most ``max_rows`` labelled ids that are not held out (see telling.examples).
 
-    Each distinct text of an id is one example, however often its row is repeated. Where ids have many texts, the
-    2 * ``max_rows`` examples of least keyed hash of id and text are taken, whatever their label."""
-    y = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("_k")).agg(F.max(label_col).cast("int").alias("_y"))
-    some = y.orderBy(F.xxhash64(F.lit(5), "_k"), "_k").limit(max_rows)  # max_rows x 12 bytes at most are broadcast
-    texts = docs.join(F.broadcast(some), F.col(id_col) == F.col("_k")).select("_k", "_y", F.coalesce(F.col(text_col), F.lit("")).alias("_t")).distinct()
-    texts = texts.select("_y", "_t", F.xxhash64(F.lit(5), "_k", "_t").alias("_r"))
-    found = texts.mapInArrow(K.releasing(_examples), "y int, r long, x binary").orderBy("r", "x").limit(2 * max_rows).select("y", "x").repartition(1)
+    Its terms are the TERMS buckets that tell most about the label; only their places go to the task that fits it, at most 2 * max_rows rows of 2 * TERMS bytes."""
+    base = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
+    sample = written(examples(base, labels.filter(~held_out(id_col)), id_col, label_col, max_rows, 5), "sample")
+    ids = telling_terms(sample, terms, BUCKETS, TERMS)
+    found = sample.select("_y", "_t").mapInArrow(K.releasing(_chosen(ids)), "y int, x binary").repartition(1)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ys, xs = [], []
-        for b in batches:
-            ys += b.column(0).to_pylist()
-            xs += [np.frombuffer(x, np.int32) for x in b.column(1).to_pylist()]
-        order = sorted(range(len(ys)), key=lambda i: (ys[i], xs[i].tobytes()))  # the same order, however rows arrive
-        yield pa.RecordBatch.from_arrays([pa.array([pack(fit([xs[i] for i in order], np.array([ys[i] for i in order], np.float64)))], pa.binary())], names=["model"])
+        rows = sorted((y, x) for b in batches for y, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))  # the same order, however rows arrive
+        model = fit([np.frombuffer(x, np.uint16).astype(np.int64) for _, x in rows], np.array([y for y, _ in rows], np.float64), ids)
+        yield pa.RecordBatch.from_arrays([pa.array([pack(model)], pa.binary())], names=["model"])
 
     return bytes(found.mapInArrow(K.releasing(train), "model binary").first()[0])
 
@@ -176,7 +163,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, with all their columns: rows are scored where they are, without a join."""
+    """The rows of ``docs`` that score below the threshold, with all their columns: rows are scored where they are, without a join.
+
+    Null and empty texts score the intercept and stay unless that reaches the threshold; their values are kept as they are. Null ids are scored like others,
+    repeated rows stay or go together. Without labels of both kinds all rows have the same score. No rows in, no rows out."""
     model = learn(docs, labels, id_col, text_col, **kw)
     at = docs.columns.index(text_col)
 

@@ -111,6 +111,31 @@ def brute_links(rows):
     return sorted(((rows[a][0], least[find(a)] if rows[a][0] is not None else None, links[a], texts_[a]) for a in range(n)), key=repr)
 
 
+def test_ngram_join_chains_are_split(spark):
+    """Texts that drift, each like the next: one candidate group, verified bucket by bucket, with the links that brute force finds."""
+    words = [f"w{i}" for i in range(1200)]
+    rows = [(i, " ".join(words[6 * i : 6 * i + 60]), "s") for i in range(150)] + [(200 + i, " ".join(words[3 * i : 3 * i + 80]), "s") for i in range(60)]
+    out = ngram_join.ngram_join(frame(spark, rows))
+    assert got(out, "doc_id", "class_id", "n_links", "n_link_texts") == brute_links(rows)
+
+
+def test_ngram_join_recall(spark):
+    """100,000 texts, of which 2,000 have a planted copy at a similarity just above the limit."""
+    r = random.Random(12)
+    rows, want = [], {}
+    for i in range(98_000):
+        w = [f"{r.randrange(1 << 30):x}" for _ in range(r.randint(12, 30))]
+        rows.append((i, " ".join(w), "s"))
+        if i < 2000:
+            w = [f"{r.randrange(1 << 30):x}" for _ in range(60)]
+            near = w[:-11] if i % 2 else [*w, *(f"x{j}" for j in range(14))]  # 45 of 56 or 56 of 70 windows are shared
+            rows[-1] = (i, " ".join(w), "s")
+            rows.append((100_000 + i, " ".join(near), "s"))
+            want[i] = 100_000 + i
+    found = {x.doc_id for x in ngram_join.ngram_join(frame(spark, rows)).filter("n_links > 0 AND doc_id < 100000").select("doc_id").collect()}
+    assert found <= set(want) and len(found) >= 0.999 * len(want)
+
+
 @pytest.mark.parametrize("block", [128, 3])
 def test_ngram_join(spark, odd, monkeypatch, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
