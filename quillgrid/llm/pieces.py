@@ -25,7 +25,7 @@ DROPOUT, SEED = 0.1, 6
 LONG, SLICE_BYTES, SLICE_ROWS = 48, 1 << 21, 4096
 #: Cells of a matrix of units x characters.
 CELLS = 1 << 17
-SPACE, NONE = 0x2581, np.int64(1) << 40
+SPACE, NONE, PAD = 0x2581, np.int32(1 << 30), -9
 
 
 def piece_path(name: str = "piece_bpe_32k.model") -> str:
@@ -76,7 +76,7 @@ class Pieces:
                 at = (at + 1) & self.mask
             self.keys[at], self.made[at] = key, i
         self.pairs = pairs
-        self.rank = np.full(n, NONE, np.int64)
+        self.rank = np.full(n, NONE, np.int32)
         for i, r in order.items():
             self.rank[i] = r
         raw = [bytes([int(names[i][3:5], 16)]) if sp.is_byte(i) else b"" if special[i] else names[i].replace("▁", " ").encode() for i in range(n)]
@@ -116,48 +116,55 @@ def _ranks(p: Pieces, left, right, at, unit, dropout):
     r = np.where(made >= 0, p.rank[np.maximum(made, 0)], NONE)
     if dropout > 0:
         some = np.flatnonzero(made >= 0)
-        skip = _skipped(unit.flat[some] if unit.shape == made.shape else np.broadcast_to(unit, made.shape).flat[some], at.flat[some], made.flat[some], dropout)
-        r.flat[some[skip]] = NONE
+        r[some[_skipped(unit[some], at[some], made[some], dropout)]] = NONE
     return r, made
 
 
-def _segment_short(p: Pieces, sym: np.ndarray, n: np.ndarray, unit: np.ndarray, dropout: float) -> np.ndarray:
-    """sym: units x width, -9 behind the end (changed in place to the segmentation). Returns symbols left of each.
-    In each round every unit makes its best merge: least rank, then leftmost."""
+def _neighbours(p: Pieces, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """sym: units x width, PAD behind the end. Rank and piece of each symbol with the next one, as if none were skipped."""
+    made = np.full(sym.shape, -1, np.int32)
+    made[:, :-1] = p.merge(sym[:, :-1], sym[:, 1:])
+    return np.where(made >= 0, p.rank[np.maximum(made, 0)], NONE), made
+
+
+def _segment_short(p: Pieces, sym: np.ndarray, rank: np.ndarray, made: np.ndarray, unit: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols that are left, and where (units x width). rank, made: see _neighbours; both are written over.
+    In each round every unit makes its best merge: least rank, then leftmost. Symbols stay in their columns and are linked, so a round
+    looks at each rank once and else touches three symbols of a unit."""
     rows, width = sym.shape
-    n = n.copy()
-    if width < 2:
-        return n
-    place = np.broadcast_to(np.arange(width), sym.shape).copy()
-    rank, made = _ranks(p, sym[:, :-1], sym[:, 1:], place[:, :-1], unit[:, None], dropout)
+    s = np.full((rows, width + 1), PAD, np.int32)
+    s[:, :width] = sym
+    alive = sym != PAD
+    if dropout > 0:
+        r, c = np.nonzero(made >= 0)
+        out = _skipped(unit[r], c, made[r, c], dropout)
+        rank[r[out], c[out]] = NONE
+    nxt = np.broadcast_to(np.arange(1, width + 2, dtype=np.int32), (rows, width + 1)).copy()
+    prv = np.broadcast_to(np.arange(-1, width, dtype=np.int32), (rows, width + 1)).copy()
     live = np.arange(rows)
-    s, at, u, m = sym.copy(), place, unit, n.copy()
-    col = np.arange(width)
     while len(live):
         best = rank.argmin(1)
-        one = np.arange(len(live))
-        go = rank[one, best] < NONE
-        if not go.all():
-            done = ~go
-            sym[live[done]] = s[done]
-            n[live[done]] = m[done]
-            live, s, at, u, m, rank, made, best = live[go], s[go], at[go], u[go], m[go], rank[go], made[go], best[go]
-            one = np.arange(len(live))
-            if not len(live):
-                break
-        s[one, best] = made[one, best]
-        take = np.minimum(col + (col > best[:, None]), width - 1)
-        s, at = np.take_along_axis(s, take, 1), np.take_along_axis(at, take, 1)
-        s[:, -1] = -9
-        m -= 1
-        pt = np.minimum(col[:-1] + (col[:-1] > best[:, None]), width - 2)
-        rank, made = np.take_along_axis(rank, pt, 1), np.take_along_axis(made, pt, 1)
-        rank[:, -1] = NONE
-        for k in (best - 1, best):
-            ok = (k >= 0) & (k < width - 1)
-            i, j = one[ok], k[ok]
-            rank[i, j], made[i, j] = _ranks(p, s[i, j], s[i, j + 1], at[i, j], u[i], dropout)
-    return n
+        go = np.flatnonzero(rank[np.arange(len(live)), best] < NONE)
+        if len(go) < 0.7 * len(live):
+            live, rank, made, best = live[go], rank[go], made[go], best[go]
+            go = np.arange(len(live))
+        if not len(go):
+            break
+        g, i = live[go], best[go]
+        j = nxt[g, i]
+        k, h, m = nxt[g, j], prv[g, i], made[go, i]
+        s[g, i] = m
+        alive[g, j] = False
+        rank[go, j] = NONE
+        nxt[g, i] = k
+        prv[g, k] = i
+        before = np.flatnonzero(h >= 0)
+        gb, hb = g[before], h[before]
+        r, found = _ranks(p, np.concatenate([m, s[gb, hb]]), np.concatenate([s[g, k], m[before]]), np.concatenate([i, hb]), np.concatenate([unit[g], unit[gb]]), dropout)
+        n = len(g)
+        rank[go, i], made[go, i] = r[:n], found[:n]
+        rank[go[before], hb], made[go[before], hb] = r[n:], found[n:]
+    return s[:, :width], alive
 
 
 _BITS = (1 << 64) - 1
@@ -238,19 +245,16 @@ def _symbols(p: Pieces, text: str) -> np.ndarray:
     return np.where(s < 0, -cp - 16, s)
 
 
-def _expand(p: Pieces, sym: np.ndarray) -> np.ndarray:
-    """Ids of symbols: characters without a piece become byte pieces."""
-    odd = (sym < 0) | (sym >= p.size)
-    if not odd.any():
-        return sym.astype(np.int32)
+def _bytes_of(p: Pieces, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte pieces of symbols that are no pieces (characters without one), and how many each has."""
     back = {v: k for k, v in p.loose.items()}
-    out = []
-    for v in sym.tolist():
-        if 0 <= v < p.size:
-            out.append(v)
-        else:
-            out += p.byte[list(chr(-v - 16 if v < 0 else back[v]).encode())].tolist()
-    return np.array(out, np.int32)
+    value, which = np.unique(odd, return_inverse=True)
+    lists = [p.byte[list(chr(-v - 16 if v < 0 else back[v]).encode())] for v in value.tolist()]
+    n = np.array([len(x) for x in lists], np.int64)
+    at = K.bounds(n)[:-1]
+    size = n[which]
+    take = np.repeat(at[which] - K.bounds(size)[:-1], size) + np.arange(size.sum())
+    return np.concatenate(lists)[take], size
 
 
 def encode_slice(p: Pieces, b: np.ndarray, o: np.ndarray, key: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
@@ -265,24 +269,31 @@ def encode_slice(p: Pieces, b: np.ndarray, o: np.ndarray, key: np.ndarray, dropo
     size = np.array([len(t) for t in texts], np.int64)
     flat = _symbols(p, "".join(texts))
     at = K.bounds(size)[:-1]
+    own = np.arange(len(texts))  # the distinct unit of each one that is segmented
     if dropout > 0:  # each occurrence is segmented by itself: its key is of the text and its place there
         opens = np.flatnonzero(first)
         place = np.arange(len(h)) - np.repeat(opens, np.diff(np.append(opens, len(h))))
         u = K.mix(h ^ K.mix(key[doc] + place.astype(np.uint64) * U64(0x9E3779B97F4A7C15)))
-        size, at, back = size[back], at[back], np.arange(len(h))
+        own, back = back, np.arange(len(h))
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for lo, hi in ((1, 4), (5, 6), (7, 8), (9, 11), (12, 15), (16, 23), (24, LONG)):
-        rows_all = np.flatnonzero((size >= lo) & (size <= hi))
+        once = np.flatnonzero((size >= lo) & (size <= hi))
+        if not len(once):
+            continue
+        w = np.arange(hi)
+        sym = np.where(w < size[once][:, None], flat[np.minimum(at[once][:, None] + w, len(flat) - 1)], PAD).astype(np.int32)
+        rank, made = _neighbours(p, sym)
+        row_of = np.full(len(texts), -1, np.int64)
+        row_of[once] = np.arange(len(once))
+        rows_all = np.flatnonzero(row_of[own] >= 0)
         step = CELLS // hi
         for cut in range(0, len(rows_all), step):
             rows = rows_all[cut : cut + step]
-            w = np.arange(hi)
-            inside = w < size[rows][:, None]
-            m = np.where(inside, flat[np.minimum(at[rows][:, None] + w, len(flat) - 1)], -9)
-            n = _segment_short(p, m, size[rows], u[rows], dropout)
-            found.append((rows, n, m[w < n[:, None]]))
-    for r in np.flatnonzero(size > LONG):
-        got = _segment_long(p, flat[at[r] : at[r] + size[r]], int(u[r]), dropout)
+            k = row_of[own[rows]]
+            left, alive = _segment_short(p, sym[k], rank[k], made[k], u[rows], dropout)
+            found.append((rows, alive.sum(1), left[alive].astype(np.int64)))
+    for r in np.flatnonzero(size[own] > LONG):
+        got = _segment_long(p, flat[at[own[r]] : at[own[r]] + size[own[r]]], int(u[r]), dropout)
         found.append((np.array([r]), np.array([len(got)]), got))
     rows = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
     syms = np.concatenate([x[2] for x in found]) if found else np.zeros(0, np.int64)
@@ -291,18 +302,16 @@ def encode_slice(p: Pieces, b: np.ndarray, o: np.ndarray, key: np.ndarray, dropo
     odd = (syms < 0) | (syms >= p.size)
     if odd.any():
         grow = np.ones(len(syms), np.int64)
-        bits = [_expand(p, syms[i : i + 1]) for i in np.flatnonzero(odd)]
-        grow[odd] = [len(x) for x in bits]
+        bits, grow[odd] = _bytes_of(p, syms[odd])
         place = K.bounds(grow)
         ids = np.empty(place[-1], np.int32)
-        ids[place[:-1][~odd]] = syms[~odd]
-        for i, x in zip(np.flatnonzero(odd), bits, strict=True):
-            ids[place[i] : place[i + 1]] = x
         owner = np.repeat(owner, grow)
+        plain = np.repeat(~odd, grow)
+        ids[plain], ids[~plain] = syms[~odd], bits
     else:
         ids = syms.astype(np.int32)
-    n_unit = np.bincount(owner, minlength=len(size))
-    begin = np.zeros(len(size), np.int64)  # units lie in the order of ``rows``
+    n_unit = np.bincount(owner, minlength=len(own))
+    begin = np.zeros(len(own), np.int64)  # units lie in the order of ``rows``
     begin[rows] = K.bounds(n_unit[rows])[:-1]
     n_occ = n_unit[back]
     out_at = K.bounds(n_occ)

@@ -311,9 +311,9 @@ def test_pieces_heap_equals_rounds():
     r = random.Random(6)
     for _ in range(150):
         s = pieces._symbols(p, "".join(r.choice("abethonti ,.é日") for _ in range(r.randint(2, 40))))
-        m = s[None, :].copy()
-        n = pieces._segment_short(p, m, np.array([len(s)]), np.array([9], np.uint64), 0.3)
-        assert m[0, : n[0]].tolist() == pieces._segment_long(p, s, 9, 0.3).tolist()
+        m = s[None, :].astype(np.int32)
+        left, alive = pieces._segment_short(p, m, *pieces._neighbours(p, m), np.array([9], np.uint64), 0.3)
+        assert left[alive].tolist() == pieces._segment_long(p, s, 9, 0.3).tolist()
 
 
 def test_quality_classifier(spark):
