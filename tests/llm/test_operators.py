@@ -479,38 +479,63 @@ def test_mixing(spark, odd):
     assert Counter(r.source for r in rows_taken.select("source").collect()) == Counter({s: c for s in names if (c := sum(x.copies for x in out if x._source == s))})
 
 
-@pytest.mark.parametrize("bins", [256, 3])
-def test_pareto_ranks(spark, monkeypatch, bins):
-    """Odds in proportion to size over a whole source, the largest texts for certain, the rest in the order of a plain sort up to the size."""
-    monkeypatch.setattr(mixing, "BINS", bins)
-    r = random.Random(3)
-    rows = [(i, " ".join(["w"] * int(1 + r.lognormvariate(3, 1.2))), ("a", "b", "c", None)[min(3, i % 5)]) for i in range(400)] + [(500, " ".join(["w"] * 9000), "a"), (501, "", "a"), (502, None, None)]
-    out = {x.doc_id: x for x in mixing.mix(frame(spark, rows)).collect()}
-    for s in ("a", "b", "c", None):
-        n = {i: len((t or "").split()) for i, t, src in rows if src == s}
-        whole = math.floor(out[next(iter(n))].target / sum(n.values()))
-        goal = out[next(iter(n))].target - whole * sum(n.values())
+def brute_mix(rows):
+    """{(id, source): (copies, inclusion)} of rows whose ids differ, by plain sorts; targets by rounds of water filling."""
+    n = {(i, s): len(WORD.findall(t or "")) for i, t, s in rows}
+    size = Counter()
+    for (_, s), k in n.items():
+        size[s] += k
+    names = sorted(size, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    target, open_, budget = {}, set(names), 1.5 * sum(size.values())
+    while open_:
+        level = budget / sum(weight[s] for s in open_)
+        over = [s for s in open_ if level * weight[s] >= 2 * size[s]]
+        if not over:
+            target |= {s: level * weight[s] for s in open_}
+            break
+        for s in over:
+            target[s] = 2.0 * size[s]
+            budget -= target[s]
+            open_.discard(s)
+    out = {}
+    for s in names:
+        own = {i: k for (i, x), k in n.items() if x == s}
+        whole = math.floor(target[s] / size[s]) if size[s] else 0
+        goal = target[s] - whole * size[s]
         certain, c = set(), 0.0
         while goal > 0:
-            c = (goal - sum(n[i] for i in certain)) / sum(n[i] ** 2 for i in n if i not in certain)
-            more = {i for i in n if i not in certain and c * n[i] > 1}
+            c = (goal - sum(own[i] for i in certain)) / sum(own[i] ** 2 for i in own if i not in certain)
+            more = {i for i in own if i not in certain and c * own[i] > 1}
             if not more:
                 break
             certain |= more
-        p = {i: 1.0 if i in certain else min(1.0, c * n[i]) for i in n}
-        assert all(math.isclose(out[i].inclusion, p[i], rel_tol=1e-9, abs_tol=1e-12) for i in n)
-        assert math.isclose(sum(p[i] * n[i] for i in n), goal, rel_tol=1e-9, abs_tol=1e-6)  # the target in expectation
+        p = {i: 1.0 if i in certain else min(1.0, c * own[i]) for i in own}
+        assert math.isclose(sum(p[i] * own[i] for i in own), goal, rel_tol=1e-9, abs_tol=1e-6)  # the target in expectation
 
         def rank(i):
-            x = (int(hashlib.md5(f"9|{i}|{n[i]}|{s or '-'}".encode()).hexdigest()[:13], 16) + 0.5) / 16**13
+            x = (int(hashlib.md5(f"9|{i}|{own[i]}|{s or '-'}".encode()).hexdigest()[:13], 16) + 0.5) / 16**13
             return 0 if p[i] == 1 else x / (1 - x) * (1 - p[i]) / p[i]
 
         upto, extra = 0, set()
-        for i in sorted((i for i in n if p[i] > 0), key=rank):
-            if p[i] == 1 or upto + n[i] / 2 <= goal:
+        for i in sorted((i for i in own if p[i] > 0), key=rank):
+            if p[i] == 1 or upto + own[i] / 2 <= goal:
                 extra.add(i)
-            upto += n[i]
-        assert {i: out[i].copies for i in n} == {i: (whole + (i in extra)) if n[i] else 0 for i in n}
+            upto += own[i]
+        out |= {(i, s): ((whole + (i in extra)) if own[i] else 0, p[i]) for i in own}
+    return out
+
+
+@pytest.mark.parametrize("bins", [256, 3])
+def test_pareto_ranks(spark, monkeypatch, bins):
+    """Odds in proportion to size over a whole source, the largest texts for certain, the rest in the order of a plain sort up to the size."""
+    monkeypatch.setattr(mixing, "BINS", bins)
+    r = random.Random(3)
+    rows = [(i, " ".join(["w"] * int(1 + r.lognormvariate(3, 1.2))), ("a", "b", "c", None)[min(3, i % 5)]) for i in range(400)] + [(500, " ".join(["w"] * 9000), "a"), (501, "", "a"), (502, None, None)]
+    want = brute_mix(rows)
+    for x in mixing.mix(frame(spark, rows)).collect():
+        copies, p = want[x.doc_id, x._source]
+        assert x.copies == copies and math.isclose(x.inclusion, p, rel_tol=1e-9, abs_tol=1e-12)
 
 
 def test_take_mix_repeated_rows(spark):
@@ -625,3 +650,78 @@ def test_shared_folder_must_be_set_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         shared.shared_dir(Cluster())
+
+
+def test_toxicity_scores_by_hand(spark):
+    """The machine's output is intercept + weights of the text's terms + an inner product for each pair of them."""
+    r = random.Random(4)
+    rows = [(i, " ".join(r.choice(["ban", "celt", "dist", "for", "gumber", "clot" if i % 3 == 0 else "clan"]) for _ in range(25)), "s") for i in range(300)]
+    labels = spark.createDataFrame([(i, int("clot" in t)) for i, t, _ in rows], "doc_id long, toxic int")
+    m = toxicity.unpack(toxicity.learn(frame(spark, rows), labels))
+    assert len(m["ids"]) >= 2
+    at = {int(k): i for i, k in enumerate(m["ids"])}
+    got_ = toxicity.predict(m, pa.array([t for _, t, _ in rows[:20]]))
+    for (_, t, _), p in zip(rows[:20], got_):
+        own = sorted({at[int(k)] for k in toxicity.terms(pa.array([t]))[1] if int(k) in at})
+        z = float(m["w0"]) + sum(float(m["w"][i]) for i in own) + sum(float(m["v"][i].astype(float) @ m["v"][j].astype(float)) for a, i in enumerate(own) for j in own[:a])
+        assert math.isclose(p, 1 / (1 + math.exp(-z)), rel_tol=1e-5)
+
+
+def cotrained(seed=11):
+    """Texts in which each document holds few of many telling words, and a source that tells most of the quality: (rows, labels, truth)."""
+    r = random.Random(seed)
+    rows, truth = [], {}
+    for i in range(1600):
+        good = r.random() < 0.5
+        words = [r.choice([f"n{j}x" for j in range(60)]) for _ in range(30)] + [f"{'g' if good else 'b'}{r.randrange(40)}t" for _ in range(2)]
+        r.shuffle(words)
+        rows.append((i, " ".join(words), r.choice(["s0", "s1", "s2"] if good == (r.random() < 0.9) else ["s3", "s4", "s5"])))
+        truth[i] = int(good)
+    return rows, [(i, truth[i]) for i in range(160)], truth
+
+
+def test_cotraining_against_one_process(spark):
+    """The distributed sums give the model that one process fits over all rows, and both views together beat the labelled-only text view."""
+    rows, lab, truth = cotrained()
+    C = quality_classifier
+    df, labels = frame(spark, rows), spark.createDataFrame(lab, "doc_id long, quality int")
+    out = {x.doc_id: x for x in C.quality_classifier(df, labels).collect()}
+    base = df.select(F.col("doc_id").alias("_id"), F.col("text").alias("_t"), F.col("lang").alias("_lang"), F.col("source").alias("_src"), F.col("n_chars").alias("_n"))
+    sample = C.examples(base, labels.filter(~toxicity.held_out("doc_id")), "doc_id", "quality", C.MAX_LABELLED, 7).cache()
+    known = C._known(sample)
+    assert len(known["terms"]) > 5 and known["sources"] == ["s0", "s1", "s2", "s3", "s4", "s5"]
+    part = lambda rs: pa.RecordBatch.from_arrays([pa.array([t for _, t, _ in rs]), pa.array(["en"] * len(rs)), pa.array([s for *_, s in rs]), pa.array([None] * len(rs), pa.int64())], names=list("tlsn"))
+    held = {r._id for r in sample.select("_id").collect()}
+    own = sorted((truth[i], C.measured(part([rows[i]]), known)[0].as_py()) for i in held)
+    order = np.random.Generator(np.random.PCG64(7)).permutation(len(own))
+    x, y = C.views(pa.array([own[i][1] for i in order]), known), np.array([own[i][0] for i in order], float)
+    free = C.views(C.measured(part([r for r in rows if r[0] >= 160]), known), known)
+
+    def others(now):
+        z = [(v - m) / s for v, m, s in zip(free, now["mean"], now["sd"])]
+        return [C._sums(z[i][t >= 0], t[t >= 0], C.PSEUDO, now["at"][i]) for i, t in enumerate(C._given(tuple(z), now["past"]))]
+
+    every = C.views(C.measured(part(rows), known), known)
+    want = C.predict(C.fit(x, y, others), every)
+    assert np.allclose([out[i].score for i in range(1600)], want[0], atol=1e-4)
+    assert np.allclose([out[i].score_text for i in range(1600)], want[1], atol=1e-4)
+    none = lambda now: [np.zeros(len(w) * (len(w) + 1) + 3) for w in now["at"]]
+    alone = C.predict(C.fit(x, y, none, rounds=0), every)[1]
+    truth_ = np.array([truth[i] for i in range(160, 1600)])
+
+    def auc(score):
+        rank = np.argsort(np.argsort(score))
+        n = truth_.sum()
+        return (rank[truth_ == 1].sum() - n * (n - 1) / 2) / (n * (len(truth_) - n))
+
+    assert auc(want[0][160:]) > auc(alone[160:]) + 0.02
+
+
+def test_one_round_by_hand():
+    """A view labels for the other one the rows of which it is sure; the first label stays."""
+    x = (np.array([[4.0], [-4.0], [0.1], [9.0]]), np.array([[0.0], [5.0], [-5.0], [0.0]]))
+    first, second = [np.array([1.0, 0.0]), np.array([1.0, 0.0])], [np.array([-1.0, 0.0]), np.array([1.0, 0.0])]
+    to_text, to_page = quality_classifier._given(x, [first])
+    assert to_text.tolist() == [-1, 1, 0, -1] and to_page.tolist() == [1, 0, -1, 1]
+    to_text, to_page = quality_classifier._given(x, [first, second])
+    assert to_text.tolist() == [-1, 1, 0, -1] and to_page.tolist() == [1, 0, -1, 1]
