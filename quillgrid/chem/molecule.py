@@ -1,7 +1,7 @@
 """SMILES to a molecular graph, and what is read off that graph.
 
 Canonical strings are consistent within this engine (equal graphs give equal strings); they are not
-those of any other toolkit. Double-bond geometry is read and not kept.
+those of any other toolkit. Geometry of double bonds is kept where it is written, outside rings of fewer than eight atoms.
 """
 
 from __future__ import annotations
@@ -45,6 +45,8 @@ class Mol:
     atoms: list[Atom]
     bonds: dict[tuple[int, int], float]  # (low, high) -> order, 1.5 where written as aromatic
     near: list[list[int]]
+    #: Double bond (low, high) -> a neighbour of each end, and whether both lie on the same side.
+    geometry: dict[tuple[int, int], tuple[int, int, bool]] = field(default_factory=dict)
 
     def order(self, a: int, b: int) -> float:
         return self.bonds[min(a, b), max(a, b)]
@@ -53,9 +55,10 @@ class Mol:
 def parse(text: str) -> Mol:
     atoms: list[Atom] = []
     bonds: dict[tuple[int, int], float | None] = {}
-    rings: dict[int, tuple[int, float | None, int]] = {}
+    rings: dict[int, tuple[int, float | None, int, str]] = {}
+    slants: dict[tuple[int, int], int] = {}
     stack: list[int] = []
-    last, bond, i, n = -1, None, 0, len(text)
+    last, bond, i, n, slash = -1, None, 0, len(text), ""
     just_opened = False
 
     def join(a: int, b: int, order: float | None) -> None:
@@ -63,19 +66,25 @@ def parse(text: str) -> Mol:
             raise Bad("bond repeated")
         bonds[min(a, b), max(a, b)] = order
 
+    def lean(a: int, b: int, mark: str) -> None:
+        """mark: how the bond from a to b was written; "/" goes up."""
+        if mark and (a, b) not in slants:
+            slants[a, b], slants[b, a] = (1, -1) if mark == "/" else (-1, 1)
+
     def attach(atom: Atom) -> None:
-        nonlocal last, bond, just_opened
+        nonlocal last, bond, just_opened, slash
         atoms.append(atom)
         k = len(atoms) - 1
         if last >= 0:
             join(last, k, bond)
+            lean(last, k, slash)
             atoms[last].around.append(k)
             atom.around.append(last)
         elif bond is not None:
             raise Bad("bond without an atom")
         if atom.h:
             atom.around.append(-1)
-        last, bond, just_opened = k, None, False
+        last, bond, just_opened, slash = k, None, False, ""
 
     while i < n:
         ch = text[i]
@@ -107,7 +116,7 @@ def parse(text: str) -> Mol:
         elif ch in ORDERS:
             if bond is not None or last < 0:
                 raise Bad("bond")
-            bond = ORDERS[ch]
+            bond, slash = ORDERS[ch], ch if ch in "/\\" else ""
             i += 1
         elif ch == "(":
             if last < 0 or bond is not None:
@@ -131,16 +140,18 @@ def parse(text: str) -> Mol:
                 raise Bad("ring label")
             k = int(label)
             if k in rings:
-                a, first, at = rings.pop(k)
+                a, first, at, mark = rings.pop(k)
                 if first is not None and bond is not None and first != bond:
                     raise Bad("ring bond")
                 join(a, last, first if first is not None else bond)
+                lean(a, last, mark)
+                lean(last, a, slash)
                 atoms[a].around[at] = last
                 atoms[last].around.append(a)
             else:
-                rings[k] = (last, bond, len(atoms[last].around))
+                rings[k] = (last, bond, len(atoms[last].around), slash)
                 atoms[last].around.append(-2)
-            bond = None
+            bond, slash = None, ""
             i += 3 if ch == "%" else 1
         else:
             raise Bad(f"character {ch!r}")
@@ -154,6 +165,10 @@ def parse(text: str) -> Mol:
         whole[a, b] = o if o is not None else 1.5 if atoms[a].aromatic and atoms[b].aromatic else 1
     mol = Mol(atoms, whole, near)
     _sanitise(mol)
+    for (a, b), o in mol.bonds.items() if slants else ():
+        x, y = (next((j for j in near[p] if j != q and (p, j) in slants), None) for p, q in ((a, b), (b, a)))
+        if o == 2 and x is not None and y is not None:
+            mol.geometry[a, b] = (x, y, slants[a, x] == slants[b, y])
     return mol
 
 
@@ -420,13 +435,46 @@ def canonical(mol: Mol, only: list[int] | None = None) -> str:
     arom, arom_bonds = aromatic_atoms(mol, rings)
     rank = _ranks(mol, arom, arom_bonds, True)
     same = _ranks(mol, arom, arom_bonds, False)
+    tight = {frozenset(e) for r in rings if len(r) < 8 for e in zip(r, r[1:] + r[:1], strict=True)}
+    differ = lambda p, q: len({same[j] for j in mol.near[p] if j != q}) == len(mol.near[p]) - 1
+    firm = {e for e in mol.geometry if e not in arom_bonds and frozenset(e) not in tight and differ(*e) and differ(*e[::-1])}
     parts = []
     for frag in fragments(mol) if only is None else [only]:
-        parts.append(_write(mol, min(frag, key=lambda a: (len(mol.near[a]) > 1, rank[a])), rank, same, arom, arom_bonds))
+        parts.append(_write(mol, min(frag, key=lambda a: (len(mol.near[a]) > 1, rank[a])), rank, same, arom, arom_bonds, firm))
     return ".".join(sorted(parts))
 
 
-def _write(mol: Mol, root: int, rank: list[int], same: list[int], arom: set[int], arom_bonds: set[tuple[int, int]]) -> str:
+def _slants(mol: Mol, firm: set[tuple[int, int]], parent: dict[int, int], children: dict[int, list[int]], root: int) -> dict[tuple[int, int], int]:
+    """For bonds beside double bonds whose geometry counts, 1 where the way from the first to the second atom is written "/", -1 for the other mark.
+
+    Double bonds are taken in the order in which they are written; the first mark of each group is "/"."""
+    place, todo = {}, [root]
+    while todo:
+        a = todo.pop()
+        place[a] = len(place)
+        todo += reversed(children.get(a, []))
+    slant: dict[tuple[int, int], int] = {}
+
+    def beside(p: int, q: int) -> int:
+        """The neighbour of p whose bond carries a mark: one that has it, else that before p, else the first behind it."""
+        around = [j for j in [parent[p], *children.get(p, []), *mol.near[p]] if j >= 0 and j != q and mol.order(p, j) == 1]
+        return next((j for j in around if (p, j) in slant), around[0])
+
+    for a, b in sorted((e for e in firm if e[0] in place), key=lambda e: sorted((place[e[0]], place[e[1]]))):
+        x, y, cis = mol.geometry[a, b]
+        if place[a] > place[b]:
+            a, b, x, y = b, a, y, x
+        p, q = beside(a, b), beside(b, a)
+        if (a, p) not in slant:
+            up = -1 if p == parent[a] else 1
+            slant[a, p], slant[p, a] = up, -up
+        if (b, q) not in slant:
+            up = slant[a, p] * (1 if p == x else -1) * (1 if cis else -1) * (1 if q == y else -1)
+            slant[b, q], slant[q, b] = up, -up
+    return slant
+
+
+def _write(mol: Mol, root: int, rank: list[int], same: list[int], arom: set[int], arom_bonds: set[tuple[int, int]], firm: set[tuple[int, int]]) -> str:
     closures: dict[int, list[int]] = {}
     children: dict[int, list[int]] = {}
     seen: set[int] = set()
@@ -453,6 +501,7 @@ def _write(mol: Mol, root: int, rank: list[int], same: list[int], arom: set[int]
             break
         else:
             on.pop()
+    slant = _slants(mol, firm, parent, children, root) if firm else {}
     label: dict[tuple[int, int], int] = {}
     free = list(range(99, 0, -1))
     out: list[str] = []
@@ -482,6 +531,8 @@ def _write(mol: Mol, root: int, rank: list[int], same: list[int], arom: set[int]
         if e in arom_bonds:
             return ""
         o = mol.order(a, b)
+        if (a, b) in slant:
+            return "/" if slant[a, b] > 0 else "\\"
         return {1: "-" if a in arom and b in arom else "", 2: "=", 3: "#", 4: "$"}[int(o)]
 
     todo: list = [root]

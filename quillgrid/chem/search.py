@@ -62,34 +62,41 @@ def mass_search(text: str, lo: float, hi: float, states: int = STATES, substitut
     ahead = [0] * (n + 1)
     for i in range(n - 1, -1, -1):
         ahead[i] = ahead[i + 1] + (text[i] == ")")
-    tie = itertools.count()
-    frontier: list[tuple] = [(0.0, 0, next(tie), "", P.START, 0, 0, 0, 0)]
+    emits = [[(w, c, int(w != ch)) for w, c in (EMIT.get(ch, {ch: 0.0}) if substitute else {ch: 0.0}).items()] for ch in text]
+    walk, inserts = _Walk(), {}
+    # A state's text is what its parent's is, and one piece; only the end of it, on which costs depend, goes with the state.
+    parent, piece = [-1], [""]
+    frontier: list[tuple] = [(0.0, 0, 0, 0, 0, 0, 0, 0, "")]
     seen = 0
     while frontier:
-        _, _, _, done, auto, i, ins, subs, dels = item = heapq.heappop(frontier)
-        cost = item[1] / 1e9
+        _, spent, me, auto, i, ins, subs, dels, end = heapq.heappop(frontier)
+        cost = spent / 1e9
         if seen >= states:
             return out | {"states": seen, "trace": "state_budget_hit"}
         seen += 1
-        if i == n and P.complete(auto):
-            fp = judged(done, lo, hi, least_ring=least_ring)
+        if i == n and P.complete(walk.states[auto]):
+            fp = judged(_spelt(me, parent, piece), lo, hi, least_ring=least_ring)
             if fp:
                 return out | {"smiles": fp["canonical"], "mass": fp["exact_mass"], "formula": fp["formula"], "largest_ring": fp["largest_ring"], "inserts": ins, "subs": subs, "dels": dels, "states": seen, "trace": "accepted"}
-        steps: list[tuple[str, float, int, int, int, int]] = []
+        known = walk.steps[auto]
+
+        todo = []
         if i < n:
-            options = EMIT.get(text[i], {text[i]: 0.0}) if substitute else {text[i]: 0.0}
-            steps += [(w, c, 1, 0, int(w != text[i]), 0) for w, c in options.items()]
+            todo = [(w, c, i + 1, ins, subs + changed, dels) for w, c, changed in emits[i]]
             if delete and dels < MOST_DELETES:
-                steps.append(("", DELETE, 1, 0, 0, 1))
+                todo.append(("", DELETE, i + 1, ins, subs, dels + 1))
         if ins < most_inserts:
-            steps += [(c, insert_cost(c, done), 0, 1, 0, 0) for c in INSERTABLE]
-        for w, c, move, a, b, d in steps:
-            nxt = P.run(w, auto)
-            if nxt is None:
-                continue
-            total = cost + c
-            rest = 0.02 * max(0, ahead[i + move] - nxt.depth)
-            heapq.heappush(frontier, (total + rest, int(round(total * 1e9)), next(tie), done + w, nxt, i + move, ins + a, subs + b, dels + d))
+            if end not in inserts:
+                inserts[end] = [(c, insert_cost(c, end)) for c in INSERTABLE]
+            todo += [(w, c, i, ins + 1, subs, dels) for w, c in inserts[end]]
+        for w, c, at, a, b, d in todo:
+            nxt = known[w] if w in known else walk.step(auto, w)
+            if nxt is not None:
+                total = cost + c
+                rest = 0.02 * max(0, ahead[at] - walk.depth[nxt])
+                heapq.heappush(frontier, (total + rest, round(total * 1e9), len(piece), nxt, at, a, b, d, (end + w)[-2:]))
+                parent.append(me)
+                piece.append(w)
         left = states - seen
         if len(frontier) > 1.25 * left + 1000:  # what lies behind is never popped
             frontier.sort()
@@ -97,6 +104,31 @@ def mass_search(text: str, lo: float, hi: float, states: int = STATES, substitut
     return out | {"states": seen, "trace": "no_mass_matching_candidate"}
 
 
+class _Walk:
+    """States of the automaton by number, and the steps between them that have been asked for."""
+
+    def __init__(self) -> None:
+        self.number, self.states, self.depth, self.steps = {P.START: 0}, [P.START], [P.START.depth], [{}]
+
+    def step(self, state: int, w: str) -> int | None:
+        got = P.run(w, self.states[state])
+        if got is not None and got not in self.number:
+            self.number[got] = len(self.states)
+            self.states.append(got)
+            self.depth.append(got.depth)
+            self.steps.append({})
+        self.steps[state][w] = None if got is None else self.number[got]
+        return self.steps[state][w]
+
+
+def _spelt(at: int, parent: list[int], piece: list[str]) -> str:
+    out = []
+    while at >= 0:
+        out.append(piece[at])
+        at = parent[at]
+    return "".join(reversed(out))
+
+
 def searchable(text: str, has_mass: bool, has_ion: bool) -> str:
     """Why a row is not searched, or an empty text."""
     if not text:

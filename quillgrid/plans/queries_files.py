@@ -223,6 +223,18 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comp.join(a, F.col("cmpd_id") == F.col("_k"), "left").select("cmpd_id", "smiles", F.substring_index("page", "/", -1).alias("page"), "mdm2", "mkl1")
 
 
+@query(f"{_COMPOUNDS} SELECT CAST(number AS VARCHAR) AS cmpd_id, smiles, 'True' AS is_valid, page AS source_image, coalesce(CASE WHEN number % 5 <> 4 THEN substr('ABCDE', CAST(1 + number % 5 AS INT), 1) END, '') AS mdm2, 'printed_ocr' AS smiles_best_source, 'balanced' AS ocr_difficulty, 'page09.png' AS failed FROM s")
+def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way from page images to the delivered table, with a stand-in for the reading model; the page that failed is reported."""
+    from .flows import full_run as run
+
+    n = _nations(spark, sf_dir).select(F.concat(F.lit("page"), F.lpad(F.col("k").cast("string"), 2, "0"), F.lit(".png")).alias("name"), "k")
+    rows, failed = run(spark, _made(n, files.workspace(spark), _page), profile("WO2022251372"), lambda: lambda g: [("line", _stamped(g), 1), ("ch", _stamped(g), 1)])
+    bad = failed.agg(F.array_join(F.array_sort(F.collect_list(F.substring_index("path", "/", -1))), ",").alias("failed")).withColumn("_one", F.lit(1))
+    x = rows.select("cmpd_id", "smiles", "is_valid", F.substring_index("source_image", "/", -1).alias("source_image"), "mdm2", "smiles_best_source", "ocr_difficulty", F.lit(1).alias("_one"))
+    return x.join(bad, "_one").drop("_one")
+
+
 @query("SELECT n_nationkey AS k, CASE n_nationkey % 4 WHEN 0 THEN 'dense' WHEN 1 THEN 'smiles' WHEN 2 THEN 'activity' ELSE 'dense' END AS layout, CASE n_nationkey % 4 WHEN 1 THEN 3 WHEN 2 THEN 7 ELSE 6 END AS columns, CASE n_nationkey % 4 WHEN 3 THEN 3 WHEN 1 THEN 3 WHEN 2 THEN 7 ELSE 6 END AS first_row, CASE n_nationkey % 4 WHEN 1 THEN 425 WHEN 2 THEN 115 ELSE 173 END AS last_width FROM nation")
 def cropped_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Images of one table each: layout by heading or by rules, edges drawn to rules, a first row of its own."""

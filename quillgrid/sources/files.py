@@ -72,6 +72,13 @@ def write_cells(df: DataFrame, folder: str, route: str, as_json: bool = False) -
     return write_csv(x, f"{folder}/csv", x.columns)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again, before the files that it comes from are written over."""
+    path = f"{workspace(df.sparkSession)}/kept"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_each(df: DataFrame, folder: str) -> DataFrame:
     """Writes each row's ``content`` to a file ``name`` of a folder that driver and executors share; rows (name, path). A file is written
     whole under another name first, so a task that runs again leaves no half file. The result is to be used: it is what does the work."""

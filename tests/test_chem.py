@@ -90,6 +90,19 @@ def test_canonical_does_not_depend_on_writing():
     assert M.canonical_text("N[C@@H](C)C(=O)O") != M.canonical_text("N[C@H](C)C(=O)O")
 
 
+def test_geometry_of_double_bonds():
+    same = [("F/C=C/F", "F\\C=C\\F"), ("F/C=C\\F", "C(/F)=C/F"), ("C/C=C/C=C/O", "O/C=C/C=C/C"), ("OC/C(N)=C/Cl", "Cl/C=C(\\N)CO"), ("C/1=C/CCCCCCCC1", "C1CCCC/C=C\\CCC1")]
+    for a, b in same:
+        assert M.canonical_text(a) == M.canonical_text(b), (a, b, M.canonical_text(a), M.canonical_text(b))
+    other = [("F/C=C/F", "F/C=C\\F"), ("C/C=C/C=C/O", "C/C=C/C=C\\O"), ("C/C=C/C=C/O", "C/C=C\\C=C/O"), ("Cl/C=C(/N)CO", "Cl/C=C(\\N)CO"), ("C/1=C/CCCCCCCC1", "C1CCCC/C=C/CCC1")]
+    for a, b in other:
+        assert M.canonical_text(a) != M.canonical_text(b)
+    for s in {x for p in same + other for x in p}:
+        again = M.canonical_text(s)
+        assert M.canonical_text(again) == again
+    assert M.canonical_text("C/C(C)=C/C") == M.canonical_text("CC(C)=CC") and M.canonical_text("C1/C=C\\CCC1") == M.canonical_text("C1C=CCCC1")
+
+
 def test_shuffled_writings():
     mol, r = M.read(PEPTIDE), random.Random(1)
     n = len(mol.atoms)
@@ -98,7 +111,7 @@ def test_shuffled_writings():
         rank = list(range(n))
         r.shuffle(rank)
         arom, ab = M.aromatic_atoms(mol, M.smallest_rings(mol))
-        text = M._write(mol, start, rank, M._ranks(mol, arom, ab, False), arom, ab)
+        text = M._write(mol, start, rank, M._ranks(mol, arom, ab, False), arom, ab, set())
         assert M.canonical_text(text) == M.canonical(mol)
 
 
