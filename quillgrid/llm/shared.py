@@ -10,6 +10,10 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of a row group: what a task holds while it writes.
+ROW_GROUP = 16 << 20
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name under ``spark.checkpoint.dir``. Where the setting is absent on a single machine (tests), a
     folder of this process is made and set as checkpoint directory; on a cluster its absence is an error."""
@@ -26,7 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` written to the shared folder and read again: later stages don't depend on executors' local files."""
     path = f"{shared_dir(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
