@@ -110,9 +110,10 @@ def _mixed(sized: DataFrame, weights: tuple[float, ...], share: float, most: flo
     # Words of certain texts count first, then bins of ranks, until the size is reached.
     certain = rows.filter("inclusion = 1").groupBy("_src").agg(F.sum("_n").alias("_sure")).withColumnRenamed("_src", "_s5")
     left = plan.join(certain, F.col("_s4").eqNullSafe(F.col("_s5")), "left").select("_s4", (F.col("_left") - F.coalesce("_sure", F.lit(0))).alias("_goal"))
-    edge1 = _edge(rows.filter("_rank IS NOT NULL"), "_b1", left.select(F.col("_s4").alias("_s6"), "_goal"))
+    # Edges have one row for each source; written, they are of known size when the rows are joined, and a few sources need no shuffle by source.
+    edge1 = written(_edge(rows.filter("_rank IS NOT NULL"), "_b1", left.select(F.col("_s4").alias("_s6"), "_goal")), "edges")
     at = rows.join(edge1.select(F.col("_src").alias("_s7"), F.col("_b1").alias("_e1"), F.col("_goal").alias("_goal1")), F.col("_src").eqNullSafe(F.col("_s7")), "left")
-    edge2 = _edge(at.filter("_b1 = _e1"), "_b2", edge1.select(F.col("_src").alias("_s6"), "_goal"))
+    edge2 = written(_edge(at.filter("_b1 = _e1"), "_b2", edge1.select(F.col("_src").alias("_s6"), "_goal")), "edges")
     at = at.join(edge2.select(F.col("_src").alias("_s8"), F.col("_b2").alias("_e2"), F.col("_goal").alias("_goal2")), F.col("_src").eqNullSafe(F.col("_s8")), "left")
     sure = F.when(p == 1, 1).when(F.col("_rank").isNull(), 0).when(F.col("_e1").isNull(), 1).when(F.col("_b1") != F.col("_e1"), (F.col("_b1") < F.col("_e1")).cast("int"))
     sure = sure.when(F.col("_e2").isNull(), 1).when(F.col("_b2") != F.col("_e2"), (F.col("_b2") < F.col("_e2")).cast("int"))
@@ -147,11 +148,8 @@ def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
     own = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_src"), n_words(text_col).alias("_n"), _tie(docs).alias("_tie"))
     taken = _mixed(written(own, "sizes"), weights, share, most, seed).filter("copies > 0")
-    times = taken.groupBy(key(F.col("_id"), F.col("_src"), F.col("_n"), F.col("_tie")).alias("_key")).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).select(F.col("_key").alias("_key2"), "_copies", "_rows")
+    times = taken.groupBy(key(F.col("_id"), F.col("_src"), F.col("_n"), F.col("_tie")).alias("_key2")).agg(F.sum("copies").cast("int").alias("_c"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("_row"), key(F.col(id_col), F.col(source_col), n_words(text_col), _tie(docs)).alias("_key"))
-    rows = rows.join(times, F.col("_key") == F.col("_key2"))
-    # A row that stands once, as nearly all do, gives its copies; of several equal rows one in a group gives all.
-    once = rows.filter("_copies % _rows = 0").select("_row", F.expr("_copies / _rows").cast("int").alias("_c"))
-    odd = rows.filter("_copies % _rows <> 0").groupBy("_key").agg(F.first("_row").alias("_row"), F.first("_copies").cast("int").alias("_c")).select("_row", "_c")
-    out = once.unionByName(odd)
-    return out.select("_row", F.explode(F.sequence(F.lit(1), F.col("_c")))).select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    # Equal rows become one within tasks, before they travel.
+    rows = rows.groupBy("_key").agg(F.first("_row").alias("_row")).join(times, F.col("_key") == F.col("_key2"))
+    return rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_c")))).select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
