@@ -22,7 +22,7 @@ U64 = np.uint64
 #: Chance that a candidate merge is skipped.
 DROPOUT, SEED = 0.1, 6
 #: Units of more characters are segmented with a heap; texts are worked through in slices of about so many bytes.
-LONG, SLICE_BYTES, SLICE_ROWS = 48, 1 << 21, 4096
+LONG, SLICE_BYTES, SLICE_ROWS = 48, 1 << 19, 4096
 #: Cells of a matrix of units x characters.
 CELLS = 1 << 17
 SPACE, NONE, PAD = 0x2581, np.int32(1 << 30), -9
