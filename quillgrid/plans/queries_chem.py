@@ -111,6 +111,20 @@ def combined(spark: SparkSession, sf_dir: str, search: bool = False) -> DataFram
     return policy.search_layer(rows) if search else rows
 
 
+@query("""WITH k AS (SELECT p_partkey AS p, p_partkey % 18 AS k, p_partkey % 11 = 5 AS bare, p_partkey % 13 = 7 AS unmeasured FROM part), m AS (SELECT *, k IN (0, 3, 15) AS lost, k IN (9, 12) AS mended, p % 4 = 1 AS printed FROM k WHERE NOT (bare AND unmeasured)),
+v AS (SELECT *, CASE WHEN bare OR lost OR unmeasured THEN 'unknown' WHEN k IN (6, 9) OR p % 5 = 0 THEN 'mismatch' ELSE 'match' END AS verdict FROM m)
+SELECT CAST(p AS VARCHAR) AS cmpd_id, CASE WHEN bare THEN 'not_attempted' WHEN lost THEN 'rejected' WHEN k = 12 AND verdict = 'match' THEN 'validated' WHEN mended THEN 'experimental' ELSE 'not_repaired' END AS repair_review_status,
+ CASE WHEN bare THEN 'no_decimer_output' WHEN lost THEN 'no_repair_found' WHEN mended THEN 'syntax_fix' ELSE '' END AS repair_method, CASE WHEN mended AND NOT bare THEN 'high' ELSE 'none' END AS repair_confidence,
+ CASE WHEN mended AND NOT bare THEN 'True' ELSE 'False' END AS is_repaired, CASE WHEN bare OR lost THEN '' WHEN mended THEN 'repair_syntax_fix' WHEN printed THEN 'printed_ocr' ELSE 'decimer' END AS smiles_best_source, verdict AS ms_check_verdict,
+ CASE WHEN bare OR lost THEN 'no_structure' WHEN printed AND NOT mended THEN CASE WHEN verdict = 'match' THEN 'printed_mass_verified' ELSE 'printed_text' END WHEN verdict = 'match' THEN 'mass_verified' WHEN verdict = 'mismatch' THEN 'mass_mismatch' ELSE 'no_mass_reference' END AS structure_confidence,
+ CASE WHEN NOT unmeasured AND (p % 50 >= 34 OR p % 50 = 0 OR p % 40 > 30) THEN 'partial' ELSE 'ok' END AS data_quality, CASE WHEN bare THEN 'no_ocr' WHEN k = 3 THEN 'light' ELSE 'balanced' END AS ocr_difficulty,
+ CASE WHEN bare THEN '' WHEN lost OR mended THEN 'False' ELSE 'True' END AS is_valid, CASE WHEN bare OR lost OR mended THEN '' ELSE 'True' END AS decimer_macrocycle_intact FROM v""")
+def promotion_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the policy decides for each row of the delivered table."""
+    x = schema.as_text(combined(spark, sf_dir), schema.combined_columns())
+    return x.select("cmpd_id", "repair_review_status", "repair_method", "repair_confidence", "is_repaired", "smiles_best_source", "ms_check_verdict", "structure_confidence", "data_quality", "ocr_difficulty", "is_valid", "decimer_macrocycle_intact")
+
+
 @query()
 def promotion_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The delivered table, all columns as text."""
@@ -126,6 +140,31 @@ def mass_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return policy.search_layer(s).select("p_partkey", "smiles_ocr_repaired", "ocr_repair_trace", "ocr_repair_formula", "ocr_repair_largest_ring")
 
 
+@query("SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'no_ocr' WHEN 1 THEN concat('unsearchable_deficit_', 11 + p_size % 4) WHEN 2 THEN 'no_mass_reference' WHEN 3 THEN 'bad_polarity' ELSE 'ok states=0 in=0 subs=0 dels=0' END AS trace, p_partkey % 5 = 4 AS same FROM part")
+def search_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V9: why a row is not searched, and a text that needs no search."""
+    from ..functions import mass as X
+
+    s = structures(spark, sf_dir).join(t(spark, sf_dir, "part").select(F.col("p_partkey").alias("_k"), "p_size"), F.col("p_partkey") == F.col("_k"))
+    s = policy.with_fingerprint(s, "whole", "fp").select(
+        "p_partkey", F.expr("CASE p_partkey % 5 WHEN 0 THEN ' ' WHEN 1 THEN repeat('(', cast(11 + p_size % 4 as int)) ELSE whole END").alias("smiles"),
+        F.when(F.col("p_partkey") % 5 != 2, F.round(F.col("fp.exact_mass") + X.PROTON, 1)).alias("ms_mz"), F.expr("CASE WHEN p_partkey % 5 = 3 THEN 'odd' ELSE '[M+H]+' END").alias("ms_polarity"), F.col("fp.canonical").alias("c"),
+    )
+    return policy.search_layer(s).select("p_partkey", F.col("ocr_repair_trace").alias("trace"), F.coalesce((F.col("smiles_ocr_repaired") == F.col("c")) & (F.col("p_partkey") % 5 == 4), F.lit(False)).alias("same"))
+
+
+@query(f"WITH {_PARTS} SELECT p_partkey, true AS same, {_FORMULA} AS formula, CAST(3 * nn AS INT) AS ring, 1 AS edits FROM e WHERE p_partkey % 18 IN (3, 12) AND p_partkey % 4 = 0")
+def mass_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that lack a bracket, or have one too many, brought back by one edit under their mass."""
+    from ..functions import mass as X
+
+    s = policy.with_fingerprint(structures(spark, sf_dir).filter("p_partkey % 18 IN (3, 12) AND p_partkey % 4 = 0"), "whole", "fp")
+    s = s.select("p_partkey", F.col("damaged").alias("smiles"), F.round(F.col("fp.exact_mass") + X.PROTON, 1).alias("ms_mz"), F.lit("[M+H]+").alias("ms_polarity"), F.col("fp.canonical").alias("c"))
+    x = policy.search_layer(s)
+    edits = sum((F.regexp_extract("ocr_repair_trace", f"{name}=(\\d+)", 1).cast("int") for name in ("subs", "dels")), F.regexp_extract("ocr_repair_trace", r"in=(\d+)", 1).cast("int"))
+    return x.select("p_partkey", (F.col("smiles_ocr_repaired") == F.col("c")).alias("same"), F.col("ocr_repair_formula").alias("formula"), F.col("ocr_repair_largest_ring").alias("ring"), edits.alias("edits"))
+
+
 def _per_row(df: DataFrame, out: str, work) -> DataFrame:
     """Plain Python over rows in Arrow batches; ``work`` takes a row's values and gives those of the new row."""
     kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}

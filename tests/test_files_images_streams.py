@@ -204,3 +204,93 @@ def test_model_stage(spark):
     cache = spark.createDataFrame([("1", "old"), ("9", "x")], "k string, v string")
     both, new = extract.run_model(work, "k", cache, lambda df: df.withColumn("v", F.lit("new")))
     assert {tuple(r) for r in both.collect()} == {("1", "old"), ("2", "new")} and new.count() == 1
+
+
+def test_targets_and_single_files(spark, tmp_path, monkeypatch):
+    assert files.policy_target("a/t.csv") == "a/t.policy.csv" and files.policy_target("a/t.csv", True) == "a/t.csv"
+    path = tmp_path / "compounds_combined.csv"
+    assert files.writable_target(str(path)) == str(path)
+    path.write_text("x")
+    assert files.writable_target(str(path)) == str(path)
+
+    def locked(*a, **k):
+        raise PermissionError
+
+    monkeypatch.setattr("builtins.open", locked)
+    target = files.writable_target(str(path))
+    monkeypatch.undo()
+    assert target == str(tmp_path / "compounds_combined.new.csv")
+    rows = spark.createDataFrame([("a.bin", b"1"), ("b.bin", b"22")], "name string, content binary")
+    done = files.write_each(rows, f"file://{tmp_path}/each").collect()
+    assert {r.name for r in done} == {"a.bin", "b.bin"} and (tmp_path / "each/b.bin").read_bytes() == b"22" and len(list((tmp_path / "each").iterdir())) == 2
+    assert files.write_csv(rows.select("name"), str(tmp_path / "n"), ("name",)) == 2
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    """cells, and policy beside and over the table, from the command line; the session of the tests is used."""
+    from quillgrid import __main__ as cli
+
+    monkeypatch.setattr(cli, "session", lambda master: spark)
+    monkeypatch.setattr(cli, "named", lambda what: lambda: lambda g: f"{what}{g.shape[0]}")
+    (tmp_path / "img").mkdir()
+    (tmp_path / "img/7.png").write_bytes(I.encode_png(page()))
+    cli.main(["cells", f"{tmp_path}/img", "--out", f"{tmp_path}/cells", "--reader", "m:f", "--json"])
+    assert [(r.cell, r.route, r.smiles) for r in spark.read.csv(f"{tmp_path}/cells/csv", header=True).collect()] == [("7", "padded_vote", "m:f400")]
+    table = spark.createDataFrame([("1", "CCO", "CCO", "", "", "", "")], "cmpd_id string, smiles string, canonical_smiles string, smiles_decimer string, canonical_smiles_decimer string, ms_mz string, ms_polarity string")
+    files.write_csv(table, f"{tmp_path}/t.csv", table.columns)
+    cli.main(["policy", f"{tmp_path}/t.csv"])
+    assert files.read_csv(spark, f"{tmp_path}/t.policy.csv").first().smiles_best == "CCO"
+    cli.main(["policy", f"{tmp_path}/t.csv", "--in-place"])
+    assert files.read_csv(spark, f"{tmp_path}/t.csv").first().smiles_best_source == "printed_ocr"
+    with pytest.raises(SystemExit):
+        cli.main(["run", "x", "--out", "y"])
+
+
+def test_full_run(spark, tmp_path):
+    from quillgrid.plans import flows
+
+    for name in ("p1.png", "p2.png"):
+        (tmp_path / name).write_bytes(I.encode_png(page()))
+    (tmp_path / "p3.png").write_bytes(b"broken")
+    family = profile("WO2022251372")
+    real = extract.cells
+
+    def small(images, **k):
+        return real(images, run=300, line=300, **k)
+
+    try:
+        extract.cells = small
+        rows, failed = flows.full_run(spark, str(tmp_path), family, lambda: lambda g: [("line", "CCO" if g.shape[1] > 180 else str(5), 1)])
+        got = rows.select("cmpd_id", "smiles", "is_valid", "smiles_best").collect()
+    finally:
+        extract.cells = real
+    assert failed.count() == 1 and [(r.cmpd_id, r.smiles_best) for r in got] == [("5", "CCO")] and rows.columns[-6:] == ["mdm2", "mdm4", "molm13", "mv4_11", "waga", "mkl1"]
+
+
+def test_drawings(spark):
+    from quillgrid.chem import draw
+    from quillgrid.chem import molecule as M
+
+    ring = "C1C(=O)" + "NCC(=O)" * 5 + "N1"
+    found = draw.sketch(ring)
+    assert (found["atoms"], found["bonds"], found["opened"]) == (24, 23, True) and not draw.sketch("CCO")["opened"] and draw.sketch("C(") is None
+    mol = M.read(ring)
+    order = draw.macrocycle(mol)
+    assert len(order) == 18 and all(b in mol.near[a] for a, b in zip(order, order[1:] + order[:1]))
+    xy = draw.places(mol, order)
+    assert np.isfinite(xy).all() and np.allclose(xy[order], draw.polygon(18))
+    size = [np.linalg.norm(xy[a] - xy[b]) for a, b in mol.bonds]
+    assert 0.5 < min(size) and max(size) < 3.5
+    assert draw.turns(draw.polygon(24, zigzag=0.0))["std_turn"] < draw.turns(draw.polygon(24))["std_turn"] and draw.turns(np.zeros((2, 2)))["n"] == 2
+    assert draw.svg(ring).count("<line") == 23 + 6 and draw.svg(ring, chain=False).count("<text") == 12 and draw.svg("") is None
+    assert draw.picture("CCO").shape == (360, 520) and (draw.picture("CCO") == 0).any()
+
+
+def test_polar_surface_and_rotatable_bonds():
+    """Published values of common molecules."""
+    from quillgrid.chem import molecule as M
+
+    for s, tpsa, turns in (("CCO", 20.23, 0), ("CC(=O)Oc1ccccc1C(=O)O", 63.6, 3), ("Cn1c(=O)c2c(ncn2C)n(C)c1=O", 61.82, 0), ("NCCc1ccc(O)c(O)c1", 66.48, 2), ("CC(=O)Nc1ccc(O)cc1", 49.33, 1), ("CC#N", 23.79, 0), ("C1CO1", 12.53, 0)):
+        mol = M.read(s)
+        assert abs(M.polar_surface(mol) - tpsa) < 0.02, (s, M.polar_surface(mol))
+        assert M.rotatable_bonds(mol) == turns, (s, M.rotatable_bonds(mol))
