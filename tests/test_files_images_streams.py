@@ -234,7 +234,7 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     monkeypatch.setattr(cli, "named", lambda what: lambda: lambda g: f"{what}{g.shape[0]}")
     (tmp_path / "img").mkdir()
     (tmp_path / "img/7.png").write_bytes(I.encode_png(page()))
-    cli.main(["cells", f"{tmp_path}/img", "--out", f"{tmp_path}/cells", "--reader", "m:f", "--json"])
+    cli.main(["cells", f"{tmp_path}/img", "--out", f"{tmp_path}/cells", "--reader", "m:f", "--json", "--profile", "WO2022251372"])
     assert [(r.cell, r.route, r.smiles) for r in spark.read.csv(f"{tmp_path}/cells/csv", header=True).collect()] == [("7", "padded_vote", "m:f400")]
     table = spark.createDataFrame([("1", "CCO", "CCO", "", "", "", "")], "cmpd_id string, smiles string, canonical_smiles string, smiles_decimer string, canonical_smiles_decimer string, ms_mz string, ms_polarity string")
     files.write_csv(table, f"{tmp_path}/t.csv", table.columns)
