@@ -22,7 +22,7 @@ from .toxicity import held_out
 U64 = np.uint64
 END, BEGIN = U64(0x00000000000000E5), U64(0x00000000000000B6)
 #: The longest n-grams; n-grams are counted in runs of about so many tokens before they leave a task; tokens to a shard.
-ORDER, RUN, SHARD = 3, 4_000_000, 4_000_000
+ORDER, RUN, SHARD = 3, 3_000_000, 4_000_000
 #: More different words are never numbered at once: three numbers of them fit into 64 bits.
 MOST = 1 << 21
 #: A word, or a bucket of pairs, is frequent if it has so large a share of a shard's tokens; buckets of pairs.
@@ -122,13 +122,18 @@ class Vocabulary:
         return out
 
 
+def _small(c: np.ndarray) -> type:
+    if c.dtype == np.uint64:
+        return np.uint64
+    top = int(c.max()) if len(c) else 0
+    return np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.int64
+
+
 def _zip(*cols: np.ndarray) -> bytes:
     """Columns one after the other, each as (item size, length, bytes); small counts take one byte, hashes eight."""
     out = []
     for c in cols:
-        if c.dtype != np.uint64:
-            top = int(c.max()) if len(c) else 0
-            c = c.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.int64)
+        c = c.astype(_small(c), copy=False)
         out += [np.array([c.itemsize if c.dtype != np.uint64 else 9, len(c)], np.int64).tobytes(), c.tobytes()]
         out.append(b"\0" * (-len(out[-1]) % 8))
     return b"".join(out)
@@ -183,6 +188,11 @@ def _kinds(at: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
 START = pair(np.array([FIRST], np.uint64), np.array([FIRST], np.uint64))[0]
 
 
+def _slim(*cols: np.ndarray) -> list[np.ndarray]:
+    """Columns in the smallest type that holds them, as _zip writes them."""
+    return [c.astype(_small(c)) for c in cols]
+
+
 # Sorted arrays. Of a hash, 40 bits are kept besides the number of the shard; a value above 254 lies in arrays of its own.
 
 
@@ -408,35 +418,29 @@ def _merge(folder: str, deal: Deal, base: np.ndarray):
     def finish(key: tuple, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         parts = [_unpack(x) for x in blobs]
         del blobs[:]
-        v, w, c, *rest = (np.concatenate([p[i] for p in parts]) for i in range(len(parts[0])))
+        v3, w3, c, *rest = (np.concatenate([p[i] for p in parts]) for i in range(len(parts[0])))
         del parts
-        word, at = np.unique(np.concatenate([v, w, *rest[:1]]).astype(np.int64), return_inverse=True)
-        v, w, *u = (x.astype(np.uint64) for x in np.split(at, 2 + len(rest[:1])))
-        k, pairs = U64(len(word)), None
-        n_gram = v * k + w
-        if deal.order == 3:
-            if len(word) > MOST:
-                pairs, n_gram = np.unique(n_gram, return_inverse=True)
-            n_gram = n_gram.astype(np.uint64) * k + u[0]
-        del v, w, u, at
-        n_gram, c, *hot_pair = _sum_by(n_gram, c, *rest[1:])
-        two = n_gram // k if deal.order == 3 else n_gram
-        two = two if pairs is None else pairs[two.astype(np.int64)]
-        at = _starts(two)
-        vw = two[at]
-        v, w = word[(vw // k).astype(np.int64)], word[(vw % k).astype(np.int64)]
+        u3, hot_pair = rest if rest else (np.zeros(len(v3), np.uint8), np.zeros(len(v3), np.uint8))
+        order = np.lexsort((u3, w3, v3))
+        v3, w3, u3, c, hot_pair = (x[order] for x in (v3, w3, u3, c, hot_pair))
+        del order, rest
+        at = _starts(v3, w3, u3)
+        c = np.add.reduceat(c.astype(np.int64), at)
+        v3, w3, u3, hot_pair = (x[at] for x in (v3, w3, u3, hot_pair))
+        at = _starts(v3, w3)
+        v, w = v3[at].astype(np.int64), w3[at].astype(np.int64)
         raw = np.add.reduceat(c, at)
         files, high, a = [], [0] * 4, raw
         if deal.order == 3:
-            u3, v3, w3 = word[(n_gram % k).astype(np.int64)], word[(two // k).astype(np.int64)], word[(two % k).astype(np.int64)]
             uv = pair(u3.astype(np.uint64), v3.astype(np.uint64))
             g = pair(uv, w3.astype(np.uint64))
             order = np.argsort(g)
-            files += [*_keys(g[order]), *_counts(c[order])]
+            files += [*_slim(*_keys(g[order])), *_slim(*_counts(c[order]))]
             high = _four(c)
-            a = np.where(v == FIRST, raw, np.diff(np.append(at, len(n_gram))))
+            del g, u3, w3, v3
+            a = np.where(v == FIRST, raw, np.diff(np.append(at, len(c))))
             order = np.argsort(uv, kind="stable")
-            uv, own, hot = uv[order], c[order], hot_pair[0][order] > 0
+            uv, own, hot = uv[order], c[order], hot_pair[order] > 0
             for some, far in ((~hot, False), (hot, True)):
                 x, y = uv[some], own[some]
                 start = _starts(x) if len(x) else np.zeros(0, np.int64)
@@ -445,7 +449,7 @@ def _merge(folder: str, deal: Deal, base: np.ndarray):
                     yield from _dealt(CONTEXTS, _spread(x[start], deal.shards), deal.shards, [x[start], *kinds])
                 else:
                     files += _contexts(x[start], *kinds)
-            del u3, v3, w3, uv, g, order, own
+            del uv, order, own
         far = deal.frequent(v) if deal.order == 3 else np.zeros(len(v), bool)
         vw = pair(v.astype(np.uint64), w.astype(np.uint64))
         g, near = vw[~far], a[~far]
