@@ -51,7 +51,7 @@ def enrich(compounds: DataFrame) -> DataFrame:
 def full_run(spark: SparkSession, folder: str, profile: Family, reader: Callable, heading: Callable | None = None, models: DataFrame | None = None, search: bool = False, require_mass_gate: bool = True) -> tuple[DataFrame, DataFrame]:
     """(delivered table, images that failed) of a folder of page images. ``reader`` and ``heading`` build the models that read a cell and a heading;
     ``models`` has the columns of the structure model, if there is one (see extract.model_stage)."""
-    cells = extract.cells(files.images(spark, folder, profile.words("files")), family=profile, heading=heading)
+    cells = extract.cells(files.images(spark, folder, profile.words("files"), decode=True), family=profile, heading=heading)
     compounds, assays = ingest(*(lambda c, a: (enrich(c), a))(*extract.records(extract.read(cells, reader), profile)), profile)
     return deliver(compounds.drop("page", "pos"), assays.drop("page", "pos"), models if models is not None else spark.createDataFrame([], NO_MODEL), profile, require_mass_gate, search), cells.filter("error IS NOT NULL").select("path", "error")
 

@@ -22,9 +22,19 @@ CACHE_VERSION = 2
 MARK = "\ufeff"
 
 
-def images(spark: SparkSession, folder: str, patterns: Iterable[str]) -> DataFrame:
-    """path, name, content, length of the files of a folder that match any pattern, each name once, in order of name."""
-    parts = [spark.read.format("binaryFile").option("pathGlobFilter", p).load(folder) for p in patterns]
+def images(spark: SparkSession, folder: str, patterns: Iterable[str], decode: bool = False) -> DataFrame:
+    """path, name, content, length of the files of a folder that match any pattern, each name once, in order of name.
+
+    With ``decode``, Spark's own image source reads the pictures (JPEG, TIFF, PNG, BMP and what else the Java runtime knows), and the content is their pixels
+    behind a heading that operators.imaging.decode knows; a file that is no picture has no pixels, so that decoding it fails there."""
+    parts = []
+    for p in patterns:
+        if decode:
+            i = spark.read.format("image").option("pathGlobFilter", p).option("dropInvalid", "false").load(folder).select("image.*")
+            head = F.concat(F.lit("Q"), *[x for c in ("nChannels", "width", "height") for x in (F.lit(" "), F.col(c).cast("string"))], F.lit("\n"))
+            parts.append(i.select(F.col("origin").alias("path"), F.concat(F.encode(head, "utf-8"), F.col("data")).alias("content"), F.length("data").cast("long").alias("length")))
+        else:
+            parts.append(spark.read.format("binaryFile").option("pathGlobFilter", p).load(folder).select("path", "content", "length"))
     x = reduce(DataFrame.unionByName, parts).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "content", "length")
     return x.dropDuplicates(["name"]).orderBy("name")
 

@@ -246,6 +246,30 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
         cli.main(["run", "x", "--out", "y"])
 
 
+def test_other_formats(spark, tmp_path):
+    """JPEG, TIFF and PNG by the Java runtime's readers; what is no picture fails when it is decoded."""
+    jvm = spark.sparkContext._jvm
+    g = page()
+    for kind in ("jpg", "tif", "png"):
+        picture = jvm.java.awt.image.BufferedImage(g.shape[1], g.shape[0], jvm.java.awt.image.BufferedImage.TYPE_INT_RGB)
+        paint = picture.createGraphics()
+        paint.setColor(jvm.java.awt.Color.WHITE)
+        paint.fillRect(0, 0, g.shape[1], g.shape[0])
+        paint.setColor(jvm.java.awt.Color(10, 0, 200))
+        paint.fillRect(220, 70, 40, 20)
+        assert jvm.javax.imageio.ImageIO.write(picture, kind, jvm.java.io.File(str(tmp_path / f"a.{kind}")))
+    (tmp_path / "b.jpg").write_bytes(b"broken")
+    rows = files.images(spark, str(tmp_path), ("*.jpg", "*.tif", "*.png"), decode=True).collect()
+    assert [r.name for r in rows] == ["a.jpg", "a.png", "a.tif", "b.jpg"]
+    for r in rows[:3]:
+        x = I.decode(bytes(r.content))
+        assert x.shape == (400, 600) and abs(int(x[80, 240]) - 26) < 6 and x[200, 50] > 250  # 0.299 x 10 + 0.114 x 200
+    with pytest.raises(ValueError):
+        I.decode(bytes(rows[3].content))
+    found = extract.cells(files.images(spark, str(tmp_path), ("*.jpg", "*.tif"), decode=True))
+    assert found.filter("error IS NOT NULL").count() == 1
+
+
 def test_full_run(spark, tmp_path):
     from quillgrid.plans import flows
 
