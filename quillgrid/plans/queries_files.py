@@ -119,6 +119,32 @@ def cache_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query("SELECT concat('c', n_nationkey) AS key, CASE WHEN n_nationkey % 6 <> 5 THEN n_name END AS text, n_nationkey % 6 = 5 AS failed FROM nation")
+def cell_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crops of a folder read by a model that is built once for each task; a crop that fails is a row."""
+
+    def crop(k: int, name: str) -> bytes:
+        g = np.full((40, 200), 255, np.uint8)
+        _stamp(g, 9, 9, name)
+        return b"broken" if k % 6 == 5 else I.encode_png(g)
+
+    n = _nations(spark, sf_dir).select(F.concat(F.lit("c"), F.col("k").cast("string"), F.lit(".png")).alias("name"), "k", "n_name")
+    x = I.read_cells(files.images(spark, _made(n, files.workspace(spark), crop), ("*.png",)), lambda: _stamped)
+    return x.select("key", "text", F.col("error").isNotNull().alias("failed"))
+
+
+@query("""SELECT CAST(n_nationkey AS VARCHAR) AS cmpd_id, CASE WHEN n_nationkey < 5 THEN 'N' ELSE concat(repeat('C', CAST(1 + n_nationkey % 4 AS INT)), 'O', CASE n_nationkey % 3 WHEN 1 THEN '.C' WHEN 2 THEN '(' ELSE '' END) END AS smiles_decimer,
+CASE WHEN n_nationkey < 5 THEN 'N' WHEN n_nationkey % 3 = 2 THEN '' ELSE concat(repeat('C', CAST(1 + n_nationkey % 4 AS INT)), 'O') END AS canonical_smiles_decimer, CASE WHEN n_nationkey < 5 THEN 0.25 WHEN n_nationkey % 2 = 0 THEN 0.4 END::DOUBLE AS decimer_min_conf, CAST(CASE WHEN n_nationkey < 5 THEN 2 WHEN n_nationkey % 2 = 0 THEN 1 END AS INT) AS decimer_low_conf_count FROM nation""")
+def model_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The structure model's stage with a cache of five entries: the clean-up of its texts, and confidence of its tokens."""
+    work = _nations(spark, sf_dir).select(F.col("k").cast("string").alias("cmpd_id"), "k")
+    cache = work.filter("k < 5").select("cmpd_id", F.lit("N").alias("raw"), F.lit("N").alias("cleaned"), F.lit("N").alias("canon"), F.lit(0.25).alias("min_conf"), F.lit(2).alias("low_conf"))
+    text = F.concat(F.expr("repeat('C', cast(1 + k % 4 as int))"), F.lit("O"), F.expr("CASE k % 3 WHEN 1 THEN '.C' WHEN 2 THEN '(' ELSE '' END"))
+    tokens = F.when(F.col("k") % 2 == 0, F.array(F.struct(F.lit("C").alias("token"), F.lit(0.4).alias("p")), F.struct(F.lit("O").alias("token"), F.lit(0.9).alias("p"))))
+    both, _ = extract.model_stage(work, cache, lambda todo: todo.select("cmpd_id", text.alias("smiles"), tokens.alias("tokens")))
+    return both
+
+
 @query("SELECT CAST(r_regionkey AS VARCHAR) AS id, concat(r_name, '; ', r_regionkey) AS notes, 'csv' AS kind FROM region UNION ALL SELECT CAST(r_regionkey AS VARCHAR), concat(r_name, '; ', r_regionkey), 'json' FROM region")
 def audit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7: an audit as CSV and as JSON."""
@@ -137,6 +163,17 @@ def cells_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.withColumn("length", F.col("length").cast("long")).unionByName(spark.read.json(f"{path}/json").withColumn("kind", F.lit("json")))
 
 
+@query("SELECT p_partkey, CASE p_size % 9 WHEN 3 THEN 'smiles' WHEN 6 THEN 'dense' WHEN 7 THEN 'activity' END AS layout, CAST(2 + p_size % 3 AS INT) AS bonds FROM part")
+def counts_and_bonds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layout of a number of columns, and the double and triple bonds of a text."""
+    from ..functions import text as T
+    from .profiles import layout_by_count
+
+    p = t(spark, sf_dir, "part")
+    s = F.concat(F.lit("C=C#N"), F.expr("repeat('=', cast(p_size % 3 as int))"))
+    return p.select("p_partkey", layout_by_count((F.col("p_size") % 9).cast("int"), profile("WO2025162428")).alias("layout"), T.bond_count(s).alias("bonds"))
+
+
 @query("SELECT n_nationkey AS k, concat('t', n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN '.csv' ELSE '.policy.csv' END) AS target FROM nation")
 def policy_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3, K6: where a table with its policy columns goes; files that are not there can be written."""
