@@ -725,3 +725,16 @@ def test_one_round_by_hand():
     assert to_text.tolist() == [-1, 1, 0, -1] and to_page.tolist() == [1, 0, -1, 1]
     to_text, to_page = quality_classifier._given(x, [first, second])
     assert to_text.tolist() == [-1, 1, 0, -1] and to_page.tolist() == [1, 0, -1, 1]
+
+
+def test_a_hundred_thousand_repeats_of_a_labelled_row_teach_once(spark):
+    """The scores of the toxicity machine and of the quality classifier are those without the repeats."""
+    rows, lab, _ = cotrained(5)
+    df = frame(spark, rows[:400])
+    hot = df.filter("doc_id IN (1, 2)").crossJoin(spark.range(50_000).select(F.lit(0).alias("_z")).drop("_z")).select(*df.columns)
+    many = df.unionByName(hot)
+    for name, work in (("toxic", toxicity.toxicity), ("quality", quality_classifier.quality_classifier)):
+        labels = spark.createDataFrame(lab, f"doc_id long, {name} int")
+        a, b = (work(x, labels).groupBy("doc_id").agg(F.round(F.min("score"), 9).alias("s"), F.round(F.max("score"), 9).alias("t"), F.count(F.lit(1)).alias("n")).collect() for x in (df, many))
+        assert {r.doc_id: (r.s, r.t) for r in a} == {r.doc_id: (r.s, r.t) for r in b} and all(r.s == r.t for r in b)
+        assert {r.n for r in b} == {1, 50_001}
