@@ -44,7 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     chosen = profile(a.profile)
     if a.command == "run":
         rows, failed = flows.full_run(spark, a.table, chosen, named(a.reader), named(a.heading) if a.heading else None, require_mass_gate=not a.no_mass_gate)
-        print(files.write_csv(rows, files.writable_target(a.out, "compounds_combined.new.csv"), rows.columns, mark=True), "rows")
+        print(files.write_csv(rows, files.writable_target(a.out), rows.columns, mark=True), "rows")
         failed.show(60, truncate=False)
         return
     if a.command == "cells":

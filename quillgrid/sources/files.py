@@ -19,6 +19,8 @@ from ..operators.records import last_of_each
 from ..plans import schema
 
 CACHE_VERSION = 2
+# Fixed value: the name under which a delivered table is written while an editor locks it.
+LOCKED_NAME = "compounds_combined.new.csv"
 MARK = "\ufeff"
 
 
@@ -58,7 +60,7 @@ def write_csv(df: DataFrame, path: str, columns: Iterable[str], single: bool = F
     return seen.get["n"]
 
 
-def writable_target(path: str, other: str = "compounds_combined.new.csv") -> str:
+def writable_target(path: str, other: str = LOCKED_NAME) -> str:
     """``path`` if it is not there yet or can be written to, else ``other`` beside it: an editor may hold a lock on a delivered file."""
     if not os.path.exists(path):
         return path
