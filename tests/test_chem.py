@@ -204,3 +204,31 @@ def test_search_query_has_the_operators_budget(spark, monkeypatch):
     monkeypatch.setattr(queries_chem, "structures", lambda spark, sf_dir: spark.createDataFrame([(p, whole, whole.removesuffix(")N1") + "N1")], "p_partkey long, whole string, damaged string").repartition(1))
     r = queries_chem.mass_search(spark, "").first()
     assert r.ocr_repair_trace.startswith("ok") and M.fingerprint(r.smiles_ocr_repaired)["formula"] == M.fingerprint(whole)["formula"] == r.ocr_repair_formula
+
+
+def test_edits_are_given_one_by_one():
+    import tracemalloc
+
+    tracemalloc.start()
+    n = sum(1 for _ in R.single_edits("ab" * 1000, "()"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 2 * 2001 + 2 * 2000 + 2000 and peak < 1e6
+
+
+def test_keyed_rows_are_dealt_out_and_equal_values_worked_once(spark, tmp_path):
+    import os
+
+    from quillgrid.plans.queries_chem import _per_row
+
+    def one(a, b):
+        with open(f"{tmp_path}/{os.getpid()}", "a") as f:
+            f.write("x")
+        return [(f"{a}{b}",)] * (a % 3)
+
+    x = spark.range(0, 5000, 1, 1).selectExpr("id", "id % 3 as a", "if(id % 2 = 0, 'p', null) as b")
+    out = _per_row(x, "id long, t string", one, True)
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == sorted((i, f"{i % 3}{'p' if i % 2 == 0 else None}") for i in range(5000) for _ in range(i % 3))
+    assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sum(f.stat().st_size for f in tmp_path.iterdir()) <= 6 * spark.sparkContext.defaultParallelism
