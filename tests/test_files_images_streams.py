@@ -318,3 +318,21 @@ def test_polar_surface_and_rotatable_bonds():
         mol = M.read(s)
         assert abs(M.polar_surface(mol) - tpsa) < 0.02, (s, M.polar_surface(mol))
         assert M.rotatable_bonds(mol) == turns, (s, M.rotatable_bonds(mol))
+
+
+def test_drawings_look_for_rings_once_more_and_are_dealt_out(spark, monkeypatch):
+    from quillgrid.chem import draw
+    from quillgrid.chem import molecule as M
+
+    mol, asked, real = M.read("CC(=O)NCC(=O)NCC(=O)NC1CCCCCCCCCC(=O)NCC1"), [], M.smallest_rings
+    monkeypatch.setattr(M, "smallest_rings", lambda m: asked.append(m) or real(m))
+    cut = draw.open_amide(mol)
+    assert set(mol.bonds) - set(cut.bonds) == {(22, 24)} and len(asked) == 2  # the ring's own amide; the three of the chain are not tried
+    both = M.read("C1CCCCCCCCCC(=O)NCC1.C2CCCCCCCCCC(=O)NCC2")
+    assert draw.open_amide(both) is None and len(asked) == 3  # no bond lies in both largest rings
+
+    monkeypatch.undo()
+    x = spark.createDataFrame([(i, ("CCO", "C1CCCC1", "C(", None)[i % 4]) for i in range(4000)], "k long, s string").coalesce(1)
+    out = draw.rendered(x, "k", "s", as_svg=True)
+    assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert {(r.name, bytes(r.content).decode()) for r in out.collect()} == {(f"{i}.svg", draw.svg(("CCO", "C1CCCC1")[i % 4])) for i in range(4000) if i % 4 < 2}
