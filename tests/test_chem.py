@@ -232,3 +232,11 @@ def test_keyed_rows_are_dealt_out_and_equal_values_worked_once(spark, tmp_path):
     assert got == sorted((i, f"{i % 3}{'p' if i % 2 == 0 else None}") for i in range(5000) for _ in range(i % 3))
     assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sum(f.stat().st_size for f in tmp_path.iterdir()) <= 6 * spark.sparkContext.defaultParallelism
+
+
+def test_beam_makes_pairs_only_when_single_edits_fail(monkeypatch):
+    made, real = [], S.itertools.combinations
+    monkeypatch.setattr(S.itertools, "combinations", lambda *a: made.append(a) or real(*a))
+    ok = lambda t: M.read(t) is not None
+    assert S.beam([[("C", 0.9)], [("(", 0.6), ("C", 0.4)], [("C", 0.9)]], ok) == "CCC" and not made
+    assert S.beam([[("C", 0.9)], [(")", 0.6), ("C", 0.4)], [(")", 0.6), ("C", 0.4)]], ok) == "CCC" and len(made) == 1
