@@ -336,3 +336,22 @@ def test_drawings_look_for_rings_once_more_and_are_dealt_out(spark, monkeypatch)
     out = draw.rendered(x, "k", "s", as_svg=True)
     assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert {(r.name, bytes(r.content).decode()) for r in out.collect()} == {(f"{i}.svg", draw.svg(("CCO", "C1CCCC1")[i % 4])) for i in range(4000) if i % 4 < 2}
+
+
+def test_long_runs_in_little_memory():
+    import tracemalloc
+
+    r = np.random.default_rng(0)
+    for shape in ((0, 9), (7, 0), (1, 1), (9, 30), (30, 9)):
+        for share in (0.0, 0.5, 0.9, 1.0):
+            dark = r.random(shape) < share
+            for least in (1, 2, 5):
+                want = [[any(all(row[a : a + least]) for a in range(max(0, x - least + 1), min(x, len(row) - least) + 1)) for x in range(len(row))] for row in dark.tolist()]
+                assert I.long_runs(dark, least).tolist() == want
+    page = np.zeros((2000, 2000), bool)
+    page[::2] = True
+    tracemalloc.start()
+    got = I.long_runs(page, 1500)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got == page).all() and peak < 4 * page.size
