@@ -355,3 +355,27 @@ def test_long_runs_in_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert (got == page).all() and peak < 4 * page.size
+
+
+def test_upscale_takes_each_row_once():
+    import tracemalloc
+
+    g = np.random.default_rng(0).integers(0, 256, (7, 5)).astype(np.uint8)
+    at = lambda i, n: min(max((i + 0.5) / 3 - 0.5, 0), n - 1)
+    for y, x in np.ndindex(21, 15):
+        v, u = at(y, 7), at(x, 5)
+        a, b, c, d = (float(g[min(int(v) + p, 6), min(int(u) + q, 4)]) for p, q in ((0, 0), (0, 1), (1, 0), (1, 1)))
+        assert abs(I.upscale(g, 3)[y, x] - ((a * (1 - u % 1) + b * (u % 1)) * (1 - v % 1) + (c * (1 - u % 1) + d * (u % 1)) * (v % 1))) <= 0.5 + 1e-9
+    flat = np.zeros((20, 20_000), np.uint8)
+    tracemalloc.start()
+    I.upscale(flat, 8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3.5 * 8 * flat.size * 64
+
+
+@pytest.mark.parametrize("name", ["reader_routes", "page_likeness", "beam_repair", "edit_neighbours"])
+def test_rows_of_one_file_go_to_all_cores(spark, name):
+    from quillgrid.plans import catalog
+
+    assert catalog.queries()[name](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
