@@ -379,3 +379,38 @@ def test_rows_of_one_file_go_to_all_cores(spark, name):
     from quillgrid.plans import catalog
 
     assert catalog.queries()[name](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_row_bands_by_every_step():
+    """Grey 200 is ink, lines count from the ninth pixel, rows from 30 pixels; a line that runs off the picture needs half the length."""
+
+    def cut(ys, h=200, w=200, left=0, right=200, ink=0):
+        g = np.full((h, w), 255, np.uint8)
+        for y in ys:
+            g[y, left:right] = ink
+        return I.row_bands(g)
+
+    assert cut([60, 92]) == [(0, 59), (61, 91), (93, 200)] and cut([60, 91]) == [(0, 59), (92, 200)]
+    assert cut([9, 100]) == [(10, 99), (101, 200)] and cut([8, 100]) == [(0, 200)]
+    assert cut([100, 191]) == [(0, 99), (101, 190)] and cut([100, 192]) == [(0, 200)]
+    assert len(cut([60, 120], ink=200)) == 3 and cut([60, 120], ink=201) == []
+    assert len(cut([60, 120], left=50, right=130)) == 3 and cut([60, 120], left=50, right=129) == []
+    assert len(cut([60, 120], right=40)) == 3 and cut([60, 120], right=39) == []
+    assert len(cut([60, 120], left=159)) == 3 and cut([60, 120], left=160) == []
+    r, run = np.random.default_rng(0), 24
+    for _ in range(200):  # an opening by its definition: a window is kept if its pixels inside the picture are dark
+        g = np.full((200, 60), 255, np.uint8)
+        for y in (60, 120):
+            g[y] = np.repeat(np.where(r.random(6) < 0.6, 0, 255), 10) if r.random() < 0.5 else np.repeat(np.where(r.random(20) < 0.8, 0, 255), 3)
+        lines = [y for y in (60, 120) if any((g[y, max(0, x - run // 2) : x - run // 2 + run] == 0).all() for x in range(60))]
+        assert I.row_bands(g) == ([] if not lines else [(0, 59), (61, 119), (121, 200)] if len(lines) == 2 else [(0, 200)])
+
+
+def test_page_likeness_takes_the_bands_as_they_are(spark):
+    """A ruled page with one line across inside is one band; the query had said two."""
+    from quillgrid.plans import catalog
+
+    sf = "/root/testdata/sf0.001"
+    x = catalog.queries()["page_likeness"](spark, sf).join(spark.read.parquet(f"{sf}/part.parquet"), "p_partkey")
+    got = {(r.tabular, r.bands) for r in x.filter("p_size % 12 = 8").select("tabular", "bands").collect()}
+    assert got == {(True, 1)}
